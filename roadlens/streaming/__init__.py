@@ -1,0 +1 @@
+"""No streaming operators: every job of this domain reads complete tables and writes complete tables."""
