@@ -35,8 +35,8 @@ SELECT * FROM (VALUES ('am', 0, 360, 540, 360), ('md', 1, 540, 900, 540),
   AS t(time_period, period_index, period_start, period_end, timeline_start)
 """,
     "grid": """
-SELECT time_period, minute FROM (VALUES ('am', 360, 539), ('md', 540, 899), ('pm', 900, 1139), ('nt', 1140, 1439))
-  AS t(time_period, a, b), LATERAL (SELECT CAST(explode AS INT) AS minute FROM (SELECT explode(sequence(a, b, 5))))
+SELECT time_period, explode(sequence(a, b, 5)) AS minute
+FROM (VALUES ('am', 360, 539), ('md', 540, 899), ('pm', 900, 1139), ('nt', 1140, 1439)) AS t(time_period, a, b)
 """,
     "link": """
 SELECT CAST(l.l_suppkey + 1 AS BIGINT) AS from_node_id,
