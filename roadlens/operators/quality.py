@@ -55,12 +55,13 @@ def failed_rules(frame: DataFrame, keys: Sequence[str], rules: Mapping[str, Colu
     return frame.select(*keys, F.explode(failures).alias("rule"))
 
 
-def rule_counts(frame: DataFrame, by: Sequence[str], rules: Mapping[str, Column]) -> DataFrame:
+def rule_counts(frame: DataFrame, by: Sequence[str], rules: Mapping[str, Column], *extra: Column) -> DataFrame:
     """Rows checked and failures per rule in one pass (no row per failure is produced)."""
     broken = {n: ~F.coalesce(ok, F.lit(False)) for n, ok in rules.items()}
     return frame.groupBy(*by).agg(
         F.count("*").alias("rows_checked"),
         *[F.count_if(b).alias(n) for n, b in broken.items()],
+        *extra,
     )
 
 
