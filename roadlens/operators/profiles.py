@@ -2,15 +2,238 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-STEP_HOURS = 1.0 / 12.0
+from roadlens.functions.columns import number_in
+from roadlens.functions.timeofday import DAY, Period
+from roadlens.operators.profile_fold import Limits
+
+STEP = 5
+STEP_HOURS = STEP / 60.0
+# Input defaults.
+DEFAULTS = {"lanes": 1.0, "capacity": 1800.0, "vdf_plf": 1.0, "vdf_alpha": 0.15, "vdf_beta": 4.0, "vdf_cp": 0.28125,
+            "vdf_cd": 1.0, "vdf_n": 1.0, "vdf_s": 4.0, "vdf_type": 0.0, "qvdf_profile_mode": -1.0}
+DEFAULT_FREE_KMH, KM_PER_MILE_ROUNDED = 60.0, 1.609
+POSITIVE = ["t0_hour", "t2_hour", "t3_hour", "qvdf_start_speed_mph", "qvdf_end_speed_mph"]
+SCALARS = ["generated", "vt2", "boundary", "t2", "observed", "start", "end", "assigned"]
+
+
+def smoothstep(x: Column) -> Column:
+    p = F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
+    return p * p * (3 - 2 * p)
+
+
+def profile_inputs(perf: DataFrame, links: DataFrame, periods: list[Period], keys: list[str]) -> DataFrame:
+    """One typed row per period and link.  Periods that cross midnight end at 24:00."""
+    use = ["time_period", *keys]
+    cells = [c for c in [*DEFAULTS, *POSITIVE, "vdf_free_speed_mph", "free_speed", "cutoff_speed", "vdf_length_mi", "length_in_mile"]
+             if c in links.columns]
+    j = perf.select(*use, number_in(perf, "volume").alias("volume"), number_in(perf, "speed_mph").alias("__speed")).join(
+        links.select(*use, *[number_in(links, c).alias(c) for c in cells]), use)
+
+    def cell(name: str, default: Column) -> Column:
+        return F.coalesce(F.col(name), default) if name in cells else default
+    free = cell("vdf_free_speed_mph", cell("free_speed", F.lit(DEFAULT_FREE_KMH)) / KM_PER_MILE_ROUNDED)
+    out = j.withColumn("free", free)
+    bound = {p.name: (i, p.start, p.end if p.end > p.start else DAY) for i, p in enumerate(periods)}
+    look = lambda k: F.try_element_at(F.create_map(*[F.lit(x) for n, v in bound.items() for x in (n, v[k])]), F.col("time_period"))
+    out = out.withColumns({
+        "period_index": look(0), "start_minute": look(1), "end_minute": look(2),
+        "cutoff": cell("cutoff_speed", 0.75 * F.col("free")),
+        "miles": cell("vdf_length_mi", cell("length_in_mile", F.lit(0.0))),
+        "assigned": F.coalesce(F.col("__speed"), F.col("free")),
+        **{c: cell(c, F.lit(d)) for c, d in DEFAULTS.items()},
+        **{c: F.when(cell(c, F.lit(None).cast("double")) > 0, cell(c, F.lit(None).cast("double"))) for c in POSITIVE},
+    })
+    return out.where(F.col("period_index").isNotNull()).drop("__speed")
+
+
+def with_scalars(inputs: DataFrame) -> DataFrame:
+    """Demand, congestion speeds and the congestion window of every row."""
+    c = F.col
+    start, end = c("start_minute") / 60, c("end_minute") / 60
+    hours = F.greatest(end - start, F.lit(0.001))
+    demand = c("volume") / F.greatest(F.lit(0.01), c("lanes")) / hours / F.greatest(F.lit(0.0001), c("vdf_plf"))
+    own = c("vdf_type").isin(0.0, 2.0)
+    mode = c("qvdf_profile_mode")
+    seen = c("t2_hour").isNotNull()
+    generated = (c("volume") > 0) & (mode != 0) & (
+        (mode == 1) | ((mode == 2) & seen) | (~mode.isin(1.0, 2.0) & ((c("vdf_type") == 2) | seen)))
+    d = inputs.withColumns({"doc": demand / F.greatest(F.lit(0.1), c("capacity")), "is_generated": generated,
+                            "period_from": start, "period_to": end})
+    doc = c("doc")
+    reference = F.when(doc < 1, (1 - doc) * c("free") + doc * c("cutoff")).otherwise(c("cutoff"))
+    alpha, beta = F.when(own, c("vdf_alpha")).otherwise(0.15), F.when(own, c("vdf_beta")).otherwise(4.0)
+    d = d.withColumns({"vref": reference, "duration": c("vdf_cd") * F.pow(doc, c("vdf_n")),
+                       "alpha_used": alpha, "beta_used": beta})
+    d = d.withColumns({
+        "boundary": F.greatest(c("vref"), c("vref") / (1 + c("alpha_used") * F.pow(doc, c("beta_used")))),
+        "vt2": c("cutoff") / F.greatest(F.lit(0.001), 1 + c("vdf_cp") * F.pow(c("duration"), c("vdf_s"))),
+        "t2": F.coalesce(c("t2_hour"), (c("period_from") + c("period_to")) / 2),
+        "observed": seen.cast("double"),
+    })
+    triplet = (c("t0_hour") < c("t2_hour")) & (c("t2_hour") < c("t3_hour"))
+    share = (c("t2_hour") - c("t0_hour")) / F.greatest(F.lit(1e-6), c("t3_hour") - c("t0_hour"))
+    left = F.when(triplet, F.greatest(F.lit(0.05), F.least(F.lit(0.95), share))).otherwise(0.5)
+    d = d.withColumn("left_share", left)
+    return d.withColumns({
+        "t0": F.greatest(c("period_from"), c("t2") - c("left_share") * c("duration")),
+        "t3": F.least(c("period_to"), c("t2") + (1 - c("left_share")) * c("duration")),
+        "rtt": c("miles") / F.greatest(F.lit(0.01), c("vref")),
+        "wt2": c("miles") / F.greatest(F.lit(0.001), c("vt2")) - c("miles") / F.greatest(F.lit(0.01), c("vref")),
+    }).drop("alpha_used", "beta_used", "left_share")
+
+
+def raw_speed(minute: Column) -> Column:
+    """Closed-form speed of one minute, over the columns of ``with_scalars``."""
+    c = F.col
+    t = minute / 60
+    span = c("t3") - c("t0")
+    x = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (t - c("t0")) / span))
+    f = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (c("t2") - c("t0")) / span))
+    hump = F.when(f <= 1e-9, F.pow(1 - x, F.lit(4.0))).when(f >= 1 - 1e-9, F.pow(x, F.lit(4.0))).otherwise(
+        F.pow(x / f, 4 * f) * F.pow((1 - x) / (1 - f), 4 * (1 - f)))
+    shape = F.when(span > 1e-9, hump).otherwise(F.when(F.abs(t - c("t2")) <= 1e-9, 1.0).otherwise(0.0))
+    shape = F.greatest(F.lit(0.0), F.least(F.lit(1.0), shape))
+    before = smoothstep((t - c("period_from")) / F.greatest(F.lit(0.001), c("t0") - c("period_from")))
+    after = smoothstep((t - c("t3")) / F.greatest(F.lit(0.001), c("period_to") - c("t3")))
+    return F.when((t >= c("t0")) & (t <= c("t3")), F.try_divide(c("miles"), c("wt2") * shape + c("rtt"))) \
+        .when(t < c("t0"), (1 - before) * c("free") + before * c("boundary")) \
+        .otherwise((1 - after) * c("boundary") + after * c("free"))
+
+
+def sample_minutes() -> Column:
+    return F.sequence(F.col("start_minute"), F.col("end_minute") - 1, F.lit(STEP))
+
+
+def plain_speed(minute: Column) -> Column:
+    """Rows without a generated curve: smoothstep between the anchors or the assigned speed."""
+    c = F.col
+    last = c("start_minute") + F.floor((c("end_minute") - 1 - c("start_minute")) / STEP) * STEP
+    w = smoothstep((minute - c("start_minute")) / F.greatest(F.lit(1), last - c("start_minute")))
+    return (1 - w) * F.coalesce("qvdf_start_speed_mph", "assigned") + w * F.coalesce("qvdf_end_speed_mph", "assigned")
+
+
+def raw_profiles(inputs: DataFrame, keys: list[str]) -> DataFrame:
+    """Long raw profiles (no anchors on generated curves): (period, keys, minute, speed_mph)."""
+    rows = with_scalars(inputs).withColumn("minute", F.explode(sample_minutes()))
+    return rows.select("time_period", *keys, "minute", "is_generated", F.when(
+        F.col("is_generated"), raw_speed(F.col("minute"))).otherwise(plain_speed(F.col("minute"))).alias("speed_mph"))
+
+
+def _packed(inputs: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per link: its periods in order, the raw samples and the scalars side by side.
+
+    A link has one row per period of the plan, so the list stays as short as the plan.
+    """
+    rows = with_scalars(inputs)
+    nan = F.lit(float("nan"))
+    scal = {"generated": F.col("is_generated").cast("double"), "vt2": F.col("vt2"), "boundary": F.col("boundary"),
+            "t2": F.col("t2"), "observed": F.col("observed"), "start": F.coalesce("qvdf_start_speed_mph", nan),
+            "end": F.coalesce("qvdf_end_speed_mph", nan), "assigned": F.col("assigned")}
+    entry = F.struct(
+        "period_index", F.array(*[scal[s] for s in SCALARS]).alias("scal"),
+        F.transform(sample_minutes(), lambda m: F.when(F.col("is_generated"), raw_speed(m)).otherwise(F.lit(0.0))).alias("raw"))
+    lists = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("p"))
+    return lists.select(
+        *keys, F.transform("p", lambda e: e["period_index"]).alias("periods"),
+        F.concat_ws(",", F.transform("p", lambda e: e["period_index"].cast("string"))).alias("signature"),
+        F.flatten(F.transform("p", lambda e: e["scal"])).alias("scal"),
+        F.flatten(F.transform("p", lambda e: e["raw"])).alias("raw"))
+
+
+def fold_batches(periods: list[Period], limits: Limits, smooth_boundaries: bool):
+    """Arrow batches of packed links -> the same rows with ``speeds`` in place of raw and scalars."""
+    grids = [(p.start, p.end if p.end > p.start else DAY) for p in periods]
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        from roadlens.operators.profile_fold import enforce
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            names = np.asarray(table["signature"].to_pylist(), dtype=object)
+            for signature in sorted(set(names)):
+                part = table.take(np.flatnonzero(names == signature)).combine_chunks()
+                n = part.num_rows
+                index = [int(i) for i in signature.split(",")]
+                minutes = [np.arange(grids[i][0], grids[i][1], STEP) for i in index]
+                raw = part["raw"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+                scal = part["scal"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, len(index), len(SCALARS))
+                edges = np.cumsum([0, *[len(m) for m in minutes]])
+                # A gap between periods ends a run: nothing is carried over it.
+                runs, current = [], [0]
+                for k in range(1, len(index)):
+                    if grids[index[k]][0] == grids[index[k - 1]][1]:
+                        current.append(k)
+                    else:
+                        runs.append(current)
+                        current = [k]
+                runs.append(current)
+                done = np.concatenate([enforce(
+                    [raw[:, edges[k]:edges[k + 1]] for k in r], [minutes[k] for k in r],
+                    [{s: scal[:, k, c] for c, s in enumerate(SCALARS)} for k in r], limits, smooth_boundaries) for r in runs], axis=1)
+                offsets = pa.array(np.arange(0, n * done.shape[1] + 1, done.shape[1], dtype=np.int32))
+                speeds = pa.ListArray.from_arrays(offsets, pa.array(done.ravel()))
+                kept = part.drop_columns(["signature", "raw", "scal"]).append_column("speeds", speeds)
+                yield from kept.to_batches()
+    return run
+
+
+def enforced_arrays(inputs: DataFrame, periods: list[Period], keys: list[str], limits: Limits = Limits(),
+                    smooth_boundaries: bool = True) -> DataFrame:
+    """(keys, periods, speeds): the enforced samples of all periods of a link, in order."""
+    packed = _packed(inputs, keys)
+    kinds = {f.name: f.dataType.simpleString() for f in packed.schema.fields}
+    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", periods array<int>, speeds array<double>"
+    return packed.mapInArrow(fold_batches(periods, limits, smooth_boundaries), schema)
+
+
+def exploded(arrays: DataFrame, periods: list[Period], keys: list[str]) -> DataFrame:
+    """Arrays back to (period, keys, minute, speed_mph) rows."""
+    grids = F.create_map(*[x for i, p in enumerate(periods) for x in (
+        F.lit(i), F.struct(F.lit(p.name).alias("n"), F.lit(p.start).alias("a"), F.lit(p.end if p.end > p.start else DAY).alias("b")))])
+    at = arrays.withColumn("grid", F.flatten(F.transform("periods", lambda i: F.transform(
+        F.sequence(F.try_element_at(grids, i)["a"], F.try_element_at(grids, i)["b"] - 1, F.lit(STEP)),
+        lambda m: F.struct(F.try_element_at(grids, i)["n"].alias("time_period"), m.alias("minute"))))))
+    rows = at.select(*keys, F.explode(F.arrays_zip("grid", "speeds")).alias("s"))
+    return rows.select("s.grid.time_period", *keys, "s.grid.minute", F.col("s.speeds").alias("speed_mph"))
+
+
+def smooth_profiles(inputs: DataFrame, periods: list[Period], keys: list[str], limits: Limits = Limits(),
+                    smooth_boundaries: bool = True) -> DataFrame:
+    """Enforced five-minute profiles, long."""
+    return exploded(enforced_arrays(inputs, periods, keys, limits, smooth_boundaries), periods, keys)
+
+
+def array_metrics(arrays: DataFrame, keys: list[str], limits: Limits = Limits()) -> DataFrame:
+    """Largest step, windowed mean and acceleration of array profiles, without a shuffle."""
+    v, n = F.col("speeds"), F.size("speeds")
+    steps = F.zip_with(F.slice(v, 2, n - 1), F.slice(v, F.lit(1), n - 1), lambda b, a: b - a)
+    m = arrays.withColumn("d", steps)
+    d, k = F.col("d"), F.size("d")
+    second = F.zip_with(F.slice(d, F.lit(2), k - 1), F.slice(d, F.lit(1), k - 1), lambda b, a: F.abs(b - a) / STEP_HOURS**2)
+    size = limits.window
+    window = F.transform(F.sequence(F.lit(1), k - (size - 1)), lambda i: sum(
+        (F.abs(F.element_at(d, (i + o).cast("int"))) for o in range(size)), F.lit(0.0)) / size)
+    return m.select(*keys, F.array_max(F.transform(d, F.abs)).alias("max_step"),
+                    F.array_max(window).alias("max_rolling"), F.array_max(second).alias("max_acceleration"))
+
+
+def violations(metrics: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """Profiles beyond a limit; the gate before anything is written."""
+    return metrics.where((F.col("max_step") > limits.step + 1e-8) | (F.col("max_rolling") > limits.rolling + 1e-8)
+                         | (F.col("max_acceleration") > limits.acceleration + 1e-6))
 
 
 def step_metrics(long: DataFrame, keys: list[str]) -> DataFrame:
-    """Largest step, three-step mean and acceleration of every profile.
+    """Largest step, three-step mean and acceleration of long profiles.
 
     A profile has at most 288 samples, which bounds the window of a link.
     """
