@@ -17,7 +17,7 @@ SHAPE_NAMES = ["s3_shape_m", "s3_m"]
 
 def array_percentile(values: Column, q: float) -> Column:
     """Linearly interpolated percentile of an array of numbers (NULL when it is empty)."""
-    ordered = F.array_sort(values)
+    ordered = F.sort_array(values)
     rank = (F.size(values) - 1) * F.lit(q)
     below = F.floor(rank)
     low = F.element_at(ordered, (below + 1).cast("int"))
@@ -80,13 +80,23 @@ def with_parameters(frame: DataFrame, speeds: str = "speeds") -> DataFrame:
         .drop("__vf", "__vfs", "__vc", "__vcs", "__m", "__ms", "__implied")
 
 
-def flow_from_speed(speed: Column, free: Column, shape: Column, critical_density: Column, capacity: Column) -> Column:
-    """Vehicles per hour of the whole link at a speed; an invalid speed carries no flow.
+def usable_speed(speed: Column, free: Column) -> Column:
+    """Speed for the curve, just below free flow; NULL when it is missing or negative."""
+    return F.when(speed >= 0, F.least(speed, 0.99 * free))
 
-    The density is evaluated in logarithms, so a large shape near free flow does not overflow.
-    """
-    v = F.least(speed, 0.99 * free)
-    r = F.greatest(free / F.greatest(v, F.lit(1.0)), F.lit(1.00001))
-    z = F.greatest(shape / 2 * F.log(r), F.lit(1e-8))
-    density = critical_density * F.exp((z + F.log(-F.expm1(-z))) / shape)
-    return F.when(speed.isNotNull() & (speed >= 0), F.least(v * density, capacity)).otherwise(F.lit(0.0))
+
+def log_spacing(speed: Column, free: Column, shape: Column) -> Column:
+    r = F.greatest(free / F.greatest(speed, F.lit(1.0)), F.lit(1.00001))
+    return F.when(speed.isNotNull(), F.greatest(shape / 2 * F.log(r), F.lit(1e-8)))
+
+
+def density_from(z: Column, shape: Column, critical_density: Column) -> Column:
+    """In logarithms, so that a large shape near free flow does not overflow."""
+    return critical_density * F.exp((z + F.log(-F.expm1(-z))) / shape)
+
+
+def flow_from_speed(speed: Column, free: Column, shape: Column, critical_density: Column, capacity: Column) -> Column:
+    """Vehicles per hour of the whole link at a speed; an invalid speed carries no flow."""
+    v = usable_speed(speed, free)
+    k = density_from(log_spacing(v, free, shape), shape, critical_density)
+    return F.when(v.isNotNull(), F.least(v * k, capacity)).otherwise(F.lit(0.0))

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from roadlens.functions.columns import number_in
 from roadlens.functions.timeofday import DAY, Period
-from roadlens.operators.profile_fold import Limits
+from roadlens.operators import profile_fold
+from roadlens.operators.profile_fold import Limits, enforce
+
+# Tasks get the fold by value, so executors need numpy and pyarrow but not this package.
+cloudpickle.register_pickle_by_value(profile_fold)
 
 STEP = 5
 STEP_HOURS = STEP / 60.0
@@ -85,25 +93,53 @@ def with_scalars(inputs: DataFrame) -> DataFrame:
         "t3": F.least(c("period_to"), c("t2") + (1 - c("left_share")) * c("duration")),
         "rtt": c("miles") / F.greatest(F.lit(0.01), c("vref")),
         "wt2": c("miles") / F.greatest(F.lit(0.001), c("vt2")) - c("miles") / F.greatest(F.lit(0.01), c("vref")),
-    }).drop("alpha_used", "beta_used", "left_share")
+    }).withColumn("peak", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide(c("t2") - c("t0"), c("t3") - c("t0"))))) \
+        .drop("alpha_used", "beta_used", "left_share")
 
 
-def raw_speed(minute: Column) -> Column:
-    """Closed-form speed of one minute, over the columns of ``with_scalars``."""
+def _position(minute: Column) -> dict[str, Column]:
+    """What the closed form needs of one minute, bound once: place in the window, ramps."""
     c = F.col
     t = minute / 60
-    span = c("t3") - c("t0")
-    x = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (t - c("t0")) / span))
-    f = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (c("t2") - c("t0")) / span))
-    hump = F.when(f <= 1e-9, F.pow(1 - x, F.lit(4.0))).when(f >= 1 - 1e-9, F.pow(x, F.lit(4.0))).otherwise(
+    unit = lambda v: F.greatest(F.lit(0.0), F.least(F.lit(1.0), v))
+    return {
+        "t": t, "x": unit(F.try_divide(t - c("t0"), c("t3") - c("t0"))),
+        "before": unit((t - c("period_from")) / F.greatest(F.lit(0.001), c("t0") - c("period_from"))),
+        "after": unit((t - c("t3")) / F.greatest(F.lit(0.001), c("period_to") - c("t3"))),
+    }
+
+
+def _hump(x: Column, t: Column) -> Column:
+    """Shape of the congestion window: 0 at its ends, 1 at the peak share ``peak``."""
+    c, f = F.col, F.col("peak")
+    inner = F.when(f <= 1e-9, F.pow(1 - x, F.lit(4.0))).when(f >= 1 - 1e-9, F.pow(x, F.lit(4.0))).otherwise(
         F.pow(x / f, 4 * f) * F.pow((1 - x) / (1 - f), 4 * (1 - f)))
-    shape = F.when(span > 1e-9, hump).otherwise(F.when(F.abs(t - c("t2")) <= 1e-9, 1.0).otherwise(0.0))
-    shape = F.greatest(F.lit(0.0), F.least(F.lit(1.0), shape))
-    before = smoothstep((t - c("period_from")) / F.greatest(F.lit(0.001), c("t0") - c("period_from")))
-    after = smoothstep((t - c("t3")) / F.greatest(F.lit(0.001), c("period_to") - c("t3")))
+    point = F.when(F.abs(t - c("t2")) <= 1e-9, 1.0).otherwise(0.0)
+    return F.when(c("t3") - c("t0") > 1e-9, inner).otherwise(point)
+
+
+def _speed(t: Column, hump: Column, before: Column, after: Column) -> Column:
+    c = F.col
+    ramp = lambda p: p * p * (3 - 2 * p)
+    shape = F.greatest(F.lit(0.0), F.least(F.lit(1.0), hump))
     return F.when((t >= c("t0")) & (t <= c("t3")), F.try_divide(c("miles"), c("wt2") * shape + c("rtt"))) \
-        .when(t < c("t0"), (1 - before) * c("free") + before * c("boundary")) \
-        .otherwise((1 - after) * c("boundary") + after * c("free"))
+        .when(t < c("t0"), c("free") + ramp(before) * (c("boundary") - c("free"))) \
+        .otherwise(c("boundary") + ramp(after) * (c("free") - c("boundary")))
+
+
+def with_raw_speed(rows: DataFrame) -> DataFrame:
+    """Long rows with a ``minute``: ``raw_speed`` in steps small enough to be compiled well."""
+    r = rows.withColumns({f"__{k}": v for k, v in _position(F.col("minute")).items()})
+    r = r.withColumn("__hump", _hump(F.col("__x"), F.col("__t")))
+    r = r.withColumn("raw_speed", _speed(F.col("__t"), F.col("__hump"), F.col("__before"), F.col("__after")))
+    return r.drop("__t", "__x", "__before", "__after", "__hump")
+
+
+def raw_array() -> Column:
+    """The same curve as an array over the period's samples; every step is bound once per sample."""
+    spots = F.transform(sample_minutes(), lambda m: F.struct(*[v.alias(k) for k, v in _position(m).items()]))
+    humps = F.transform(spots, lambda s: F.struct(s.alias("s"), _hump(s["x"], s["t"]).alias("h")))
+    return F.transform(humps, lambda e: _speed(e["s"]["t"], e["h"], e["s"]["before"], e["s"]["after"]))
 
 
 def sample_minutes() -> Column:
@@ -120,9 +156,9 @@ def plain_speed(minute: Column) -> Column:
 
 def raw_profiles(inputs: DataFrame, keys: list[str]) -> DataFrame:
     """Long raw profiles (no anchors on generated curves): (period, keys, minute, speed_mph)."""
-    rows = with_scalars(inputs).withColumn("minute", F.explode(sample_minutes()))
+    rows = with_raw_speed(with_scalars(inputs).withColumn("minute", F.explode(sample_minutes())))
     return rows.select("time_period", *keys, "minute", "is_generated", F.when(
-        F.col("is_generated"), raw_speed(F.col("minute"))).otherwise(plain_speed(F.col("minute"))).alias("speed_mph"))
+        F.col("is_generated"), F.col("raw_speed")).otherwise(plain_speed(F.col("minute"))).alias("speed_mph"))
 
 
 def _packed(inputs: DataFrame, keys: list[str]) -> DataFrame:
@@ -137,8 +173,8 @@ def _packed(inputs: DataFrame, keys: list[str]) -> DataFrame:
             "end": F.coalesce("qvdf_end_speed_mph", nan), "assigned": F.col("assigned")}
     entry = F.struct(
         "period_index", F.array(*[scal[s] for s in SCALARS]).alias("scal"),
-        F.transform(sample_minutes(), lambda m: F.when(F.col("is_generated"), raw_speed(m)).otherwise(F.lit(0.0))).alias("raw"))
-    lists = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("p"))
+        F.when(F.col("is_generated"), raw_array()).otherwise(F.transform(sample_minutes(), lambda m: F.lit(0.0))).alias("raw"))
+    lists = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("p"))
     return lists.select(
         *keys, F.transform("p", lambda e: e["period_index"]).alias("periods"),
         F.concat_ws(",", F.transform("p", lambda e: e["period_index"].cast("string"))).alias("signature"),
@@ -149,13 +185,9 @@ def _packed(inputs: DataFrame, keys: list[str]) -> DataFrame:
 def fold_batches(periods: list[Period], limits: Limits, smooth_boundaries: bool):
     """Arrow batches of packed links -> the same rows with ``speeds`` in place of raw and scalars."""
     grids = [(p.start, p.end if p.end > p.start else DAY) for p in periods]
+    step, scalars = STEP, list(SCALARS)
 
     def run(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-
-        from roadlens.operators.profile_fold import enforce
-
         for batch in batches:
             table = pa.Table.from_batches([batch])
             names = np.asarray(table["signature"].to_pylist(), dtype=object)
@@ -163,9 +195,9 @@ def fold_batches(periods: list[Period], limits: Limits, smooth_boundaries: bool)
                 part = table.take(np.flatnonzero(names == signature)).combine_chunks()
                 n = part.num_rows
                 index = [int(i) for i in signature.split(",")]
-                minutes = [np.arange(grids[i][0], grids[i][1], STEP) for i in index]
+                minutes = [np.arange(grids[i][0], grids[i][1], step) for i in index]
                 raw = part["raw"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-                scal = part["scal"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, len(index), len(SCALARS))
+                scal = part["scal"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, len(index), len(scalars))
                 edges = np.cumsum([0, *[len(m) for m in minutes]])
                 # A gap between periods ends a run: nothing is carried over it.
                 runs, current = [], [0]
@@ -178,7 +210,7 @@ def fold_batches(periods: list[Period], limits: Limits, smooth_boundaries: bool)
                 runs.append(current)
                 done = np.concatenate([enforce(
                     [raw[:, edges[k]:edges[k + 1]] for k in r], [minutes[k] for k in r],
-                    [{s: scal[:, k, c] for c, s in enumerate(SCALARS)} for k in r], limits, smooth_boundaries) for r in runs], axis=1)
+                    [{s: scal[:, k, c] for c, s in enumerate(scalars)} for k in r], limits, smooth_boundaries) for r in runs], axis=1)
                 offsets = pa.array(np.arange(0, n * done.shape[1] + 1, done.shape[1], dtype=np.int32))
                 speeds = pa.ListArray.from_arrays(offsets, pa.array(done.ravel()))
                 kept = part.drop_columns(["signature", "raw", "scal"]).append_column("speeds", speeds)
@@ -186,6 +218,9 @@ def fold_batches(periods: list[Period], limits: Limits, smooth_boundaries: bool)
     return run
 
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def enforced_arrays(inputs: DataFrame, periods: list[Period], keys: list[str], limits: Limits = Limits(),
                     smooth_boundaries: bool = True) -> DataFrame:
     """(keys, periods, speeds): the enforced samples of all periods of a link, in order."""

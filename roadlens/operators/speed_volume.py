@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.functions.columns import PAIR, number_in, pair_keys, zero_if_null
-from roadlens.functions.s3 import flow_from_speed, with_parameters
+from roadlens.functions.s3 import density_from, log_spacing, usable_speed, with_parameters
 from roadlens.functions.timeofday import Period
 from roadlens.operators.performance import join_keys
 from roadlens.operators.quality import require, unique_by
 from roadlens.sources.periods import bin_table, hourly_bins, period_table
-from roadlens.sources.speeds import aligned, link_arrays, native_grid
+from roadlens.sources.speeds import link_arrays, native_grid, with_aligned
 
 KEYS = ["time_period", *PAIR]
 NETWORK = ["link_id", "link_type", "free_speed", "capacity", "lanes", "vdf_free_speed_mph",
@@ -48,8 +48,7 @@ def assemble(perf: DataFrame, links: DataFrame, speeds: DataFrame, periods: list
     rows = require(rows, F.col("assigned_volume") >= 0, "assigned volume is missing or negative")
     rows = rows.join(F.broadcast(grid), "time_period", "left").join(F.broadcast(table), "time_period")
     rows = require(rows, F.col("grid").isNotNull(), F.concat(F.lit("no speeds for period "), F.col("time_period")))
-    speeds_on_grid = aligned(F.col("samples"), F.col("grid"), F.col("absent"), F.col("assigned_speed"))
-    return rows.withColumn("speeds", speeds_on_grid).drop("samples")
+    return with_aligned(rows, F.col("assigned_speed"))
 
 
 def estimate(rows: DataFrame) -> DataFrame:
@@ -61,9 +60,12 @@ def estimate(rows: DataFrame) -> DataFrame:
     r = with_parameters(rows)
     hours = F.transform("grid", lambda o: F.when(o == F.element_at("grid", -1), F.col("last_step")).otherwise(F.col("step")) / 60)
     r = r.withColumn("interval_hours", hours)
-    flow = lambda v, h: h * flow_from_speed(
-        v, F.col("s3_free_speed"), F.col("s3_m"), F.col("critical_density_veh_per_mile"), F.col("s3_capacity"))
-    r = r.withColumn("raw", F.zip_with("speeds", "interval_hours", flow))
+    clipped = F.transform("speeds", lambda v: usable_speed(v, F.col("s3_free_speed")))
+    r = r.withColumn("clipped", clipped)
+    r = r.withColumn("z", F.transform("clipped", lambda v: log_spacing(v, F.col("s3_free_speed"), F.col("s3_m"))))
+    r = r.withColumn("density", F.transform("z", lambda z: density_from(z, F.col("s3_m"), F.col("critical_density_veh_per_mile"))))
+    flow = F.zip_with("clipped", "density", lambda v, k: F.when(v.isNotNull(), F.least(v * k, F.col("s3_capacity"))).otherwise(F.lit(0.0)))
+    r = r.withColumn("raw", F.zip_with(flow, "interval_hours", lambda q, h: q * h)).drop("clipped", "z", "density")
     r = r.withColumn("raw_s3_volume", total(F.col("raw")))
     volume, raw_total = F.col("assigned_volume"), F.col("raw_s3_volume")
     fallback = (raw_total == 0) & (volume > 0)

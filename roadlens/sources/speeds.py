@@ -85,7 +85,7 @@ def native_grid(long: DataFrame, periods: list[Period]) -> DataFrame:
     start = F.try_element_at(period_map(periods, "start"), at)
     length = F.try_element_at(period_map(periods, "minutes"), at)
     offset = F.pmod(F.col("minute") - start, F.lit(DAY))
-    seen = owned_rows(long, periods).groupBy("time_period").agg(F.array_sort(F.collect_set(offset)).alias("offsets"))
+    seen = owned_rows(long, periods).groupBy("time_period").agg(F.sort_array(F.collect_set(offset)).alias("offsets"))
     seen = require(seen, F.element_at("offsets", 1) == 0, F.concat(F.lit("speeds must start at the period boundary: "), at))
     divides = lambda d: (length % d == 0) & F.forall("offsets", lambda o: o % d == 0)
     step = F.when(F.size("offsets") > 1, F.array_max(F.filter(F.sequence(F.lit(1), length), divides))) \
@@ -102,7 +102,7 @@ def native_grid(long: DataFrame, periods: list[Period]) -> DataFrame:
 def link_arrays(long: DataFrame, periods: list[Period], keys: list[str] = PAIR) -> DataFrame:
     """One row per period and link: its samples as (offset, speed) entries.
 
-    A link has one sample per minute of its period (``aligned`` fails on a second one), so a group
+    A link has one sample per minute of its period (``with_aligned`` fails on a second one), so a group
     stays below 1440 entries however large the table is.
     """
     start = F.try_element_at(period_map(periods, "start"), F.col("time_period"))
@@ -111,17 +111,22 @@ def link_arrays(long: DataFrame, periods: list[Period], keys: list[str] = PAIR)
     return owned_rows(long, periods).groupBy("time_period", *keys).agg(F.collect_list(entry).alias("samples"))
 
 
-def aligned(samples: Column, grid: Column, absent: Column, fill: Column) -> Column:
+def with_aligned(rows: DataFrame, fill: Column, name: str = "speeds") -> DataFrame:
     """Speeds on the grid: the sample, NULL where the link has none, ``fill`` where the period has none.
 
-    A link that has all samples of its period is aligned by one sort; only a link with gaps pays
-    for look-ups.  Two samples of the same minute fail in the look-up.
+    Gaps are filled with entries and the list is sorted once per row; every step is a column of its
+    own so that it is evaluated once.  Two samples of the same minute fail the job.
     """
+    kind = "array<struct<o:int,v:double>>"
     entry = lambda o, v: F.struct(o.cast("int").alias("o"), v.cast("double").alias("v"))
-    filled = F.array_sort(F.concat(
-        F.coalesce(samples, F.array().cast("array<struct<o:int,v:double>>")),
-        F.transform(absent, lambda o: entry(o, fill))))
-    complete = F.transform(filled, lambda e: e["o"]) == grid
-    table = F.map_from_entries(filled)
-    return F.when(complete, F.transform(filled, lambda e: e["v"])) \
-        .otherwise(F.transform(grid, lambda o: F.try_element_at(table, o)))
+    own = F.coalesce("samples", F.array().cast(kind))
+    r = rows.withColumn("__own", own)
+    r = r.withColumn("__all", F.concat("__own", F.transform("absent", lambda o: entry(o, fill))))
+    gaps = F.array_except("grid", F.transform("__all", lambda e: e["o"]))
+    nothing = F.lit(None).cast("double")
+    r = r.withColumn("__all", F.when(F.size("__all") == F.size("grid"), F.col("__all")).otherwise(
+        F.concat("__all", F.transform(gaps, lambda o: entry(o, nothing)))))
+    r = r.withColumn("__all", F.sort_array("__all"))
+    fits = F.transform("__all", lambda e: e["o"]) == F.col("grid")
+    double = F.raise_error("a link has two speeds for one minute").cast("array<double>")
+    return r.withColumn(name, F.when(fits, F.transform("__all", lambda e: e["v"])).otherwise(double)).drop("__own", "__all", "samples")
