@@ -13,6 +13,7 @@ import numpy as np
 
 STEP_HOURS = 1.0 / 12.0
 EPS = 1e-9
+INFEASIBLE = 1e-6
 # Bisection rounds and tolerances of the boundary connector.
 ROUNDS = 42
 NO_REVERSAL = 1e-10
@@ -135,25 +136,25 @@ def limit_changes(target, limits: Limits, last, recent: list, more_follows: bool
         if more_follows and i == s - 1:
             room = np.minimum(room, a)
         low, high = np.maximum(-room, previous - a), np.minimum(room, previous + a)
-        if (low > high + EPS).any():
+        if (low > high + INFEASIBLE).any():
             raise ValueError(f"rate limits are infeasible at sample {i}")
         middle = (low + high) / 2.0
         crossed = low > high
         low, high = np.where(crossed, middle, low), np.where(crossed, middle, high)
         change = np.minimum(high, np.maximum(low, target[:, i] - out[:, i - 1]))
         if i < s - 1:
-            reach = np.full(n, limits.step + a + EPS)
+            reach = np.full(n, limits.step + a)
             if len(recent) + 1 >= k - 1:
                 if k == 1:
-                    reach = np.minimum(reach, a + budget + EPS)
+                    reach = np.minimum(reach, a + budget)
                 else:
                     kept = recent[len(recent) - (k - 2):] if k > 2 else []
                     spare = budget - sum((np.abs(c) for c in kept), np.zeros(n))
-                    reach = np.minimum(reach, np.where(spare >= a, (a + spare + EPS) / 2.0, a + EPS))
+                    reach = np.minimum(reach, np.where(spare >= a, (a + spare) / 2.0, a))
             if more_follows and i + 1 == s - 1:
-                reach = np.minimum(reach, 2.0 * a + EPS)
+                reach = np.minimum(reach, 2.0 * a)
             nearest = np.minimum(high, np.maximum(low, 0.0))
-            if (np.abs(nearest) > reach).any():
+            if (np.abs(nearest) > reach + INFEASIBLE).any():
                 raise ValueError(f"rate limits cannot keep sample {i + 1} feasible")
             change = np.clip(change, -reach, reach)
         recent.append(change)

@@ -200,21 +200,20 @@ def fold_batches(periods: list[Period], limits: Limits, smooth_boundaries: bool)
                 scal = part["scal"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, len(index), len(scalars))
                 edges = np.cumsum([0, *[len(m) for m in minutes]])
                 # A gap between periods ends a run: nothing is carried over it.
-                runs, current = [], [0]
+                runs = [[0]]
                 for k in range(1, len(index)):
                     if grids[index[k]][0] == grids[index[k - 1]][1]:
-                        current.append(k)
+                        runs[-1].append(k)
                     else:
-                        runs.append(current)
-                        current = [k]
-                runs.append(current)
-                done = np.concatenate([enforce(
-                    [raw[:, edges[k]:edges[k + 1]] for k in r], [minutes[k] for k in r],
-                    [{s: scal[:, k, c] for c, s in enumerate(scalars)} for k in r], limits, smooth_boundaries) for r in runs], axis=1)
-                offsets = pa.array(np.arange(0, n * done.shape[1] + 1, done.shape[1], dtype=np.int32))
-                speeds = pa.ListArray.from_arrays(offsets, pa.array(done.ravel()))
-                kept = part.drop_columns(["signature", "raw", "scal"]).append_column("speeds", speeds)
-                yield from kept.to_batches()
+                        runs.append([k])
+                keys = part.drop_columns(["signature", "raw", "scal", "periods"])
+                for r in runs:
+                    done = enforce([raw[:, edges[k]:edges[k + 1]] for k in r], [minutes[k] for k in r],
+                                   [{s: scal[:, k, c] for c, s in enumerate(scalars)} for k in r], limits, smooth_boundaries)
+                    which = np.tile(np.asarray([index[k] for k in r], dtype=np.int32), n)
+                    lists = [pa.ListArray.from_arrays(pa.array(np.arange(0, len(v) + 1, len(v) // n, dtype=np.int32)), pa.array(v))
+                             for v in (which, done.ravel())]
+                    yield from keys.append_column("periods", lists[0]).append_column("speeds", lists[1]).to_batches()
     return run
 
 
@@ -223,7 +222,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 def enforced_arrays(inputs: DataFrame, periods: list[Period], keys: list[str], limits: Limits = Limits(),
                     smooth_boundaries: bool = True) -> DataFrame:
-    """(keys, periods, speeds): the enforced samples of all periods of a link, in order."""
+    """(keys, periods, speeds): enforced samples, one row per link and run of adjacent periods."""
     packed = _packed(inputs, keys)
     kinds = {f.name: f.dataType.simpleString() for f in packed.schema.fields}
     schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", periods array<int>, speeds array<double>"

@@ -91,9 +91,7 @@ SELECT from_node_id, to_node_id FROM link_performance WHERE 1 = 0"""))
 def profile_violations(spark, sf):
     """No enforced profile may break a limit: the expected result is empty."""
     arrays = pr.enforced_arrays(inputs(spark, sf), DAY_PERIODS, PAIR)
-    # Limits hold inside a run of adjacent periods; a link with a gap is checked run by run.
-    runs = arrays.withColumn("r", F.explode(_runs(F.col("periods"), F.col("speeds")))).select(*PAIR, F.col("r").alias("speeds"))
-    return pr.violations(pr.array_metrics(runs, PAIR)).select(*PAIR)
+    return pr.violations(pr.array_metrics(arrays, PAIR)).select(*PAIR)
 
 
 @query("profile_sample_count", check_sql("link_performance grid", """
@@ -104,18 +102,3 @@ def profile_sample_count(spark, sf):
     rows = pr.smooth_profiles(inputs(spark, sf), DAY_PERIODS, PAIR)
     per = rows.where(F.col("speed_mph").isNotNull()).groupBy(*KEYS).agg(F.count("*").alias("n"))
     return per.groupBy("time_period").agg(F.sum("n").alias("samples"), F.count("*").alias("links"))
-
-
-def _runs(periods, speeds):
-    """Speeds cut where two periods are no neighbours."""
-    lengths = F.array(*[F.lit((p.end - p.start) // 5) for p in DAY_PERIODS])
-    start = F.struct(F.lit(1).alias("at"), F.lit(-9).alias("last"), F.array().cast("array<array<double>>").alias("out"))
-
-    def step(acc, i):
-        n = F.element_at(lengths, i + 1)
-        piece = F.slice(speeds, acc["at"], n)
-        joined = F.concat(F.slice(acc["out"], F.lit(1), F.size(acc["out"]) - 1),
-                          F.array(F.concat(F.element_at(acc["out"], -1), piece)))
-        out = F.when(i == acc["last"] + 1, joined).otherwise(F.concat(acc["out"], F.array(piece)))
-        return F.struct((acc["at"] + n).alias("at"), i.alias("last"), out.alias("out"))
-    return F.aggregate(periods, start, step, lambda acc: acc["out"])
