@@ -41,9 +41,10 @@ def assemble(perf: DataFrame, links: DataFrame, speeds: DataFrame, periods: list
         *KEYS, *own, number_in(perf, "volume").alias("assigned_volume"), number_in(perf, "speed_mph").alias("assigned_speed")),
         KEYS, "performance table")
     wanted = totals.where(F.col("time_period").isin([p.name for p in periods]))
-    grid = native_grid(speeds, periods)
+    arrays = link_arrays(pair_keys(speeds), periods)
+    grid = native_grid(arrays, periods)
     table = period_table(perf.sparkSession, periods).select("time_period", "period_index", "period_minutes", "timeline_start")
-    rows = wanted.join(link_arrays(pair_keys(speeds), periods), KEYS, "left").join(network, lk, "left")
+    rows = wanted.join(arrays, KEYS, "left").join(network, lk, "left")
     rows = require(rows, F.col("__net"), "pair of the performance table is missing in the link table").drop("__net")
     rows = require(rows, F.col("assigned_volume") >= 0, "assigned volume is missing or negative")
     rows = rows.join(F.broadcast(grid), "time_period", "left").join(F.broadcast(table), "time_period")

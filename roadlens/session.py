@@ -9,16 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-# Long column expressions compile to methods the JVM refuses to optimise (over 8000 bytes of
-# bytecode).  Below this limit Spark splits such a stage by operator instead, which is several times
-# faster for the curve and estimate queries.
-TUNING = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+# Runtime settings (default, ours).  Long column expressions compile to methods the JVM refuses to
+# optimise (over 8000 bytes of bytecode); below that limit Spark splits such a stage by operator,
+# which is several times faster for the curve and estimate queries.  Collecting the samples of a
+# link falls back to sorting after 128 groups; short lists allow far more groups in memory.
+TUNING = {
+    "spark.sql.codegen.hugeMethodLimit": ("65535", "8000"),
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": ("128", "10000"),
+}
 
 
 def tune(spark: SparkSession) -> SparkSession:
     """Runtime settings the operators rely on for speed; a value the user chose is kept."""
-    for key, value in TUNING.items():
-        if spark.conf.get(key) == "65535":
+    for key, (default, value) in TUNING.items():
+        if spark.conf.get(key) == default:
             spark.conf.set(key, value)
     return spark
 

@@ -74,18 +74,19 @@ def pivot_speeds(long: DataFrame, keys: list[str], minutes: list[int], prefix: s
         F.max(F.when(F.col("minute") == m, F.col("speed_mph"))).alias(f"{prefix}{label(m)}") for m in minutes])
 
 
-def native_grid(long: DataFrame, periods: list[Period]) -> DataFrame:
+def native_grid(arrays: DataFrame, periods: list[Period]) -> DataFrame:
     """Sampling grid of every period: step, last step, offsets, and the offsets no link has.
 
     The step is the greatest common divisor of all offsets and the period length, so timestamps
-    absent from the whole period become visible.  A period has at most 1440 distinct minutes, which
-    bounds the set each task builds.
+    absent from the whole period become visible.  Links mostly share their set of offsets, so the
+    sets are made distinct before they are unrolled; a period has at most 1440 distinct offsets.
+    Built on ``link_arrays``, whose shuffle Spark reuses for the join that follows.
     """
     at = F.col("time_period")
-    start = F.try_element_at(period_map(periods, "start"), at)
     length = F.try_element_at(period_map(periods, "minutes"), at)
-    offset = F.pmod(F.col("minute") - start, F.lit(DAY))
-    seen = owned_rows(long, periods).groupBy("time_period").agg(F.sort_array(F.collect_set(offset)).alias("offsets"))
+    sets = arrays.select("time_period", F.sort_array(F.transform("samples", lambda e: e["o"])).alias("s")).distinct()
+    seen = sets.select("time_period", F.explode("s").alias("o")).groupBy("time_period").agg(
+        F.sort_array(F.collect_set("o")).alias("offsets"))
     seen = require(seen, F.element_at("offsets", 1) == 0, F.concat(F.lit("speeds must start at the period boundary: "), at))
     divides = lambda d: (length % d == 0) & F.forall("offsets", lambda o: o % d == 0)
     step = F.when(F.size("offsets") > 1, F.array_max(F.filter(F.sequence(F.lit(1), length), divides))) \
@@ -93,10 +94,7 @@ def native_grid(long: DataFrame, periods: list[Period]) -> DataFrame:
     grid = seen.withColumn("step", step)
     grid = grid.withColumn("grid", F.sequence(F.lit(0), length - 1, F.col("step")))
     last = length - F.element_at("grid", -1)
-    return grid.select(
-        "time_period", "step", last.alias("last_step"), "grid",
-        F.array_except("grid", "offsets").alias("absent"),
-    )
+    return grid.select("time_period", "step", last.alias("last_step"), "grid", F.array_except("grid", "offsets").alias("absent"))
 
 
 def link_arrays(long: DataFrame, periods: list[Period], keys: list[str] = PAIR) -> DataFrame:
