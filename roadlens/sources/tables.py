@@ -12,7 +12,7 @@ from roadlens.operators.quality import QualityError, duplicate_keys, enforce, re
 
 # Where a period's file may lie below the root, first hit wins ({p} period, {f} file,
 # {stem} file without its ending).
-LAYOUTS = ["{p}/{f}", "{p}/{p}_origIDs/{f}", "{p}_origIDs/{f}", "{stem}_{p}.csv", "Outputs/DTALite/{stem}_{p}.csv"]
+LAYOUTS = ["{p}/{f}", "{p}/{p}_origIDs/{f}", "{p}_origIDs/{f}", "{stem}_{p}.csv", "Outputs/*/{stem}_{p}.csv"]
 CATALOG_FILE = "06-qvdf-calibration/primary_qvdf_fit_catalog.csv"
 REFERENCE_FILE = "01-input-and-qc/link_reference.csv"
 CATALOG_COLUMNS = ["corridor", "sensor_uid", "calibration_period", "status", "n_episodes", "n", "s", "f_p", "f_d", "alpha", "beta"]
@@ -30,8 +30,9 @@ def resolve_period_file(spark: SparkSession, root: str, period: str, file: str)
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for path in tried:
         p = jvm.org.apache.hadoop.fs.Path(path)
-        if p.getFileSystem(conf).exists(p):
-            return path
+        hits = p.getFileSystem(conf).globStatus(p)
+        if hits is not None and len(hits) > 0:
+            return hits[0].getPath().toString()
     raise FileNotFoundError(f"no {file} for period {period}; tried: {', '.join(tried)}")
 
 
