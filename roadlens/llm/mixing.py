@@ -1,9 +1,9 @@
 """Mixing sources to target weights by pivotal dependent rounding.
 
 Every document of a source is to be taken `target / source size` times on average, at most MOST_COPIES times.  The whole part is
-taken outright; the fractions are rounded by pivotal steps: two documents meet, probability mass moves at random
-from one to the other until one of them is certain (0 or 1), and the other goes on with what is left.  Neighbours in size
-meet first, so that what one gains in words the other loses.  A leaf of the reduction leaves at most one open document;
+taken outright; the fractions are rounded by pivotal steps: two documents meet, expected words move at random
+from one to the other until one of them is certain (0 or 1), and the other goes on with what is left.  Large documents
+meet first, so the last open ones, the only ones that miss the target, are small.  A leaf of the reduction leaves at most one open document;
 the open ones of FAN_IN leaves meet in the next level, until a source has one, which is drawn.  All draws are hashes
 of the document's key, so a rerun gives the same mix whatever the partitions are.
 """
@@ -26,7 +26,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WEIGHTS = (5, 2, 1)
 SHARE, MOST_COPIES = 1.5, 2.0
 LEAF_ROWS, FAN_IN = 4096, 64
-EXACT = 1e-12
+EXACT = 1e-9
 
 
 def word_count(text):
@@ -74,14 +74,15 @@ def _uniform(key: np.ndarray, salt: int) -> np.ndarray:
     return (mix64(key.astype(np.uint64) + np.uint64(salt)) >> np.uint64(11)).astype(np.float64) / float(1 << 53)
 
 
-def _meet(q: float, p: float, draw: float) -> tuple[float, float]:
-    """A pivotal step: two open fractions, of which at least one is 0 or 1 afterwards; both keep their expectation."""
-    both = q + p
-    if both <= 1:
-        q, p = (both, 0.0) if draw * both < q else (0.0, both)
-    else:
-        q, p = (1.0, both - 1) if draw * (2 - both) < 1 - p else (both - 1, 1.0)
-    return tuple(float(round(x)) if min(x, 1 - x) <= EXACT else x for x in (q, p))
+def _meet(q: float, q_size: int, p: float, p_size: int, draw: float) -> tuple[float, float]:
+    """A pivotal step: words of expected mass move one way or the other until a document is certain.
+
+    The expected words of the two stay as they were, and each keeps its own expectation over the draw.
+    """
+    up, down = min((1 - q) * q_size, p * p_size), min(q * q_size, (1 - p) * p_size)
+    moved = up if draw * (up + down) < down else -down
+    after = q + moved / q_size, p - moved / p_size
+    return tuple(float(round(x)) if min(x, 1 - x) <= EXACT else x for x in after)
 
 
 def _pivotal(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.RecordBatch]:
@@ -93,6 +94,7 @@ def _pivotal(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.Recor
             batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
         group, leaf = batch.column("group_key").to_pylist(), batch.column("leaf").to_pylist()
         parts = batch.column("part").to_numpy(zero_copy_only=False).copy()
+        size = batch.column("size").to_pylist()
         draws = _uniform(batch.column("draw").to_numpy(zero_copy_only=False), 2 * level + 1)
         mark, at = None, None
         for i in range(batch.num_rows):
@@ -100,10 +102,12 @@ def _pivotal(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.Recor
                 mark, at = (group[i], leaf[i]), None
             if min(parts[i], 1 - parts[i]) <= EXACT:
                 parts[i] = round(parts[i])
+            elif not size[i]:  # has no words to move
+                parts[i] = float(draws[i] < parts[i])
             elif at is None:
                 at = i
             else:
-                parts[at], parts[i] = _meet(parts[at], parts[i], (draws[at] + draws[i]) % 1.0)
+                parts[at], parts[i] = _meet(parts[at], size[at], parts[i], size[i], (draws[at] + draws[i]) % 1.0)
                 at = i if 0 < parts[i] < 1 else at if 0 < parts[at] < 1 else None
         place = batch.schema.get_field_index("part")
         batch = batch.set_column(place, batch.schema.field("part"), pa.array(parts, pa.float64()))
@@ -114,14 +118,14 @@ def _pivotal(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.Recor
 
 
 def pivotal_round(units: DataFrame) -> DataFrame:
-    """Round `part` (0 to 1) of every row to 0 or 1; sums over a `group_key` change by less than one, and sums of `size` stay near.
+    """Round `part` (0 to 1) of every row to 0 or 1; the sum of `part * size` over a `group_key` changes by less than one row's size.
 
     `units` has at least group_key, leaf (0 up to the group's leaves), size, draw (bigint, the row's fixed random number) and part.
     """
     schema = units.schema
     names, done, level, levels = units.columns, [], 0, units
     while True:
-        dealt = levels.repartition(F.col("group_key"), F.col("leaf")).sortWithinPartitions("group_key", "leaf", "size", "draw")
+        dealt = levels.repartition(F.col("group_key"), F.col("leaf")).sortWithinPartitions("group_key", "leaf", F.desc("size"), "draw")
         rounded = checkpoint(dealt.mapInArrow(lambda b, level=level: _pivotal(b, level), schema))
         still = (F.col("part") > 0) & (F.col("part") < 1)
         done.append(rounded.where(~still))
