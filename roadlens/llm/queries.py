@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import exact_dedup, mixing
+from roadlens.llm import bpe_codec, exact_dedup, mixing, token_counts
 from roadlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -21,6 +21,32 @@ def query(name: str, oracle: str | None = None):
     return keep
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary that the token queries are defined on."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op2_token_counts")
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def codec_digests(documents: DataFrame, path: str) -> DataFrame:
+    """Encode, decode, and what both give as digests."""
+    encoded = bpe_codec.encode(documents, path)
+    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    decoded = bpe_codec.decode(encoded.withColumn("ids_sha256", F.sha2(listed.cast("binary"), 256)), path)
+    return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids_sha256",
+                          F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op7_bpe_codec")
+def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codec_digests(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @query("op9_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
