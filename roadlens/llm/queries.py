@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import bpe_codec, exact_dedup, mixing, token_counts, toxicity
+from roadlens.llm import bpe_codec, exact_dedup, language, mixing, token_counts, toxicity
 from roadlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -38,6 +38,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_id(read_table(spark, sf_dir, "documents"))
+
+
 def codec_digests(documents: DataFrame, path: str) -> DataFrame:
     """Encode, decode, and what both give as digests."""
     encoded = bpe_codec.encode(documents, path)
