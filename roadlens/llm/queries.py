@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import bpe_codec, exact_dedup, language, mixing, token_counts, toxicity
+from roadlens.llm import bpe_codec, exact_dedup, language, mixing, token_counts, topk, toxicity
 from roadlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -52,6 +52,21 @@ def codec_digests(documents: DataFrame, path: str) -> DataFrame:
                           F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query("op5_topk", """
+WITH q AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM q a JOIN q b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 @query("op7_bpe_codec")
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec_digests(read_table(spark, sf_dir, "documents"), tokenizer_path())
