@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import bpe_codec, exact_dedup, language, mixing, token_counts, topk, toxicity
+from roadlens.llm import bpe_codec, exact_dedup, language, mixing, token_counts, topk, toxicity, warc
 from roadlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -67,6 +67,12 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+@query("op6_warc")
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive(read_table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op7_bpe_codec")
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec_digests(read_table(spark, sf_dir, "documents"), tokenizer_path())
