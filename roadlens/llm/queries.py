@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import bpe_codec, exact_dedup, language, mixing, token_counts, topk, toxicity, warc
+from roadlens.llm import bpe_codec, exact_dedup, language, mixing, near_dedup, token_counts, topk, toxicity, warc
 from roadlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -52,6 +52,11 @@ def codec_digests(documents: DataFrame, path: str) -> DataFrame:
                           F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query("op4_near_dedup")
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(read_table(spark, sf_dir, "documents"))
+
+
 @query("op5_topk", """
 WITH q AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
