@@ -23,7 +23,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Unicode property White_Space, because the regex libraries disagree on it.
 _SPACE = r"\t-\r \x85\xa0  -     　"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
-LONG, CELLS, MEMO = 512, 2_000_000, 300_000
+LONG, CELLS, MEMO = 512, 2_000_000, 150_000
 _NONE = np.iinfo(np.int64).max
 
 

@@ -54,7 +54,7 @@ def encode(documents: DataFrame, tokenizer_path: str) -> DataFrame:
             return splitter, Memo(splitter, Encoder(v))
         splitter, memo = worker_cache(f"encode_{len(v.tokens)}_{hash(v.pairs[-1])}", tools)
         for whole in batches:
-            for batch in slices(whole, "text", 2_000_000):
+            for batch in slices(whole, "text", 1_000_000):
                 texts = [t or "" for t in batch.column("text").to_pylist()]
                 rows = [b"".join(x) for x in coded(v, splitter, memo, texts, lambda i: i.to_bytes(4, "little"))]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(rows)], ["doc_id", "ids"])
