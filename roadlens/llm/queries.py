@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import bpe_codec, exact_dedup, language, mixing, near_dedup, token_counts, topk, toxicity, warc
+from roadlens.llm import bpe_codec, exact_dedup, language, mixing, near_dedup, pii, token_counts, topk, toxicity, warc
 from roadlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -83,6 +83,18 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec_digests(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@query("op8_pii")
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(read_table(spark, sf_dir, "documents"))
+    kinds = list(pii.PATTERNS)
+
+    def joined(spans):
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+    base = F.filter("spans", lambda s: s["kind"] != pii.TERM)
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{kind}')) AS bigint) AS n_{kind}") for kind in kinds]
+    return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 @query("op9_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
