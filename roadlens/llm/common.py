@@ -20,7 +20,7 @@ from roadlens.session import CHECKPOINT_KEY, cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-__all__ = ["checkpoint", "shared_folder", "worker_cache", "slices", "held_out", "read_table", "mix64", "sample_rank"]
+__all__ = ["checkpoint", "shared_folder", "worker_cache", "slices", "free_names", "held_out", "read_table", "mix64", "sample_rank"]
 
 checkpoint = cut_lineage
 
@@ -62,6 +62,17 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterato
         at = end
 
 
+def free_names(frame: DataFrame, *wanted: str) -> list[str]:
+    """The wanted column names, each lengthened until the frame has no such column (names are compared without case)."""
+    taken = {c.lower() for c in frame.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def held_out(doc_id: str = "doc_id"):
     """True for the fifth of all rows that no learner may see the label of; a null id counts as held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(True))

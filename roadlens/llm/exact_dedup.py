@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import checkpoint, mix64, slices
+from roadlens.llm.common import checkpoint, free_names, mix64, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -126,7 +126,8 @@ def keep_one_of_each(documents: DataFrame) -> DataFrame:
     one stays.
     """
     columns = documents.columns
-    kept = exact_groups(documents.select("doc_id", "text")).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
-    keyed = documents.withColumn("_sha", F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
-    met = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("_sha") == F.col("kept_sha")), "left_semi")
-    return met.dropDuplicates(["doc_id", "_sha"]).select(*columns)
+    sha, kept_id, kept_sha = free_names(documents, "sha", "kept_id", "kept_sha")
+    kept = exact_groups(documents.select("doc_id", "text")).where("kept").select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_sha))
+    keyed = documents.withColumn(sha, F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
+    met = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col(sha) == F.col(kept_sha)), "left_semi")
+    return met.dropDuplicates(["doc_id", sha]).select(*columns)

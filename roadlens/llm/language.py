@@ -25,7 +25,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Bounds: examples per language (learner, calibration), languages, and the width features are hashed to.
 LEARN_SAMPLE, CALIBRATION_SAMPLE, LANGUAGES, WIDTH = 500, 150, 200, 1 << 16
-ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 2e-4, 1e-5, 3
+ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.02, 1e-3, 3
 UNKNOWN = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 

@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import checkpoint, mix64
+from roadlens.llm.common import checkpoint, free_names, mix64
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -184,7 +184,8 @@ def mixed_rows(mixed: DataFrame) -> DataFrame:
 def take_mix(documents: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as it is taken, with the columns of the input."""
     columns = documents.columns
-    taken = mix(documents, **options).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_key").alias("_key"), "copies")
-    keyed = documents.withColumn("_text_key", F.xxhash64("text"))
-    met = keyed.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_text_key") == F.col("_key")))
-    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select(*columns)
+    i, s, k, key, copies, copy = free_names(documents, "id_taken", "source_taken", "key_taken", "key", "copies", "copy")
+    taken = mix(documents, **options).where("copies > 0").select(F.col("doc_id").alias(i), F.col("source").alias(s), F.col("text_key").alias(k), F.col("copies").alias(copies))
+    keyed = documents.withColumn(key, F.xxhash64("text"))
+    met = keyed.join(taken, F.col("doc_id").eqNullSafe(F.col(i)) & F.col("source").eqNullSafe(F.col(s)) & (F.col(key) == F.col(k)))
+    return met.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies)))).select(*columns)

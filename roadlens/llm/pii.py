@@ -41,7 +41,7 @@ def _valid():
     """Rules that a match must pass; one that fails is dropped and nothing in it is tried again."""
     return {
         "email": "true",
-        "ip": "forall(split(m.value, '[.]'), p -> length(ltrim('0', p)) <= 3 AND coalesce(cast(ltrim('0', p) AS int), 0) <= 255)",
+        "ip": "forall(split(m.value, '[.]'), p -> length(ltrim('0', p)) <= 3 AND coalesce(try_cast(ltrim('0', p) AS int), 0) <= 255)",
         "card": "length(regexp_replace(m.value, '[ -]', '')) BETWEEN 13 AND 19 AND luhn_check(regexp_replace(m.value, '[ -]', ''))",
         "phone": "length(regexp_replace(m.value, '[^0-9]', '')) BETWEEN 9 AND 15",
     }
