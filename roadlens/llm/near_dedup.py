@@ -4,9 +4,9 @@ Every shingle of a text is a Poisson process whose rate is its weight (1 + ln of
 random registers; a register keeps the shingle that arrived first.  A shingle is dropped as soon as its next arrival is later than
 all registers, so most give one or two arrivals.  Two texts agree in a register with the probability Jaccard similarity.
 
-Texts with equal shingle sets are one node.  Nodes that agree in a whole band of registers stand in a bucket; the links of a bucket are
-found by testing one member against all others, then further members, until all that is left in it is in one component or has been
-tested with every other.  A bucket of true copies so costs one test per member, and no link within a bucket is lost.
+Texts with equal shingle sets are one node.  Nodes that agree in a whole band of registers stand in a bucket.  The links of a bucket are
+found by comparing one member, its head, with all others, exactly; what is not in one component then goes on in smaller buckets that every
+further link must share (see `_apart`), with 1, 4, 16, ... heads at a time.  A bucket of true copies so costs one test per member, and no link within a bucket is lost.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import checkpoint, mix64
+from roadlens.llm.common import checkpoint, free_names, mix64
 from roadlens.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -29,7 +29,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WORDS, BANDS, ROWS = 5, 20, 4
 REGISTERS = BANDS * ROWS
 SLICE = 300_000  # words that are sketched at once
-FOUR_FIFTHS = (4, 5)
 
 
 def word_hashes(text):
@@ -137,14 +136,48 @@ def shingle_sets(documents: DataFrame, needed: DataFrame) -> DataFrame:
     return _prepared(picked).mapInArrow(_sets, "node BINARY, shingles ARRAY<BIGINT>").dropDuplicates(["node"])
 
 
-def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose shingle sets have a Jaccard similarity of at least four fifths, counted exactly."""
-    left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("of_u"))
-    right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("of_v"))
-    both = pairs.join(left, "u").join(right, "v")
-    common = F.size(F.array_intersect("of_u", "of_v"))
-    least, whole = FOUR_FIFTHS
-    return both.where(whole * common >= least * (F.size("of_u") + F.size("of_v") - common)).select("u", "v")
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (node, head) with `common`, the number of shingles they share, and `outside`, those of node that head lacks.
+
+    The head's set comes first and the node's last, so a head of very many pairs is spread out again.
+    """
+    heads = sets.select(F.col("node").alias("head"), F.col("shingles").alias("of_head"))
+    both = pairs.join(heads, "head").join(sets, "node")
+    return both.select("node", "head", F.size(F.array_intersect("shingles", "of_head")).alias("common"), F.array_except("shingles", "of_head").alias("outside"))
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows of buckets that hold more than one component."""
+    mixed = rows.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("bucket")
+    return rows.join(mixed, "bucket")
+
+
+_ROW = ("bucket", "node", "kinds", "met", "component")
+
+
+def _apart(left: DataFrame, tested: DataFrame) -> DataFrame:
+    """Smaller buckets that every link must share which the heads have not shown; `left` are the buckets' members without their heads O.
+
+    A link of x and y needs 9 |x & y| >= 4 (|x| + |y|), and y has at least max(smallest member, 0.8 |x|) shingles, so x and y share at least
+    t = 4/9 (|x| + that) - |x & O| shingles outside O.  Where t <= 0 for both, (1): such members stay together.  Else (2) they share one of
+    the |outside| - t + 1 rarest shingles that each has outside O, rarity being the same order for all members of O's buckets: these shingles
+    are the new buckets.  What only one member has gives no bucket, and edits mostly are such, so members that are merely edited from
+    one text are not compared pair by pair.
+    """
+    partner = F.greatest(F.col("least_kinds").cast("double"), 0.8 * F.col("kinds"))
+    met = left.join(tested, ["node", "head"]).withColumn("t", F.ceil((4 * (F.col("kinds") + partner) - 9 * F.col("common")) / 9 - 1e-9).cast("int"))
+    # Members linked to O are in one component: the others are the better heads from here on.
+    met = met.withColumn("met", F.when(9 * F.col("common") >= 4 * (F.col("kinds") + F.col("head_kinds")), F.abs("met")).otherwise(F.col("met")))
+    together = met.where("t <= 0").select(*_ROW)
+    own = met.groupBy("node", "head").agg(F.min("t").alias("t"), F.first("kinds").alias("kinds"), F.first("met").alias("met"), F.first("component").alias("component"))
+    spread = own.join(tested.select("node", "head", "outside"), ["node", "head"]).select("node", "head", "kinds", "met", "component", "t", F.size("outside").alias("n"), F.explode("outside").alias("shingle"))
+    spread = checkpoint(spread)
+    shared = spread.groupBy("head", "shingle").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    mine = Window.partitionBy("node", "head")
+    placed = spread.join(shared, ["head", "shingle"]).withColumn("place", F.row_number().over(mine.orderBy("held", "shingle"))).withColumn("mine", F.count(F.lit(1)).over(mine))
+    rare = placed.where(F.col("place") + F.col("n") - F.col("mine") <= F.col("n") - F.greatest(F.col("t"), F.lit(1)) + 1)
+    apart = rare.withColumn("bucket", F.xxhash64("head", "shingle")).select(*_ROW)
+    return checkpoint(_mixed(together.unionByName(apart)))
 
 
 def near_groups(documents: DataFrame) -> DataFrame:
@@ -153,35 +186,43 @@ def near_groups(documents: DataFrame) -> DataFrame:
     Reads doc_id and text; other columns are not read.  One row per input row: doc_id, class_id (least doc_id of the class), copy_id (least doc_id with the same
     shingles), class_size, kept (true for one row of each class).  A class holds all that is connected by links.  Texts of one to
     four words have themselves as their only shingle; null, empty and blank texts are one class.  Null ids are larger than any; a class of null
-    ids only has a null class_id.  Of rows that tie for the least doc_id one is kept.  An empty table gives an empty result.
+    ids only has a null class_id.  Of rows that tie for the least doc_id one is kept; an id that names texts of two classes names both classes if it is the least in both.  An empty table gives an empty result.
     """
     rows = checkpoint(_prepared(documents).mapInArrow(_sketches, "doc_id BIGINT, node BINARY, kinds INT, buckets ARRAY<BIGINT>").withColumn("row_key", F.monotonically_increasing_id()))
     nodes = checkpoint(rows.groupBy("node").agg(F.min("doc_id").alias("copy_id"), F.first("kinds").alias("kinds"), F.min("buckets").alias("buckets")))
-    spread = nodes.where("kinds > 0").select("node", "kinds", F.xxhash64("node").alias("order"), F.explode("buckets").alias("bucket"))
-    full = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    open_ = checkpoint(spread.join(full, "bucket").withColumn("component", F.col("node")))
+    spread = nodes.where("kinds > 0").select("node", "kinds", F.explode("buckets").alias("bucket"))
+    full = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = checkpoint(spread.join(full, "bucket"))
+    # Who meets most others comes first: the text that a family of copies was made from is near all of them, a copy is not.
+    order = met.groupBy("node").agg((-F.sum("n")).alias("met"))
+    open_ = checkpoint(met.drop("n").join(order, "node").withColumn("component", F.col("node")).select(*_ROW))
     needed = nodes.join(open_.select("node").distinct(), "node", "left_semi").select(F.col("copy_id").alias("doc_id"))
-    sets = checkpoint(shingle_sets(documents, needed)) if not open_.isEmpty() else None
-    links, leaders = None, 1
-    while sets is not None and not open_.isEmpty():
-        order = Window.partitionBy("bucket").orderBy("order", "node")
-        if leaders == 1:
-            heads = open_.groupBy("bucket").agg(F.min(F.struct("order", "node", "kinds", "component")).alias("head")).select("bucket", "head.*")
-        else:
-            heads = open_.withColumn("place", F.row_number().over(order)).where(F.col("place") <= leaders)
-        heads = checkpoint(heads.select("bucket", *[F.col(c).alias(f"head_{c}") for c in ("order", "node", "kinds", "component")]))
-        small, large = F.least("kinds", "head_kinds"), F.greatest("kinds", "head_kinds")
-        pairs = open_.join(heads, "bucket").where((F.col("component") != F.col("head_component")) & (FOUR_FIFTHS[1] * small >= FOUR_FIFTHS[0] * large))
-        pairs = pairs.select(F.least("node", "head_node").alias("u"), F.greatest("node", "head_node").alias("v")).distinct()
-        found = similar(pairs, sets)
+    links, leaders = None, 0
+    while not open_.isEmpty():
+        if links is None:  # one head for each bucket of a band, compared with all its members
+            sets = checkpoint(shingle_sets(documents, needed))
+            first = F.min(F.struct("met", F.col("node").alias("head"), F.col("kinds").alias("head_kinds"))).alias("first")
+            heads = checkpoint(open_.groupBy("bucket").agg(first, F.min("kinds").alias("least_kinds")).select("bucket", "first.head", "first.head_kinds", "least_kinds"))
+            pairs = open_.select("bucket", "node", "kinds").join(heads, "bucket").where("node <> head").select("node", "head", "kinds", "head_kinds").distinct()
+        else:  # 1, 4, 16, ... heads, compared with what could be linked to them and is not yet in their component
+            heads = open_.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy("met", "node"))).where(F.col("place") <= leaders)
+            heads = checkpoint(heads.select("bucket", *[F.col(c).alias(f"head_{c}") for c in ("node", "kinds", "met", "component")]).withColumnRenamed("head_node", "head"))
+            pairs = open_.join(heads, "bucket").where((F.col("component") != F.col("head_component")) & (5 * F.least("kinds", "head_kinds") >= 4 * F.greatest("kinds", "head_kinds")))
+            pairs = pairs.select("node", "head", "kinds", "head_kinds").distinct()
+        pairs = checkpoint(pairs)
+        tested = checkpoint(compared(pairs.select("node", "head"), sets).join(pairs, ["node", "head"]))
+        found = tested.where(9 * F.col("common") >= 4 * (F.col("kinds") + F.col("head_kinds"))).select(F.col("node").alias("u"), F.col("head").alias("v"))
         links = checkpoint(found if links is None else links.unionByName(found))
         grouped = checkpoint(components(links))
-        tested = heads.groupBy("bucket").agg(F.max(F.struct("head_order", "head_node")).alias("last"))
-        left = open_.drop("component").join(tested, "bucket").where(F.struct("order", "node") > F.col("last")).drop("last")
-        left = left.join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = left.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("bucket")
-        open_ = checkpoint(left.join(mixed, "bucket").select(*open_.columns))
-        leaders *= 8
+        if not leaders:
+            left = open_.join(heads, "bucket").where("node <> head")
+        else:
+            last = heads.groupBy("bucket").agg(F.max(F.struct("head_met", "head")).alias("last"))
+            left = open_.join(last, "bucket").where(F.struct("met", "node") > F.col("last")).drop("last")
+        left = left.drop("component").join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        left = checkpoint(_mixed(left))
+        open_ = left if leaders else _apart(left, tested.select("node", "head", "common", "outside"))
+        leaders = max(1, 4 * leaders)
     if links is None:
         placed = nodes.select("node", "copy_id", F.col("node").alias("component"))
     else:
@@ -197,5 +238,6 @@ def near_groups(documents: DataFrame) -> DataFrame:
 def keep_one_of_each(documents: DataFrame) -> DataFrame:
     """All columns of the documents that are kept, one of each class; expects ids that name one text each (rows that share an id and a
     class share its fate, and the first of them stays)."""
-    kept = near_groups(documents).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return documents.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    (kept_id,) = free_names(documents, "kept_id")
+    kept = near_groups(documents).where("kept").select(F.col("doc_id").alias(kept_id)).distinct()
+    return documents.join(kept, F.col("doc_id").eqNullSafe(F.col(kept_id)), "left_semi")
