@@ -12,6 +12,7 @@ from roadlens.functions.columns import (
 )
 from roadlens.functions.timeofday import Period
 from roadlens.operators.performance import TAZ_SCOPE
+from roadlens.operators.quality import unique_by
 from roadlens.operators.summary import DISTRICTS, district_name
 from roadlens.sources.periods import period_map
 
@@ -131,7 +132,7 @@ def full_link_diff(bd: DataFrame, bd_links: DataFrame, nb: DataFrame, nb_links:
     b = b.where((F.col("TAZ") > TAZ_SCOPE[0]) & (F.col("TAZ") < TAZ_SCOPE[1]) & (F.col("FT") > 0))
     n = _travel(comparison_aliases(nb), nb_links, ["length_in_mile", "free_speed"], order)
     names = ["vehicle_volume", "speed_mph", "person_delay"]
-    right = n.select(*key, *[F.col(c).alias(f"{c}_nb") for c in names])
+    right = unique_by(n.select(*key, *[F.col(c).alias(f"{c}_nb") for c in names]), key, "NB table")
     j = b.select(*key, "FT", "TAZ", "district_id", district_name(F.col("district_id")).alias("jur_name"),
                  *[F.col(c).alias(f"{c}_bd") for c in names]).join(right, key, "left")
     j = j.withColumns({f"{c}_nb": F.coalesce(F.col(f"{c}_nb"), F.lit(NO_MATCH)) for c in names})
@@ -149,7 +150,8 @@ def daily_aggregate(perf: DataFrame, periods: list[Period], midnight: str = "wra
                     order: str | None = None) -> DataFrame:
     """Daily totals of the links the first period has; speed weighted by period length.
 
-    One aggregation over the pair; ``order`` makes the last copy of a (link, period) win.
+    One aggregation over the pair; ``order`` makes the last copy of a (link, period) win, without it
+    a repeated (link, period) fails the job.
     """
     p = comparison_aliases(pair_keys(perf).withColumn("time_period", F.lower("time_period")))
     p = p.where(F.col("time_period").isin([x.name for x in periods]))
@@ -165,12 +167,15 @@ def daily_aggregate(perf: DataFrame, periods: list[Period], midnight: str = "wra
     statics = [c for c in ("geometry", "link_type") if c in p.columns]
     out = p.groupBy(*keys).agg(
         F.bool_or(base).alias("__base"),
+        F.greatest(F.lit(0), *[F.count_if(F.col("time_period") == x.name) for x in periods]).alias("__copies"),
         *[F.max(F.when(base, F.col(c))).alias(c) for c in statics],
         ratio(F.sum(F.when(usable, speed * hours)), F.sum(F.when(usable, hours))).alias("speed"),
         zero_if_null(F.sum(number_in(p, "volume"))).alias("volume"),
         zero_if_null(F.sum(number_in(p, "person_volume"))).alias("person_volume"),
     )
-    return out.where("__base").drop("__base")
+    shown = F.concat_ws("->", *[F.col(k).cast("string") for k in PAIR])
+    once = F.when(F.col("__copies") > 1, F.raise_error(F.concat(F.lit("repeated link and period in the daily table, e.g. "), shown)).cast("boolean"))
+    return out.where(F.coalesce(once, F.lit(True)) & F.col("__base")).drop("__base", "__copies")
 
 
 def district_diff(bd_day: DataFrame, bd_links: DataFrame, nb_day: DataFrame, nb_links: DataFrame) -> DataFrame:
@@ -183,7 +188,7 @@ def district_diff(bd_day: DataFrame, bd_links: DataFrame, nb_day: DataFrame, nb_
     def measured(day: DataFrame, links: DataFrame) -> DataFrame:
         attrs = ["district_id", "length_in_mile", "free_speed"]
         slim = links.select(*PAIR, *attrs, *(["link_type"] if "link_type" not in day.columns else []))
-        j = day.drop(*attrs).join(slim, PAIR, "left").where(named)
+        j = day.drop(*attrs).join(unique_by(slim, PAIR, "link table of the day"), PAIR, "left").where(named)
         j = j.withColumns({a: F.coalesce(F.col(a).cast("double"), F.lit(NO_MATCH)) for a in attrs[1:]})
         delay = F.try_divide(F.col("length_in_mile"), F.col("speed")) - F.try_divide(F.col("length_in_mile"), F.col("free_speed"))
         return j.withColumns({"person_delay": F.col("person_volume") * delay,
@@ -193,7 +198,7 @@ def district_diff(bd_day: DataFrame, bd_links: DataFrame, nb_day: DataFrame, nb_
     b = measured(bd_day, bd_links).withColumn("FT", facility_type("link_type"))
     b = b.select(*key, district_name(F.col("district_id")).alias("jur_name"), "FT", *[F.col(v).alias(f"{v}_bd") for v in values])
     n = measured(nb_day, nb_links).select(*key, *[F.col(v).alias(f"{v}_nb") for v in values])
-    j = b.join(n, key, "left").withColumns({f"{v}_nb": F.coalesce(F.col(f"{v}_nb"), F.lit(NO_MATCH)) for v in values})
+    j = b.join(unique_by(n, key, "NB day"), key, "left").withColumns({f"{v}_nb": F.coalesce(F.col(f"{v}_nb"), F.lit(NO_MATCH)) for v in values})
     return j.withColumns({
         d: F.when(F.col(f"{v}_nb") == NO_MATCH, F.lit(NO_MATCH)).otherwise(F.col(f"{v}_bd") - F.col(f"{v}_nb"))
         for v, d in values.items()})

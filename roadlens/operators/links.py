@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from roadlens.functions import geometry as geo
 from roadlens.functions.columns import KM_PER_MILE, METRES_PER_MILE, PAIR, number, number_in
-from roadlens.operators.quality import require, require_columns, unique_by
+from roadlens.operators.quality import QualityError, require, require_columns, unique_by
 
 # Class tables of the network, the closed-use codes, and adjustment factors.
 SPEED_BY_CLASS = {
@@ -87,6 +87,8 @@ def parameter_table(wide: DataFrame, periods: Sequence[str] = ("am", "md", "pm")
     rows = require(rows, F.lower(F.trim("data_type")) == "vdf_code", "unsupported data_type in the parameter table")
     rows = require(rows, F.length("vdf_code") > 0, "blank vdf_code in the parameter table")
     rows = unique_by(rows, ["vdf_code"], "parameter table")
+    if rows.where("vdf_code = 'all'").isEmpty():
+        raise QualityError("the parameter table has no row `all`")
 
     def cell(name: str) -> Column:
         if name not in wide.columns:
@@ -129,11 +131,23 @@ def select_parameters(links: DataFrame, table: DataFrame, strict: bool = True) -
     return out.withColumns({f"vdf_{k}": chosen[k] for k in PARAMETERS}).drop("__code", "__exact", "__all")
 
 
-def reject_reason(rows: DataFrame, nodes: DataFrame | None = None) -> Column:
-    """Why a period link is refused, first reason only; NULL for an accepted link."""
-    lanes, cap, spd = (number(c).cast("int") for c in ("lane", "CAPCLASS", "SPDCLASS"))
+def whole_number(rows: DataFrame, name: str) -> Column:
+    """Integer value of a cell; text that is not written as an integer (``2.5``, ``2.0``) is NULL."""
+    if rows.schema[name].dataType.simpleString() == "string":
+        return F.when(F.col(name).rlike(r"^\s*[+-]?[0-9]+\s*$"), number(F.trim(name))).cast("int")
+    return number(name).cast("int")
+
+
+def reject_reason(rows: DataFrame) -> Column:
+    """Why a period link is refused, first reason only; NULL for an accepted link.
+
+    Rows may carry ``nodes_known``; a link with an unknown end node is refused then.
+    """
+    lanes, cap, spd = (whole_number(rows, c) for c in ("lane", "CAPCLASS", "SPDCLASS"))
+    known = F.col("nodes_known") if "nodes_known" in rows.columns else F.lit(True)
     reasons = [
         ("self_loop", F.col("from_node_id") == F.col("to_node_id")),
+        ("unknown_node", ~known),
         ("lanes_not_integer", lanes.isNull()),
         ("no_lanes", lanes <= 0),
         ("capacity_class_not_integer", cap.isNull()),
@@ -144,24 +158,33 @@ def reject_reason(rows: DataFrame, nodes: DataFrame | None = None) -> Column:
     return F.coalesce(*[F.when(bad, F.lit(name)) for name, bad in reasons])
 
 
-def period_links(network: DataFrame, periods: Sequence[str]) -> DataFrame:
-    """Unpivoted network rows with their reject reason."""
+def period_links(network: DataFrame, periods: Sequence[str], nodes: DataFrame | None = None) -> DataFrame:
+    """Unpivoted network rows with their reject reason; with ``nodes`` (node_id) both end nodes must be among them."""
+    if nodes is not None:
+        ids = nodes.select("node_id").where("node_id IS NOT NULL").distinct()
+        for end, mark in zip(PAIR, ("__from", "__to")):
+            network = network.join(ids.select(F.col("node_id").alias(end), F.lit(True).alias(mark)), end, "left")
+        network = network.withColumn("nodes_known", F.col("__from").isNotNull() & F.col("__to").isNotNull()).drop("__from", "__to")
     keep = ["link_id", *PAIR, "ATYPE", "FTYPE", "CAPCLASS", "SPDCLASS", "DISTANCE",
-            *[c for c in ("geometry", "STREETNAME", "TAZ", "order_id") if c in network.columns]]
+            *[c for c in ("geometry", "STREETNAME", "TAZ", "order_id", "nodes_known") if c in network.columns]]
     rows = period_rows(network, periods, {"lane": "{P}LANE", "limit": "{P}LIMIT", "toll_cents": "{P}TOLL"}, keep)
-    return rows.withColumn("reject_reason", reject_reason(rows))
+    return rows.withColumn("reject_reason", reject_reason(rows)).drop("nodes_known")
 
 
 def rejected_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("time_period", F.coalesce("reject_reason", F.lit("accepted")).alias("outcome")).agg(F.count("*").alias("links"))
 
 
-def convert_links(network: DataFrame, periods: Sequence[str], parameters: DataFrame) -> DataFrame:
-    """Accepted links of all periods in kernel units, with class values, tolls and parameters."""
-    rows = period_links(network, periods).where(F.col("reject_reason").isNull()).drop("reject_reason")
+def convert_links(network: DataFrame, periods: Sequence[str], parameters: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+    """Accepted links of all periods in kernel units, with class values, tolls and parameters.
+
+    An unknown limit code fails the job.
+    """
+    rows = period_links(network, periods, nodes).where(F.col("reject_reason").isNull()).drop("reject_reason")
     zero = F.lit(0)
     a, f = (F.coalesce(number(c).cast("int"), zero) for c in ("ATYPE", "FTYPE"))
     limit = F.coalesce(number("limit").cast("int"), zero)
+    rows = require(rows, look_up(USES_BY_LIMIT, limit).isNotNull(), "unknown limit code")
     miles = F.coalesce(number("DISTANCE"), F.lit(0.0))
     rows = rows.withColumns({
         "link_type": (100 * a + f).cast("int"),

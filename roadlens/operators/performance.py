@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from roadlens.functions.columns import (
     PAIR, facility_type, has, normal_id, number_in, pair_keys, preferred, ratio, zero_if_null,
@@ -106,6 +107,40 @@ def has_incomplete_pair(perf: DataFrame, links: DataFrame) -> bool:
     return bool(perf.where(missing).limit(1).count() or links.where(missing).limit(1).count())
 
 
+def incomplete_periods(perf: DataFrame, links: DataFrame) -> list[str]:
+    """Action: the periods in which a performance or link row lacks a node id (one entry per period at most)."""
+    if not has(perf, *PAIR) or not has(links, *PAIR):
+        return [r[0] for r in perf.select("time_period").distinct().collect()]
+    missing = F.col(PAIR[0]).isNull() | F.col(PAIR[1]).isNull()
+    lacking = perf.where(missing).select("time_period").distinct()
+    if "time_period" in links.columns:
+        lacking = lacking.unionByName(links.where(missing).select(F.lower("time_period").alias("time_period")).distinct())
+    elif not links.where(missing).isEmpty():
+        lacking = perf.select("time_period").distinct()
+    return sorted({r[0] for r in lacking.collect() if r[0] is not None})
+
+
+def carry_with_fallback(perf: DataFrame, links: DataFrame, order: str | None = None) -> DataFrame:
+    """``carry_attributes``, but by link id in the periods whose node pairs are incomplete.
+
+    Without ``order`` the first row of a link id is the first one as read.
+    """
+    by_id = incomplete_periods(perf, links)
+    if not by_id:
+        return carry_attributes(perf, links)
+    fields = [f for f in [*CARRIED, *limit_columns(links).values()] if f in links.columns and f not in perf.columns]
+    one, two, at = perf, links, order
+    if order is None:
+        at = "__order"
+        one, two = (f.withColumn(at, F.monotonically_increasing_id()) for f in (perf, links))
+    fallback = carry_by_link_id(one.where(F.col("time_period").isin(by_id)), two, fields, at).select(*perf.columns, *fields)
+    rest = perf.where(~F.col("time_period").isin(by_id))
+    whole = links if not has(links, *PAIR) else links.where(F.col(PAIR[0]).isNotNull() & F.col(PAIR[1]).isNotNull())
+    if not has(perf, *PAIR) or not has(links, *PAIR):
+        return fallback
+    return carry_attributes(rest, whole, fields).unionByName(fallback)
+
+
 def hov_flag(frame: DataFrame) -> Column:
     toll = F.col("TOLLGRP") if "TOLLGRP" in frame.columns else F.lit(0)
     wide = limit_columns(frame)
@@ -129,10 +164,20 @@ def analysis_scope(frame: DataFrame, jurisdictions: bool) -> Column:
     return keep
 
 
+def period_left(total: Column) -> Column:
+    """Whether a period (one row, or one value in all its rows) has volume; an error where none has."""
+    none = F.coalesce(F.max(total).over(W.partitionBy(F.lit(0))), F.lit(0.0)) < MIN_PERIOD_VOLUME
+    failure = F.raise_error(F.lit("no period with volume is left")).cast("boolean")
+    return F.when(none, failure).otherwise(F.coalesce(total >= MIN_PERIOD_VOLUME, F.lit(False)))
+
+
 def drop_low_volume_periods(frame: DataFrame) -> DataFrame:
-    """Without the periods whose total volume is below 0.5; the period list is a few rows."""
+    """Without the periods whose total volume is below 0.5; the period list is a few rows.
+
+    Fails when rows are there but no period is left.
+    """
     totals = frame.groupBy("time_period").agg(F.sum(number_in(frame, "volume")).alias("v"))
-    kept = totals.where(F.col("v") >= MIN_PERIOD_VOLUME).select("time_period")
+    kept = totals.withColumn("left", period_left(F.col("v"))).where("left").select("time_period")
     return frame.join(F.broadcast(kept), "time_period", "left_semi")
 
 
@@ -249,16 +294,18 @@ def hov_copies(frame: DataFrame) -> DataFrame:
 def preprocess_performance(perf: DataFrame, links: DataFrame, periods: list[Period] | None = None, *,
                            jurisdictions: bool = True, resident: DataFrame | None = None,
                            length_unit: str = "mile", speed_unit: str = "mph",
-                           skip_low_volume: bool = True) -> DataFrame:
+                           skip_low_volume: bool = True, order: str | None = None) -> DataFrame:
     """Combined performance table: carried attributes, scope, measures, trips and HOV twins.
 
+    A period with incomplete node pairs is matched by link id, first rows (by ``order``) on both sides.
+
     ``skip_low_volume=False`` leaves the period test to the caller; the statistics apply it to
     their aggregates, which saves the second pass over the input.
     """
     base = perf.withColumn("time_period", F.lower("time_period"))
     if periods is not None:
         base = base.where(F.col("time_period").isin([p.name for p in periods]))
-    joined = carry_attributes(base, default_link_fields(links))
+    joined = carry_with_fallback(base, default_link_fields(links), order)
     joined = joined.withColumn("is_hov", hov_flag(joined))
     scoped = joined.where(analysis_scope(joined, jurisdictions))
     if skip_low_volume:

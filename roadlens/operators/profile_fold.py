@@ -13,7 +13,7 @@ import numpy as np
 
 STEP_HOURS = 1.0 / 12.0
 EPS = 1e-9
-INFEASIBLE = 1e-6
+INFEASIBLE = 1e-8  # not above the tolerance of the gate
 # Bisection rounds and tolerances of the boundary connector.
 ROUNDS = 42
 NO_REVERSAL = 1e-10

@@ -16,6 +16,7 @@ from roadlens.functions.columns import number_in
 from roadlens.functions.timeofday import DAY, Period
 from roadlens.operators import profile_fold
 from roadlens.operators.profile_fold import Limits, enforce
+from roadlens.operators.quality import require, unique_by
 
 # Tasks get the fold by value, so executors need numpy and pyarrow but not this package.
 cloudpickle.register_pickle_by_value(profile_fold)
@@ -36,12 +37,13 @@ def smoothstep(x: Column) -> Column:
 
 
 def profile_inputs(perf: DataFrame, links: DataFrame, periods: list[Period], keys: list[str]) -> DataFrame:
-    """One typed row per period and link.  Periods that cross midnight end at 24:00."""
+    """One typed row per period and link; a performance row without a link, or a repeated link, fails the job.  Periods that cross midnight end at 24:00."""
     use = ["time_period", *keys]
     cells = [c for c in [*DEFAULTS, *POSITIVE, "vdf_free_speed_mph", "free_speed", "cutoff_speed", "vdf_length_mi", "length_in_mile"]
              if c in links.columns]
-    j = perf.select(*use, number_in(perf, "volume").alias("volume"), number_in(perf, "speed_mph").alias("__speed")).join(
-        links.select(*use, *[number_in(links, c).alias(c) for c in cells]), use)
+    right = unique_by(links.select(*use, *[number_in(links, c).alias(c) for c in cells]), use, "link table of the profiles").withColumn("__matched", F.lit(True))
+    j = perf.select(*use, number_in(perf, "volume").alias("volume"), number_in(perf, "speed_mph").alias("__speed")).join(right, use, "left")
+    j = require(j, F.col("__matched"), "performance row without a link").drop("__matched")
 
     def cell(name: str, default: Column) -> Column:
         return F.coalesce(F.col(name), default) if name in cells else default

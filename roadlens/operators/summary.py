@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 
 from roadlens.functions.columns import capped, ratio
 from roadlens.functions.timeofday import Period
-from roadlens.operators.performance import MIN_PERIOD_VOLUME, preprocess_performance
+from roadlens.operators.performance import period_left, preprocess_performance
 from roadlens.sources.periods import period_map
 
 # District ids, report measures and the order of report columns.
@@ -110,7 +110,8 @@ def statistics_from_cells(cells: DataFrame, durations: Column) -> DataFrame:
 def drop_low_volume_cells(cells: DataFrame) -> DataFrame:
     """The period test of the preprocessing, on the aggregated cells (tens of rows)."""
     total = F.sum("cell_volume").over(W.partitionBy("time_period"))
-    return cells.withColumn("__total", total).where(F.col("__total") >= MIN_PERIOD_VOLUME).drop("__total")
+    kept = cells.withColumn("__total", total).withColumn("__left", period_left(F.col("__total")))
+    return kept.where("__left").drop("__total", "__left")
 
 
 def performance_summary(combined: DataFrame, periods: list[Period], midnight: str = "wrap") -> DataFrame:

@@ -58,12 +58,12 @@ def transit_report(cells: DataFrame) -> DataFrame:
     hours = F.when(F.col("time_period") == "total", F.greatest(F.col("person_hour"), F.lit(MIN_HOURS))).otherwise(F.col("person_hour"))
     rows = _with_ratios(level, hours)
     names = [*MEASURES, "mile_over_hour", "delay_over_hour"]
-    # The scenario itself and a signed copy for the difference row.
-    sign = F.when(F.col("scenario") == "BD", 1.0).when(F.col("scenario") == "NB", -1.0)
-    copies = rows.withColumn("c", F.explode(F.array(
-        F.struct(F.col("scenario").alias("row"), F.lit(1.0).alias("w")), F.struct(F.lit("DIFF").alias("row"), sign.alias("w")))))
-    return copies.where(F.col("c.w").isNotNull()).groupBy(F.col("c.row").alias("scenario"), "time_period").agg(
-        *[F.sum(F.col(n) * F.col("c.w")).alias(n) for n in names])
+    # One row per scenario and period, so the maximum of a scenario is its value; a side that is absent gives NULL.
+    side = {s: {n: F.max(F.when(F.col("scenario") == s, F.col(n))) for n in names} for s in ("BD", "NB")}
+    diff = rows.where(F.col("scenario").isin("BD", "NB")).groupBy("time_period").agg(
+        *[(side["BD"][n] - side["NB"][n]).alias(n) for n in names])
+    return rows.select("scenario", "time_period", *names).unionByName(
+        diff.select(F.lit("DIFF").alias("scenario"), "time_period", *names))
 
 
 def transit_person_delay(scenarios: dict[str, tuple[DataFrame, DataFrame]], routes: DataFrame, transit: DataFrame) -> DataFrame:

@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlens.session import tune
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -20,10 +17,7 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
 
-        @wraps(fn)
-        def tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(tune(spark), sf_dir)
-        QUERIES[name] = tuned
+        QUERIES[name] = fn
         if oracle is not None:
             ORACLES[name] = oracle
         return fn

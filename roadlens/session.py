@@ -9,27 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-# Runtime settings (default, ours).  Long column expressions compile to methods the JVM refuses to
+# Settings of our own sessions; a cluster may do without, it is then slower.  Long column expressions compile to methods the JVM refuses to
 # optimise (over 8000 bytes of bytecode); below that limit Spark splits such a stage by operator,
 # which is several times faster for the curve and estimate queries.  Collecting the samples of a
 # link falls back to sorting after 128 groups; short lists allow far more groups in memory.
 TUNING = {
-    "spark.sql.codegen.hugeMethodLimit": ("65535", "8000"),
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": ("128", "10000"),
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "10000",
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Runtime settings the operators rely on for speed; a value the user chose is kept."""
-    for key, (default, value) in TUNING.items():
-        if spark.conf.get(key) == default:
-            spark.conf.set(key, value)
-    return spark
-
-
 def local_session(cores: str = "8", app: str = "roadlens", memory: str = "16g") -> SparkSession:
     """A single-machine session for tests and the bench; a cluster brings its own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.driver.memory", memory)
@@ -40,8 +32,8 @@ def local_session(cores: str = "8", app: str = "roadlens", memory: str = "16g")
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
-        .getOrCreate()
     )
+    return builder.config(map=TUNING).getOrCreate()
 
 
 def cut_lineage(frame: DataFrame) -> DataFrame:

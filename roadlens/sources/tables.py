@@ -12,31 +12,36 @@ from roadlens.operators.quality import QualityError, duplicate_keys, enforce, re
 
 # Where a period's file may lie below the root, first hit wins ({p} period, {f} file,
 # {stem} file without its ending).
-LAYOUTS = ["{p}/{f}", "{p}/{p}_origIDs/{f}", "{p}_origIDs/{f}", "{stem}_{p}.csv", "Outputs/*/{stem}_{p}.csv"]
+LAYOUTS = ["{p}/{f}", "{p}/{p}_origIDs/{f}", "{p}_origIDs/{f}", "{stem}_{p}.csv", "Outputs/{out}/{stem}_{p}.csv"]
 CATALOG_FILE = "06-qvdf-calibration/primary_qvdf_fit_catalog.csv"
 REFERENCE_FILE = "01-input-and-qc/link_reference.csv"
 CATALOG_COLUMNS = ["corridor", "sensor_uid", "calibration_period", "status", "n_episodes", "n", "s", "f_p", "f_d", "alpha", "beta"]
 FIT_OF_PARAMETER = {"n": "n", "s": "s", "cp": "f_p", "cd": "f_d", "alpha": "alpha", "beta": "beta"}
 
 
-def candidate_paths(root: str, period: str, file: str) -> list[str]:
+def candidate_paths(root: str, period: str, file: str, outputs: str = "*") -> list[str]:
     stem = file.rsplit(".", 1)[0]
-    return [f"{root.rstrip('/')}/{t.format(p=period.lower(), f=file, stem=stem)}" for t in LAYOUTS]
+    return [f"{root.rstrip('/')}/{t.format(p=period.lower(), f=file, stem=stem, out=outputs)}" for t in LAYOUTS]
 
 
-def resolve_period_file(spark: SparkSession, root: str, period: str, file: str) -> str:
-    """First existing layout, on whatever file system the path names."""
-    tried = candidate_paths(root, period, file)
+def resolve_period_file(spark: SparkSession, root: str, period: str, file: str, outputs: str = "*") -> str:
+    """First existing layout, on whatever file system the path names.
+
+    ``outputs`` is the folder of the run below ``Outputs``; without it there must be only one.
+    """
+    tried = candidate_paths(root, period, file, outputs)
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for path in tried:
         p = jvm.org.apache.hadoop.fs.Path(path)
         hits = p.getFileSystem(conf).globStatus(p)
+        if hits is not None and len(hits) > 1:
+            raise QualityError(f"more than one {file} for period {period}: {', '.join(h.getPath().toString() for h in hits)}")
         if hits is not None and len(hits) > 0:
             return hits[0].getPath().toString()
     raise FileNotFoundError(f"no {file} for period {period}; tried: {', '.join(tried)}")
 
 
-def read_period_tables(spark: SparkSession, root: str, periods: Sequence[str], file: str) -> DataFrame:
+def read_period_tables(spark: SparkSession, root: str, periods: Sequence[str], file: str, outputs: str = "*") -> DataFrame:
     """One table over the files of all periods, tagged with the lower-case period.
 
     Columns are matched by name, a column only some periods have is NULL elsewhere; an empty file
@@ -44,7 +49,7 @@ def read_period_tables(spark: SparkSession, root: str, periods: Sequence[str], f
     """
     out: DataFrame | None = None
     for period in periods:
-        path = resolve_period_file(spark, root, period, file)
+        path = resolve_period_file(spark, root, period, file, outputs)
         one = spark.read.option("header", True).csv(path)
         if one.isEmpty():
             raise QualityError(f"file is empty: {path}")
@@ -95,10 +100,12 @@ def corridor_pairs(spark: SparkSession, root: str, fits: DataFrame) -> DataFrame
     tmc = F.col("tmc_code") if "tmc_code" in raw.columns else F.lit("")
     rows = raw.where(text_flag("network_selected_for_node_pair_lookup")).select(
         number("network_from_node_id").cast("bigint").alias("a"), number("network_to_node_id").cast("bigint").alias("b"),
-        F.trim("corridor").alias("corridor"), "direction", tmc.alias("tmc_code"))
+        F.trim("corridor").alias("corridor"), "direction", tmc.alias("tmc_code"), F.col("_metadata.file_path").alias("file"))
     rows = rows.where(F.col("a").isNotNull() & F.col("b").isNotNull()).join(fits.select("corridor").distinct(), "corridor", "left_semi")
     enforce(corridor_conflicts(rows), "a node pair maps to more than one corridor")
-    return rows.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("corridor", "direction", "tmc_code")])
+    # The first folder in order names the pair; within a file the least direction and code.
+    first = rows.groupBy("a", "b").agg(F.min(F.struct("file", "corridor", "direction", "tmc_code")).alias("x"))
+    return first.select("a", "b", "x.corridor", "x.direction", "x.tmc_code").orderBy("corridor", "a", "b")
 
 
 def compact_reference(network: DataFrame) -> DataFrame:

@@ -8,9 +8,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from roadlens.session import local_session, tune
+    from roadlens.session import local_session
 
-    session = tune(local_session("4", "tests", "6g"))
+    session = local_session("4", "tests", "6g")
     session.conf.set("spark.sql.shuffle.partitions", "4")
     session.sparkContext.setLogLevel("ERROR")
     yield session
