@@ -149,6 +149,27 @@ def transit_delay(spark, sf):
     return settle(transit.transit_person_delay(scenarios, road(spark, sf, "transit_routes"), road(spark, sf, "transit_links")), 4)
 
 
+ONE_SIDED = "time_period <> 'am' AND from_node_id % 3 = 0"
+
+
+@query("transit_one_sided", check_sql("link link_performance link_performance_nb transit_routes transit_links", """
+, riders AS (SELECT time_period, from_node_id, to_node_id, sum(coalesce(t.volume, -1)) AS v
+   FROM transit_routes r LEFT JOIN (SELECT * FROM transit_links WHERE link_type_name = 'service_links') t ON t.link_id = r.trace_id GROUP BY ALL),
+p AS (SELECT 'BD' AS scenario, * FROM link_performance UNION ALL SELECT 'NB' AS scenario, * FROM link_performance_nb WHERE {only}),
+m AS (SELECT scenario, time_period, coalesce(v, 0) AS v, length_in_mile AS len, length_in_mile / speed_mph AS tt,
+        length_in_mile / speed_mph - length_in_mile / free_speed AS d
+      FROM p JOIN link USING (from_node_id, to_node_id) LEFT JOIN riders USING (time_period, from_node_id, to_node_id)),
+g AS (SELECT scenario, time_period, sum(d) AS delay, sum(v * d) AS person_delay, sum(v * tt) AS person_hour, sum(v * len) AS person_mile FROM m GROUP BY ALL)
+SELECT b.time_period, {diffs} FROM (SELECT * FROM g WHERE scenario = 'BD') b LEFT JOIN (SELECT * FROM g WHERE scenario = 'NB') n USING (time_period)""".format(
+    only=ONE_SIDED, diffs=", ".join(f"round(b.{m} - n.{m} + 1e-7, 4) AS {m}" for m in TRANSIT))).replace(")\n, riders AS", "),\nriders AS"))
+def transit_one_sided(spark, sf):
+    """The NB scenario has no morning: its differences are NULL, not the BD values."""
+    links = road(spark, sf, "link")
+    scenarios = {"BD": (road(spark, sf, "link_performance"), links), "NB": (road(spark, sf, "link_performance_nb").where(ONE_SIDED), links)}
+    report = transit.transit_person_delay(scenarios, road(spark, sf, "transit_routes"), road(spark, sf, "transit_links"))
+    return settle(report.where("scenario = 'DIFF' AND time_period <> 'total'").select("time_period", *TRANSIT), 4)
+
+
 def matrix(spark, sf):
     return spark.read.parquet(f"{sf}/embeddings.parquet").select(F.col("vec_id").alias("o_index"), F.col("embedding").alias("values"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from roadlens.functions.columns import PAIR
 from roadlens.functions.timeofday import Period
 from roadlens.operators import profiles as pr
+from roadlens.operators.quality import uncovered
 from roadlens.plans.link_queries import SEQ, entry_value
 from roadlens.plans.performance_queries import KEYS
 from roadlens.plans.registry import query
@@ -102,3 +103,12 @@ def profile_sample_count(spark, sf):
     rows = pr.smooth_profiles(inputs(spark, sf), DAY_PERIODS, PAIR)
     per = rows.where(F.col("speed_mph").isNotNull()).groupBy(*KEYS).agg(F.count("*").alias("n"))
     return per.groupBy("time_period").agg(F.sum("n").alias("samples"), F.count("*").alias("links"))
+
+
+@query("profile_unmatched", check_sql("link link_performance times_observed anchors profile_link", """
+SELECT time_period, from_node_id, to_node_id FROM link_performance
+WHERE from_node_id % 10 = 3 AND time_period <> 'nt'"""))
+def profile_unmatched(spark, sf):
+    """Failure case: performance rows whose link is absent from the profile table, which `profile_inputs` refuses."""
+    links = road(spark, sf, "profile_link").where("NOT (from_node_id % 10 = 3 AND time_period <> 'nt')")
+    return uncovered(road(spark, sf, "link_performance"), links, ["time_period", *PAIR])
