@@ -29,6 +29,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WORDS, BANDS, ROWS = 5, 20, 4
 REGISTERS = BANDS * ROWS
 SLICE = 300_000  # words that are sketched at once
+SMALL = 16  # members of a bucket that may be compared with each other outright
 
 
 def word_hashes(text):
@@ -136,14 +137,14 @@ def shingle_sets(documents: DataFrame, needed: DataFrame) -> DataFrame:
     return _prepared(picked).mapInArrow(_sets, "node BINARY, shingles ARRAY<BIGINT>").dropDuplicates(["node"])
 
 
-def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (node, head) with `common`, the number of shingles they share, and `outside`, those of node that head lacks.
+def compared(pairs: DataFrame, sets: DataFrame, *more) -> DataFrame:
+    """The pairs (node, head) with `common`, the number of shingles they share.
 
     The head's set comes first and the node's last, so a head of very many pairs is spread out again.
     """
     heads = sets.select(F.col("node").alias("head"), F.col("shingles").alias("of_head"))
-    both = pairs.join(heads, "head").join(sets, "node")
-    return both.select("node", "head", F.size(F.array_intersect("shingles", "of_head")).alias("common"), F.array_except("shingles", "of_head").alias("outside"))
+    both = pairs.select("node", "head").join(heads, "head").join(sets, "node")
+    return both.select("node", "head", F.size(F.array_intersect("shingles", "of_head")).alias("common"), *more)
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
@@ -155,29 +156,35 @@ def _mixed(rows: DataFrame) -> DataFrame:
 _ROW = ("bucket", "node", "kinds", "met", "component")
 
 
-def _apart(left: DataFrame, tested: DataFrame) -> DataFrame:
+def _apart(left: DataFrame, sets: DataFrame) -> DataFrame:
     """Smaller buckets that every link must share which the heads have not shown; `left` are the buckets' members without their heads O.
 
-    A link of x and y needs 9 |x & y| >= 4 (|x| + |y|), and y has at least max(smallest member, 0.8 |x|) shingles, so x and y share at least
-    t = 4/9 (|x| + that) - |x & O| shingles outside O.  Where t <= 0 for both, (1): such members stay together.  Else (2) they share one of
-    the |outside| - t + 1 rarest shingles that each has outside O, rarity being the same order for all members of O's buckets: these shingles
-    are the new buckets.  What only one member has gives no bucket, and edits mostly are such, so members that are merely edited from
-    one text are not compared pair by pair.
+    Buckets of up to SMALL members stay as they are.  For larger ones: a link of x and y needs 9 |x & y| >= 4 (|x| + |y|), and y has at
+    least max(smallest member, 0.8 |x|) shingles, so x and y share at least t = 4/9 (|x| + that) - |x & O| shingles outside O.  Where t <= 0 for
+    both, such members stay together.  Else they share one of the |outside| - t + 1 rarest shingles that each has outside O, rarity
+    being the same order for all members of O's buckets: these shingles are the new buckets.  What only one member has gives no bucket,
+    and edits mostly are such, so members that are merely edited from one text are not compared pair by pair.
     """
+    sizes = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
+    left = checkpoint(left.join(sizes, "bucket"))
+    small, large = left.where(F.col("members") <= SMALL).select(*_ROW), left.where(F.col("members") > SMALL)
+    tested = checkpoint(compared(large.select("node", "head").distinct(), sets, F.array_except("shingles", "of_head").alias("outside")))
     partner = F.greatest(F.col("least_kinds").cast("double"), 0.8 * F.col("kinds"))
-    met = left.join(tested, ["node", "head"]).withColumn("t", F.ceil((4 * (F.col("kinds") + partner) - 9 * F.col("common")) / 9 - 1e-9).cast("int"))
+    met = large.join(tested.select("node", "head", "common"), ["node", "head"]).withColumn("t", F.ceil((4 * (F.col("kinds") + partner) - 9 * F.col("common")) / 9 - 1e-9).cast("int"))
     # Members linked to O are in one component: the others are the better heads from here on.
     met = met.withColumn("met", F.when(9 * F.col("common") >= 4 * (F.col("kinds") + F.col("head_kinds")), F.abs("met")).otherwise(F.col("met")))
     together = met.where("t <= 0").select(*_ROW)
-    own = met.groupBy("node", "head").agg(F.min("t").alias("t"), F.first("kinds").alias("kinds"), F.first("met").alias("met"), F.first("component").alias("component"))
-    spread = own.join(tested.select("node", "head", "outside"), ["node", "head"]).select("node", "head", "kinds", "met", "component", "t", F.size("outside").alias("n"), F.explode("outside").alias("shingle"))
-    spread = checkpoint(spread)
-    shared = spread.groupBy("head", "shingle").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-    mine = Window.partitionBy("node", "head")
-    placed = spread.join(shared, ["head", "shingle"]).withColumn("place", F.row_number().over(mine.orderBy("held", "shingle"))).withColumn("mine", F.count(F.lit(1)).over(mine))
-    rare = placed.where(F.col("place") + F.col("n") - F.col("mine") <= F.col("n") - F.greatest(F.col("t"), F.lit(1)) + 1)
+    own = met.groupBy("node", "head").agg(F.min("t").alias("t"), F.min("kinds").alias("kinds"), F.min("met").alias("met"), F.min("component").alias("component"))
+    own = checkpoint(own.join(tested.select("node", "head", "outside"), ["node", "head"]).where(F.size("outside") >= F.col("t"))
+                     .withColumn("n", F.size("outside")).withColumn("pair", F.monotonically_increasing_id()).withColumn("o", F.xxhash64("head")))
+    spread = own.select("pair", "o", F.explode("outside").alias("shingle"))  # three numbers a row: this is the widest step
+    shared = spread.groupBy("o", "shingle").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    mine = Window.partitionBy("pair")
+    placed = spread.join(shared, ["o", "shingle"]).withColumn("place", F.row_number().over(mine.orderBy("held", "shingle"))).withColumn("mine", F.count(F.lit(1)).over(mine))
+    named = placed.join(own.drop("outside", "o"), "pair")
+    rare = named.where(F.col("place") - F.col("mine") <= 1 - F.greatest(F.col("t"), F.lit(1)))
     apart = rare.withColumn("bucket", F.xxhash64("head", "shingle")).select(*_ROW)
-    return checkpoint(_mixed(together.unionByName(apart)))
+    return checkpoint(_mixed(small.unionByName(together).unionByName(apart)))
 
 
 def near_groups(documents: DataFrame) -> DataFrame:
@@ -197,20 +204,20 @@ def near_groups(documents: DataFrame) -> DataFrame:
     order = met.groupBy("node").agg((-F.sum("n")).alias("met"))
     open_ = checkpoint(met.drop("n").join(order, "node").withColumn("component", F.col("node")).select(*_ROW))
     needed = nodes.join(open_.select("node").distinct(), "node", "left_semi").select(F.col("copy_id").alias("doc_id"))
+    could = 5 * F.least("kinds", "head_kinds") >= 4 * F.greatest("kinds", "head_kinds")
     links, leaders = None, 0
     while not open_.isEmpty():
         if links is None:  # one head for each bucket of a band, compared with all its members
             sets = checkpoint(shingle_sets(documents, needed))
             first = F.min(F.struct("met", F.col("node").alias("head"), F.col("kinds").alias("head_kinds"))).alias("first")
             heads = checkpoint(open_.groupBy("bucket").agg(first, F.min("kinds").alias("least_kinds")).select("bucket", "first.head", "first.head_kinds", "least_kinds"))
-            pairs = open_.select("bucket", "node", "kinds").join(heads, "bucket").where("node <> head").select("node", "head", "kinds", "head_kinds").distinct()
+            pairs = open_.select("bucket", "node", "kinds").join(heads, "bucket").where((F.col("node") != F.col("head")) & could)
         else:  # 1, 4, 16, ... heads, compared with what could be linked to them and is not yet in their component
             heads = open_.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy("met", "node"))).where(F.col("place") <= leaders)
             heads = checkpoint(heads.select("bucket", *[F.col(c).alias(f"head_{c}") for c in ("node", "kinds", "met", "component")]).withColumnRenamed("head_node", "head"))
-            pairs = open_.join(heads, "bucket").where((F.col("component") != F.col("head_component")) & (5 * F.least("kinds", "head_kinds") >= 4 * F.greatest("kinds", "head_kinds")))
-            pairs = pairs.select("node", "head", "kinds", "head_kinds").distinct()
-        pairs = checkpoint(pairs)
-        tested = checkpoint(compared(pairs.select("node", "head"), sets).join(pairs, ["node", "head"]))
+            pairs = open_.join(heads, "bucket").where((F.col("component") != F.col("head_component")) & could)
+        pairs = checkpoint(pairs.select("node", "head", "kinds", "head_kinds").distinct())
+        tested = compared(pairs, sets).join(pairs, ["node", "head"])
         found = tested.where(9 * F.col("common") >= 4 * (F.col("kinds") + F.col("head_kinds"))).select(F.col("node").alias("u"), F.col("head").alias("v"))
         links = checkpoint(found if links is None else links.unionByName(found))
         grouped = checkpoint(components(links))
@@ -221,7 +228,7 @@ def near_groups(documents: DataFrame) -> DataFrame:
             left = open_.join(last, "bucket").where(F.struct("met", "node") > F.col("last")).drop("last")
         left = left.drop("component").join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
         left = checkpoint(_mixed(left))
-        open_ = left if leaders else _apart(left, tested.select("node", "head", "common", "outside"))
+        open_ = left if leaders else _apart(left, sets)
         leaders = max(1, 4 * leaders)
     if links is None:
         placed = nodes.select("node", "copy_id", F.col("node").alias("component"))
