@@ -153,12 +153,14 @@ def edited(text, changes, seed):
     return " ".join(w)
 
 
-def test_near_groups(documents, awkward, nothing):
+@pytest.mark.parametrize("small", [16, 1])
+def test_near_groups(documents, awkward, nothing, monkeypatch, small):
+    monkeypatch.setattr(near_dedup, "SMALL", small)
     base = words(300, 3)
     chain = [base]
     for i in range(12):  # neighbours are near, the ends are not
         chain.append(edited(chain[-1], 3, i))
-    texts = chain + [edited(base, 4, 50 + i) for i in range(20)] + [edited(base, 60, 90), words(40, 4), words(40, 4) + " tail", base, base] + [words(80, 100 + i) for i in range(20)]
+    texts = chain + [edited(base, 1 + i, 50 + i) for i in range(40)] + [base.rsplit(None, 30)[0], edited(base, 12, 3).rsplit(None, 25)[0], edited(base, 12, 3).rsplit(None, 20)[0]] + [edited(base, 60, 90), words(40, 4), words(40, 4) + " tail", base, base] + [words(80, 100 + i) for i in range(20)]
     for frame in (documents(texts), awkward):
         rows = frame.collect()
         got = near_dedup.near_groups(frame).collect()
