@@ -20,7 +20,7 @@ HEADLINE = [
     "performance_statistics", "carry_attributes", "trip_measures", "scenario_diff", "speed_class_stats", "daily_aggregate",
     "district_diff", "speed_p95", "s3_flow", "speed_volume_hourly", "speed_volume_audit", "transit_delay", "vdf_lookup",
     "qvdf_override", "lookup_precedence", "convert_links", "boundary_audit", "od_sparse", "raw_profile", "enforced_profile",
-    "step_metrics", "transfer_simple", "table_fingerprint",
+    "step_metrics", "transfer_simple", "table_fingerprint", "near_links",
 ]
 
 

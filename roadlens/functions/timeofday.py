@@ -64,16 +64,6 @@ def periods_from(ranges: dict[str, str]) -> list[Period]:
     return [Period(n.lower(), *parse_range(t)) for n, t in ranges.items()]
 
 
-def range_bound(text: Column | str, which: str) -> Column:
-    """Column twin of ``parse_range``: start or end minute, NULL when the text is no range."""
-    groups = (1, 2) if which == "start" else (3, 4)
-    t = F.trim(col(text))
-    h, m = (F.regexp_extract(t, "^" + _RANGE.pattern + "$", g).try_cast("int") for g in groups)
-    minute = h * 60 + m
-    limit = DAY - 1 if which == "start" else DAY
-    return F.when((m < 60) & (minute <= limit), minute)
-
-
 def duration_minutes(start: Column | str, end: Column | str) -> Column:
     span = F.pmod(col(end) - col(start), F.lit(DAY))
     return F.when(span == 0, F.lit(DAY)).otherwise(span)
@@ -85,10 +75,5 @@ def in_period(minute: Column | str, start: Column | str, end: Column | str) -> C
     return F.pmod(m - s, F.lit(DAY)) < duration_minutes(s, e)
 
 
-def clock_label(minute: Column | str) -> Column:
-    m = col(minute).cast("int")
-    return F.format_string("%02d:%02d", F.floor(m / 60).cast("int"), m % 60)
-
-
 def label(minute: int) -> str:
     return f"{minute // 60:02d}:{minute % 60:02d}"

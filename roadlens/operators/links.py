@@ -108,6 +108,7 @@ def simple_parameters(spark, area_types: int = 6) -> DataFrame:
     """The built-in table of the simple volume-delay form, generated from the facility rule."""
     codes = ["0"] + [str(100 * a + f) for a in range(1, area_types + 1) for f in range(7)]
     rows = [(c, 1.0, ALPHA_BY_FACILITY[int(c) % 10], BETA_BY_FACILITY[int(c) % 10]) for c in codes]
+    rows.append(("all", 1.0, *ALPHA_BETA_ALL))
     return spark.createDataFrame(rows, "vdf_code STRING, plf DOUBLE, alpha DOUBLE, beta DOUBLE")
 
 

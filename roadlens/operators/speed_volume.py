@@ -175,12 +175,6 @@ def wide_export(estimated: DataFrame, hourly_rows: DataFrame, periods: list[Peri
     return statics.join(pivoted, PAIR)
 
 
-def labelled(hourly_rows: DataFrame, periods: list[Period]) -> DataFrame:
-    """Bin labels (a few dozen rows, hence the broadcast)."""
-    bins = F.broadcast(bin_table(hourly_rows.sparkSession, periods))
-    return hourly_rows.join(bins, ["bin_start", "bin_end"])
-
-
 def conservation(hourly_rows: DataFrame, perf: DataFrame, keys: Sequence[str] = PAIR) -> DataFrame:
     """Links whose hourly volumes do not add up to the assigned volume, or that have a negative one."""
     got = hourly_rows.groupBy(*keys).agg(F.sum("approx_volume").alias("hourly_sum"), F.min("approx_volume").alias("lowest"))
