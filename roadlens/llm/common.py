@@ -6,6 +6,7 @@ outlive a task (memo tables of a reused Python worker) hangs on a module object
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -20,7 +21,7 @@ from roadlens.session import CHECKPOINT_KEY, cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-__all__ = ["checkpoint", "shared_folder", "worker_cache", "slices", "free_names", "held_out", "read_table", "mix64", "sample_rank"]
+__all__ = ["checkpoint", "release", "shared_folder", "worker_cache", "slices", "free_names", "held_out", "read_table", "mix64", "sample_rank"]
 
 checkpoint = cut_lineage
 
@@ -40,6 +41,13 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def release(spark: SparkSession) -> None:
+    """Between rounds of an iteration: Spark deletes shuffle and checkpoint files once the driver has collected the objects that
+    stand for them, which a driver with memory to spare may put off until the disks of the executors are full."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def worker_cache(name: str, make: Callable[[], object]) -> object:
     """An object of this Python worker process, made at first use."""
     key = "_roadlens_worker_cache"

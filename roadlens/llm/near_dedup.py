@@ -21,7 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import checkpoint, free_names, mix64
+from roadlens.llm.common import checkpoint, free_names, mix64, release
 from roadlens.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -203,12 +203,15 @@ def near_groups(documents: DataFrame) -> DataFrame:
     # Who meets most others comes first: the text that a family of copies was made from is near all of them, a copy is not.
     order = met.groupBy("node").agg((-F.sum("n")).alias("met"))
     open_ = checkpoint(met.drop("n").join(order, "node").withColumn("component", F.col("node")).select(*_ROW))
+    del spread, full, met, order
+    release(documents.sparkSession)
     needed = nodes.join(open_.select("node").distinct(), "node", "left_semi").select(F.col("copy_id").alias("doc_id"))
     could = 5 * F.least("kinds", "head_kinds") >= 4 * F.greatest("kinds", "head_kinds")
     links, leaders = None, 0
     while not open_.isEmpty():
         if links is None:  # one head for each bucket of a band, compared with all its members
             sets = checkpoint(shingle_sets(documents, needed))
+            release(documents.sparkSession)
             first = F.min(F.struct("met", F.col("node").alias("head"), F.col("kinds").alias("head_kinds"))).alias("first")
             heads = checkpoint(open_.groupBy("bucket").agg(first, F.min("kinds").alias("least_kinds")).select("bucket", "first.head", "first.head_kinds", "least_kinds"))
             pairs = open_.select("bucket", "node", "kinds").join(heads, "bucket").where((F.col("node") != F.col("head")) & could)
@@ -230,6 +233,8 @@ def near_groups(documents: DataFrame) -> DataFrame:
         left = checkpoint(_mixed(left))
         open_ = left if leaders else _apart(left, sets)
         leaders = max(1, 4 * leaders)
+        del left, heads, pairs, tested, found
+        release(documents.sparkSession)
     if links is None:
         placed = nodes.select("node", "copy_id", F.col("node").alias("component"))
     else:
