@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import checkpoint
+from roadlens.llm.common import checkpoint, release
 
 
 def _stars(links: DataFrame, large: bool) -> DataFrame:
@@ -37,5 +37,6 @@ def components(links: DataFrame) -> DataFrame:
         if state == before:
             break
         before = state
+        release(links.sparkSession)
     roots = now.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
