@@ -1,10 +1,10 @@
 """Personal data, and the terms that give it away: information-theoretic sanitisation, in DataFrame operations only.
 
 The base finds e-mail addresses, IP addresses, payment cards and phone numbers by pattern.  Each found value is a protected entity.  Over
-the whole corpus, the words near an entity are counted with it and by themselves: a word whose occurrences are mostly beside one
-entity tells who is meant, even where the value is gone.  A word t discloses an entity e to the degree
-PMI(e; t) / IC(e) = ln(P(e|t) / P(e)) / -ln P(e), at most 1.  Words over a threshold become spans of their own: over REMOVE they
-are removed, below they are generalised.
+the whole corpus, the words near an entity are counted with it and by themselves: a word that is far more often beside one
+entity than chance would have it tells who is meant, even where the value is gone.  A word t discloses an entity e to the degree
+PMI(e; t) / IC(e) = ln(P(e|t) / P(e)) / -ln P(e), at most 1; it is over a threshold d where P(e|t) >= P(e)^(1 - d).  Each occurrence of such
+a word, in whatever document, becomes a span of its own: over REMOVE it is removed, below it is generalised.
 """
 
 from __future__ import annotations
@@ -26,6 +26,9 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 TERM = "term"
 REACH, SUPPORT, GENERALISE, REMOVE = 48, 3, 0.9, 0.97
+BLOCK = 256  # code points whose words are placed together
+BUCKETS, SALTS = 1 << 20, 16
+NO_WORD = r"[^\p{L}\p{N}]+"
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
@@ -87,13 +90,52 @@ def _entity() -> str:
     return "concat(s.kind, ':', lower(regexp_replace(s.value, '[^0-9A-Za-z@._%+]', '')))"
 
 
+#: Rows are told apart by id and text: equal rows have equal spans.
+ROW = ("doc_id", "text_key")
+
+
+def _keyed(documents: DataFrame) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("t"))
+
+
+def _same_row(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    named = right.withColumnsRenamed({c: f"_{c}" for c in ROW})
+    return left.join(named, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_key") == F.col("_text_key")), how).drop("_doc_id", "_text_key")
+
+
+def _sieved(frame: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose key falls in the same of BUCKETS hash buckets as a key of `wanted`: all that an inner join on the key can use.
+    The broadcast has at most BUCKETS numbers, however large `wanted` is."""
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+    return frame.withColumn("_bucket", bucket).join(F.broadcast(wanted.select(bucket.alias("_bucket")).distinct()), "_bucket", "left_semi").drop("_bucket")
+
+
+def _words_placed(keep: str) -> str:
+    """SQL for the words (term, start, end) of `blocks` that lie in none of `spans` and pass `keep`, a rule on the lower-case `p.term`.
+
+    Blocks end between words; their starts are running sums, as are the places of the words that pass within their block.
+    """
+    starts = "aggregate(blocks, named_struct('at', 0, 'out', cast(array() AS array<struct<block:string,at:int>>)), (a, b) -> named_struct('at', a.at + length(b), 'out', concat(a.out, array(named_struct('block', b, 'at', a.at)))), a -> a.out)"
+    pieces = "transform(split(z.block, '[^\\\\p{L}\\\\p{N}]', -1), (w, i) -> named_struct('i', i, 'n', length(w), 'term', lower(w)))"
+    passed = f"filter(x.pieces, p -> p.n >= 3 AND {keep})"
+    place = "x.at + aggregate(slice(x.pieces, 1, p.i), 0, (n, q) -> n + q.n + 1)"
+    at = f"transform({passed}, p -> transform(array({place}), b -> named_struct('term', p.term, 'start', b, 'end', b + p.n))[0])"
+    words = f"flatten(transform({starts}, z -> transform(array(named_struct('at', z.at, 'pieces', {pieces})), x -> {at})[0]))"
+    return f"filter({words}, w -> NOT exists(spans, s -> s.start < w.end AND w.start < s.end))"
+
+
+def _blocks():
+    return F.regexp_extract_all("t", F.lit(r"(?s).{1,%d}[\p{L}\p{N}]*+" % BLOCK), F.lit(0))
+
+
 def nearby(documents: DataFrame) -> DataFrame:
-    """row_key, doc_id, spans, and `near`: entity, term, start, end of the words beside each base span that lie in no base span."""
-    based = with_base_spans(documents.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t")), "t")
+    """doc_id, text_key, spans, and `near`: entity, term, start, end of the words beside each base span that lie in no base span."""
+    based = with_base_spans(_keyed(documents), "t")
     words = f"flatten(transform(spans, s -> transform(concat({_words_near('left')}, {_words_near('right')}), w -> named_struct('entity', {_entity()}, 'term', w.term, 'start', w.start, 'end', w.end))))"
     kept = F.expr(f"filter({words}, w -> NOT exists(spans, b -> b.start < w.end AND w.start < b.end))")
     empty = F.expr("cast(array() AS array<struct<entity:string,term:string,start:int,end:int>>)")
-    return based.select(F.monotonically_increasing_id().alias("row_key"), F.col("doc_id").cast("bigint").alias("doc_id"), "spans", F.when(F.size("spans") > 0, kept).otherwise(empty).alias("near"))
+    return based.select(*ROW, "spans", F.when(F.size("spans") > 0, kept).otherwise(empty).alias("near"))
 
 
 def word_counts(documents: DataFrame) -> DataFrame:
@@ -115,22 +157,38 @@ def disclosing(rows: DataFrame, counts: DataFrame, support: int = SUPPORT, thres
     return met.select("entity", "term", disclosure.alias("disclosure")).where(F.col("disclosure") >= threshold)
 
 
+def occurrences(documents: DataFrame, rows: DataFrame, names: DataFrame) -> DataFrame:
+    """doc_id, text_key, `terms`: the spans of all occurrences of `names` (term, disclosure) in all documents, but for those in base spans.
+
+    First the rows that hold a name are found by their distinct words, then the texts of these rows alone are placed.
+    """
+    distinct = _keyed(documents).select(*ROW, F.explode(F.array_distinct(F.split("t", NO_WORD))).alias("piece"))
+    words = _sieved(distinct.where(F.length("piece") >= 3).select(*ROW, F.lower("piece").alias("term")), "term", names)
+    # A name may be in very many rows: they are dealt over SALTS tasks.
+    salted = names.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    met = words.withColumn("salt", F.pmod("text_key", F.lit(SALTS)).cast("int")).join(salted, ["term", "salt"])
+    held = checkpoint(met.groupBy(*ROW).agg(F.collect_set(F.struct("term", "disclosure")).alias("held")))  # words of one document
+    texts = _same_row(_sieved(_keyed(documents), "text_key", held), held)
+    spans = _sieved(rows.select(*ROW, "spans"), "text_key", held).dropDuplicates([*ROW])
+    both = _same_row(texts.dropDuplicates([*ROW]), spans).withColumn("blocks", _blocks()).withColumn("held", F.map_from_entries("held"))
+    placed = both.select(*ROW, "held", F.expr(_words_placed("map_contains_key(held, p.term)")).alias("words")).where(F.size("words") > 0)
+    action = f"CASE WHEN held[w.term] >= {REMOVE} THEN 'remove' ELSE 'generalise' END"
+    return placed.select(*ROW, F.expr(f"transform(words, w -> named_struct('start', w.start, 'end', w.end, 'kind', '{TERM}', 'value', w.term, 'action', {action}))").alias("terms"))
+
+
 def personal_data(documents: DataFrame) -> DataFrame:
     """One row per input row: doc_id and `spans` (kind, start, end, value, action): base spans and disclosing terms.
 
     Reads doc_id and text; other columns are not read.  A null or empty text has no spans.  Spans are ordered by kind (email, ip, card,
-    phone, term), then start; spans of different kinds may overlap, and terms lie outside all base spans.  A term found beside two entities is one span.  Repeated
+    phone, term), then start; spans of different kinds may overlap, and terms lie outside all base spans.  Every
+    occurrence of a disclosing term is a span, also where no value is near; its action follows the entity it discloses most.  Repeated
     rows count as often as they occur and each get their spans.  An empty table gives an empty result.
     """
     rows = checkpoint(nearby(documents))
     flagged = checkpoint(disclosing(rows, word_counts(documents)))
-    words = rows.select("row_key", F.explode("near").alias("w")).select("row_key", "w.*")
-    marked = words.join(flagged, ["entity", "term"]).groupBy("row_key", "start", "end", "term").agg(F.max("disclosure").alias("disclosure"))
-    action = F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise")
-    span = F.struct("start", "end", F.lit(TERM).alias("kind"), F.col("term").alias("value"), action.alias("action"))
-    terms = marked.groupBy("row_key").agg(F.array_sort(F.collect_list(span)).alias("terms"))  # words of one document
+    terms = occurrences(documents, rows, flagged.groupBy("term").agg(F.max("disclosure").alias("disclosure")))
     base = F.expr("transform(spans, s -> named_struct('start', s.start, 'end', s.end, 'kind', s.kind, 'value', s.value, 'action', 'remove'))")
-    met = rows.select("row_key", "doc_id", base.alias("base")).join(terms, "row_key", "left")
+    met = _same_row(rows.select(*ROW, base.alias("base")), terms, "left")
     return met.select("doc_id", F.concat("base", F.coalesce("terms", F.expr("cast(array() AS array<struct<start:int,end:int,kind:string,value:string,action:string>>)"))).alias("spans"))
 
 

@@ -356,6 +356,21 @@ def test_terms_disclose(documents):
     assert all("zo@x.org" not in clean[i] and "Zorblax" not in clean[i] and "[email]" in clean[i] for i in range(8)) and clean[20] == texts[20]
 
 
+def test_terms_are_marked_wherever_they_stand(documents):
+    texts = [f"{words(30, i, 50)} the neighbour Zorblax writes from zo@x.org today {words(90, 90 + i, 50)} 🙂 {'ZORBLAX' if i < 3 else ''} again" for i in range(30)]
+    texts += [f"{words(200, 300, 50)} é🙂, zorblax-Zorblax zorblaxes me@zorblax.org zorblax", "Zorblax"] + [words(60, 200 + i, 50) + " the neighbour today" for i in range(40)]
+    frame = documents(texts + texts[:1], [*range(len(texts)), 0])
+    got = pii.personal_data(frame).collect()
+    assert len(got) == len(texts) + 1
+    for x in got:
+        t = texts[x.doc_id]
+        mails = [m.span() for m in re.finditer(BASE["email"], t)]
+        want = [m.span() for m in re.finditer(r"(?i)\bzorblax\b", t) if not any(a < m.end() and m.start() < b for a, b in mails)]
+        assert [(s.start, s.end) for s in x.spans if s.kind == pii.TERM and s.value == "zorblax"] == want
+    clean = {x.doc_id: x.text for x in pii.sanitised(documents(texts), pii.personal_data(documents(texts))).collect()}
+    assert clean[31] in ("[term]", "z*") and not re.search(r"(?i)\bzorblax\b", clean[30])
+
+
 # --- classifiers --------------------------------------------------------------------------------------------------------------
 
 def test_toxicity(documents, awkward, nothing, spark):
