@@ -1,7 +1,7 @@
 """Personal data, and the terms that give it away: information-theoretic sanitisation, in DataFrame operations only.
 
 The base finds e-mail addresses, IP addresses, payment cards and phone numbers by pattern.  Each found value is a protected entity.  Over
-the whole corpus, the words near an entity are counted with it and by themselves: a word that is far more often beside one
+the whole corpus, documents are counted by entity, by word and by both: a word that is far more often in one document with an
 entity than chance would have it tells who is meant, even where the value is gone.  A word t discloses an entity e to the degree
 PMI(e; t) / IC(e) = ln(P(e|t) / P(e)) / -ln P(e), at most 1; it is over a threshold d where P(e|t) >= P(e)^(1 - d).  Each occurrence of such
 a word, in whatever document, becomes a span of its own: over REMOVE it is removed, below it is generalised.
@@ -25,10 +25,11 @@ PATTERNS = {
 #: A text that lacks this has no match of the kind.
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 TERM = "term"
-REACH, SUPPORT, GENERALISE, REMOVE = 48, 3, 0.9, 0.97
+SUPPORT, GENERALISE, REMOVE = 3, 0.9, 0.97
 BLOCK = 256  # code points whose words are placed together
 BUCKETS, SALTS = 1 << 20, 16
 NO_WORD = r"[^\p{L}\p{N}]+"
+HAS_LETTER = r"regexp_like(p.term, '[\\p{L}]')"
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
@@ -71,21 +72,6 @@ def with_base_spans(documents: DataFrame, text: str = "text", spans: str = "span
     return out.drop("_t", "_digits", *[f"{x}_{kind}" for kind in PATTERNS for x in ("hits", "gaps")])
 
 
-def _words_near(side: str) -> str:
-    """SQL for the whole words within REACH code points of span s: (term, start, end); a word cut by the reach is left out."""
-    if side == "left":
-        origin, window = f"greatest(s.start - {REACH}, 0)", f"substring(t, greatest(s.start - {REACH}, 0) + 1, s.start - greatest(s.start - {REACH}, 0))"
-        cut = f"(i = 0 AND s.start > {REACH})"
-    else:
-        origin, window = "s.end", f"substring(t, s.end + 1, {REACH})"
-        cut = f"(i = size(x.pieces) - 1 AND s.end + {REACH} < length(t))"
-    placed = ("aggregate(x.pieces, named_struct('at', 0, 'out', cast(array() AS array<struct<piece:string,start:int>>)), (a, p) -> "
-              f"named_struct('at', a.at + length(p) + 1, 'out', concat(a.out, array(named_struct('piece', p, 'start', {origin} + a.at)))), a -> a.out)")
-    words = f"filter({placed}, (p, i) -> length(p.piece) >= 3 AND regexp_like(p.piece, '[\\\\p{{L}}]') AND NOT {cut})"
-    pieces = f"transform(array(named_struct('pieces', split({window}, '[^\\\\p{{L}}\\\\p{{N}}]', -1))), x -> transform({words}, p -> named_struct('term', lower(p.piece), 'start', p.start, 'end', p.start + length(p.piece))))[0]"
-    return pieces
-
-
 def _entity() -> str:
     return "concat(s.kind, ':', lower(regexp_replace(s.value, '[^0-9A-Za-z@._%+]', '')))"
 
@@ -129,32 +115,43 @@ def _blocks():
     return F.regexp_extract_all("t", F.lit(r"(?s).{1,%d}[\p{L}\p{N}]*+" % BLOCK), F.lit(0))
 
 
-def nearby(documents: DataFrame) -> DataFrame:
-    """doc_id, text_key, spans, and `near`: entity, term, start, end of the words beside each base span that lie in no base span."""
-    based = with_base_spans(_keyed(documents), "t")
-    words = f"flatten(transform(spans, s -> transform(concat({_words_near('left')}, {_words_near('right')}), w -> named_struct('entity', {_entity()}, 'term', w.term, 'start', w.start, 'end', w.end))))"
-    kept = F.expr(f"filter({words}, w -> NOT exists(spans, b -> b.start < w.end AND w.start < b.end))")
-    empty = F.expr("cast(array() AS array<struct<entity:string,term:string,start:int,end:int>>)")
-    return based.select(*ROW, "spans", F.when(F.size("spans") > 0, kept).otherwise(empty).alias("near"))
+def based(documents: DataFrame) -> DataFrame:
+    """doc_id, text_key, spans: the base spans of each row."""
+    return with_base_spans(_keyed(documents), "t").select(*ROW, "spans")
 
 
-def word_counts(documents: DataFrame) -> DataFrame:
-    """How often each word of at least three characters occurs in the whole corpus: term, n."""
-    pieces = documents.select(F.explode(F.split(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+")).alias("term"))
-    return pieces.where(F.length("term") >= 3).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+def document_counts(documents: DataFrame) -> DataFrame:
+    """How many documents hold each word of at least three characters, once or more: term, n."""
+    pieces = F.array_distinct(F.transform(F.array_distinct(F.split("t", NO_WORD)), lambda w: F.lower(w)))
+    return _keyed(documents).select(F.explode(F.filter(pieces, lambda w: F.length(w) >= 3)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def disclosing(rows: DataFrame, counts: DataFrame, support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
-    """entity, term, disclosure (0 to 1) of the pairs over the threshold that occur together at least `support` times."""
-    total = counts.agg(F.sum("n").alias("n")).first()["n"] or 1
-    pairs = rows.select(F.explode("near").alias("w")).select("w.*").groupBy("entity", "term").agg(F.count(F.lit(1)).alias("together")).where(F.col("together") >= support)
-    entities = rows.select(F.explode(F.expr(f"transform(spans, s -> {_entity()})")).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    met = pairs.join(entities, "entity").join(counts, "term")
-    # A word beside two spans of one entity is together with it twice; it cannot be so more often than it occurs.
-    given = F.least(F.col("together") / F.col("n"), F.lit(1.0))
-    information = -F.log(F.col("n_entity") / F.lit(float(max(total, 2))))
+def disclosing(documents: DataFrame, rows: DataFrame, support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
+    """entity, term, disclosure (0 to 1) of the pairs over the threshold that stand in at least `support` documents together.
+
+    P is a share of documents, and a whole document is the context of its entities: where a word stands in it is no matter.  A pair is over the
+    threshold only if n(term) <= n(entity) / P(entity)^(1 - threshold), so rare entities and frequent words go before
+    entities and words are paired, and no pair that counts is lost.
+    """
+    total = float(max(rows.count(), 2))
+    held = rows.select(*ROW, F.explode(F.array_distinct(F.expr(f"transform(spans, s -> {_entity()})"))).alias("entity"))
+    entities = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") >= support)
+    # Slightly wide: rounding must not lose a pair at the threshold; the exact rule comes last.
+    most = F.col("n_entity") * F.pow(total / F.col("n_entity"), F.lit(1 - threshold)) * (1 + 1e-9)
+    entities = checkpoint(entities.withColumn("most", most))
+    widest = entities.agg(F.max("most").alias("most")).first()["most"] or 0.0
+    counts = checkpoint(document_counts(documents).where((F.col("n") >= support) & (F.col("n") <= widest)))
+    # One row for each different row of the input: repeated ones are counted by the texts they meet.
+    owned = checkpoint(_sieved(held, "entity", entities).distinct().join(entities, "entity").groupBy(*ROW).agg(F.collect_list(F.struct("entity", "n_entity", "most")).alias("entities")))
+    spans = _sieved(rows, "text_key", owned).dropDuplicates([*ROW])
+    placed = _same_row(_sieved(_keyed(documents), "text_key", owned), spans).withColumn("blocks", _blocks())
+    terms = F.expr(f"array_distinct(transform({_words_placed(HAS_LETTER)}, w -> w.term))")
+    words = _sieved(placed.select(*ROW, F.explode(terms).alias("term")), "term", counts).join(counts, "term")
+    met = _same_row(words, owned).select("term", "n", F.explode(F.expr("filter(entities, e -> n <= e.most)")).alias("e"))
+    pairs = met.groupBy("e.entity", "term", "n", "e.n_entity").agg(F.count(F.lit(1)).alias("together")).where(F.col("together") >= support)
+    given, information = F.col("together") / F.col("n"), -F.log(F.col("n_entity") / F.lit(total))
     disclosure = F.when(information > 0, (F.log(given) + information) / information).otherwise(0.0)
-    return met.select("entity", "term", disclosure.alias("disclosure")).where(F.col("disclosure") >= threshold)
+    return pairs.select("entity", "term", disclosure.alias("disclosure")).where(F.col("disclosure") >= threshold)
 
 
 def occurrences(documents: DataFrame, rows: DataFrame, names: DataFrame) -> DataFrame:
@@ -184,8 +181,8 @@ def personal_data(documents: DataFrame) -> DataFrame:
     occurrence of a disclosing term is a span, also where no value is near; its action follows the entity it discloses most.  Repeated
     rows count as often as they occur and each get their spans.  An empty table gives an empty result.
     """
-    rows = checkpoint(nearby(documents))
-    flagged = checkpoint(disclosing(rows, word_counts(documents)))
+    rows = checkpoint(based(documents))
+    flagged = checkpoint(disclosing(documents, rows))
     terms = occurrences(documents, rows, flagged.groupBy("term").agg(F.max("disclosure").alias("disclosure")))
     base = F.expr("transform(spans, s -> named_struct('start', s.start, 'end', s.end, 'kind', s.kind, 'value', s.value, 'action', 'remove'))")
     met = _same_row(rows.select(*ROW, base.alias("base")), terms, "left")

@@ -371,6 +371,20 @@ def test_terms_are_marked_wherever_they_stand(documents):
     assert clean[31] in ("[term]", "z*") and not re.search(r"(?i)\bzorblax\b", clean[30])
 
 
+def test_whole_documents_are_the_context(documents):
+    texts = [f"Zorblax {words(150, i, 50)} zo@x.org and z2@x.org {words(150, 90 + i, 50)}" for i in range(30)] + [words(60, 200 + i, 50) for i in range(70)] + ["Zorblax alone", "me@y.org once"]
+    rows = pii.based(documents(texts))
+    got = {(x.entity, x.term): x.disclosure for x in pii.disclosing(documents(texts), rows).collect()}
+    p, given = 30 / 102, 30 / 31
+    assert all(math.isclose(got[e, "zorblax"], 1 - math.log(given) / math.log(p)) for e in ("email:zo@x.org", "email:z2@x.org"))
+    # against all pairs, without the bounds that go before the pairing
+    held = [set(w for w in re.findall(r"[^\W_]+", re.sub(BASE["email"], " ", t.lower())) if len(w) >= 3) for t in texts]
+    n = collections.Counter(w for h in held for w in h)
+    both = collections.Counter(w for h in held[:30] for w in h)
+    want = {w for w, k in both.items() if k >= 3 and 1 - math.log(k / n[w]) / math.log(p) >= pii.GENERALISE}
+    assert {t for e, t in got if e == "email:zo@x.org"} == want and {e for e, _ in got} == {"email:zo@x.org", "email:z2@x.org"}
+
+
 # --- classifiers --------------------------------------------------------------------------------------------------------------
 
 def test_toxicity(documents, awkward, nothing, spark):
