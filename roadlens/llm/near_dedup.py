@@ -1,8 +1,9 @@
-"""Near duplicates by ProbMinHash sketches of weighted word shingles, banding, and verification of what meets.
+"""Near duplicates by ProbMinHash sketches of word shingles, banding, and verification of what meets.
 
-Every shingle of a text is a Poisson process whose rate is its weight (1 + ln of how often it occurs).  Its arrivals fall on
+Every shingle of a text is a Poisson process whose rate is its weight.  Its arrivals fall on
 random registers; a register keeps the shingle that arrived first.  A shingle is dropped as soon as its next arrival is later than
-all registers, so most give one or two arrivals.  Two texts agree in a register with the probability Jaccard similarity.
+all registers, so most give one or two arrivals.  Two texts agree in a register with the probability Jaccard similarity.  All weights
+are 1, however often a shingle occurs: then this is the set Jaccard similarity, the measure that links are verified by.
 
 Texts with equal shingle sets are one node.  Nodes that agree in a whole band of registers stand in a bucket.  The links of a bucket are
 found by comparing one member, its head, with all others, exactly; what is not in one component then goes on in smaller buckets that every
@@ -105,8 +106,8 @@ def _set_keys(doc: np.ndarray, shingle: np.ndarray, documents: int) -> tuple[lis
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, words, sizes in _parts(batch):
-            doc, shingle, count = shingles(words, sizes)
-            registers = sketch(doc, shingle, 1 + np.log(count), part.num_rows)
+            doc, shingle, _ = shingles(words, sizes)
+            registers = sketch(doc, shingle, np.ones(len(doc)), part.num_rows)
             keys, kinds = _set_keys(doc, shingle, part.num_rows)
             bands = np.zeros((part.num_rows, BANDS), dtype=np.uint64)
             with np.errstate(over="ignore"):

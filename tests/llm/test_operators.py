@@ -173,6 +173,17 @@ def test_near_groups(documents, awkward, nothing, monkeypatch, small):
     assert near_dedup.near_groups(nothing).count() == 0
 
 
+def test_repeated_lines_hide_no_link(documents):
+    texts = []
+    for i in range(16):  # set Jaccard 56/70 and 96/119: the lowest that links
+        base, line = (words(60, 900 + i), words(10, 950 + i)) if i % 2 else (words(100, 900 + i), words(19, 950 + i))
+        texts += [base, f"{base} " + f"{line} " * 400]
+    frame = documents(texts)
+    got = near_dedup.near_groups(frame).collect()
+    assert sorted((r.class_id, r.doc_id) for r in got) == sorted((min(g), i) for g in brute_classes(frame.collect()) for i in g)
+    assert sum(r.class_size == 2 for r in got) == 32
+
+
 def test_sketches_estimate_probability_jaccard():
     r = np.random.default_rng(1)
     a, b = np.arange(1, 201, dtype=np.uint64) * 7919, np.arange(61, 261, dtype=np.uint64) * 7919
