@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import bpe_codec, exact_dedup, language, mixing, near_dedup, pii, token_counts, topk, toxicity, warc
+from roadlens.llm import bpe_codec, exact_dedup, language, line_dedup, mixing, near_dedup, pii, token_counts, topk, toxicity, warc, whitening
 from roadlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -107,3 +107,23 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mixed_rows(mixing.mix(read_table(spark, sf_dir, "documents")))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.embedding_whitening(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_line_dedup", """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+g AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+j AS (SELECT k.*, coalesce(k.doc_id < g.last, false) AS gone FROM k LEFT JOIN g ON k.key = g.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY r, doc_id""")
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.line_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
