@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import bpe_codec, exact_dedup, language, line_dedup, mixing, near_dedup, pii, token_counts, topk, toxicity, warc, whitening
+from roadlens.llm import alignment, bpe_codec, exact_dedup, language, line_dedup, mixing, near_dedup, pii, token_counts, topk, toxicity, warc, whitening
 from roadlens.llm.common import read_table
 
 QUERIES: dict = {}
@@ -21,11 +21,11 @@ def query(name: str, oracle: str | None = None):
     return keep
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """The public vocabulary that the token queries are defined on."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @query("op1_toxicity")
@@ -114,6 +114,12 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.embedding_whitening(read_table(spark, sf_dir, "embeddings"))
 
 
+@query("op12_alignment")
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align_tokenizers(read_table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
 @query("op13_line_dedup", """
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
