@@ -189,7 +189,8 @@ def _centred(x: np.ndarray, n: int, sums: list[int]) -> np.ndarray:
 
 
 def _whitened(y: np.ndarray, n: int, scaled: np.ndarray) -> np.ndarray:
-    return (y.astype(np.float64) / n) @ scaled
+    mean_free = y.astype(np.float64) / n
+    return np.stack([(mean_free * column).sum(axis=1) for column in scaled.T], axis=1)  # a row's sum does not depend on its neighbours
 
 
 def whiten(embeddings: DataFrame, model: Whitening) -> DataFrame:
