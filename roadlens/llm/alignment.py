@@ -14,7 +14,6 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import re
 import sys
 import uuid
 from collections.abc import Iterator
@@ -25,13 +24,12 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlens.llm.bpe import byte_letters
+from roadlens.llm.bpe import PATTERN, byte_letters
 from roadlens.llm.common import shared_folder, slices, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 STEPS, BLOCK = 1 << 16, 1 << 19  # merge steps of a piece and of a block
-SHORT, MEMO = 64, 150_000  # letters of a text part that is remembered, number of parts
 MARK = "▁"  # how pieces write a space
 
 COUNTS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
@@ -42,88 +40,60 @@ _PARTS = ("doc BIGINT, doc_id BIGINT, piece INT, " + ", ".join(f"{c} BIGINT" for
 
 # --- encoding -----------------------------------------------------------------------------------------------------------------
 
-def load_pair(a_path: str, b_path: str) -> tuple[str, bytes, bool]:
-    """Both vocabulary files, and whether texts may be encoded in parts: cut at single spaces between visible characters.
-
-    That is so if A splits as byte-level BPE does without a normaliser, and no piece of B holds a space after another character, while B's normaliser
-    changes nothing.  Then no token crosses such a space in either.
-    """
-    import sentencepiece
-    from sentencepiece import sentencepiece_model_pb2
-
+def load_pair(a_path: str, b_path: str) -> tuple[str, bytes]:
+    """Both vocabulary files; read on the driver."""
     with open(a_path, encoding="utf-8") as f:
         a = f.read()
     with open(b_path, "rb") as f:
         b = f.read()
-    spec = json.loads(a)
-    pre = spec["pre_tokenizer"] or {}
-    parts = spec["normalizer"] is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-    model = sentencepiece_model_pb2.ModelProto()
-    model.ParseFromString(b)
-    rules = model.normalizer_spec
-    parts = parts and model.trainer_spec.model_type == 2 and not rules.precompiled_charsmap and rules.add_dummy_prefix and not rules.remove_extra_whitespaces
-    pieces = sentencepiece.SentencePieceProcessor(model_proto=b)
-    inner = any(MARK in pieces.id_to_piece(i).lstrip(MARK) for i in range(len(pieces)))
-    return a, b, bool(parts and not inner)
+    return a, b
 
 
 class Encoders:
-    """Both tokenizers of a worker, bytes of all their tokens, and the ids of parts of texts seen before."""
+    """Both tokenizers of a worker and the bytes of all their tokens."""
 
-    def __init__(self, a: str, b: bytes, parts: bool):
+    def __init__(self, a: str, b: bytes):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
         from tokenizers import Tokenizer
 
         spec, letters = json.loads(a), byte_letters()
-        self.a = Tokenizer.from_str(a)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation(), self.a.no_padding()
+        vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
+        self.slow = Tokenizer.from_str(a)
+        self.slow.encode_special_tokens = True
+        self.slow.no_truncation(), self.slow.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
         added = {x["id"]: x["content"].encode() for x in spec["added_tokens"]}
-        self.a_bytes = [b""] * (1 + max(*added, *spec["model"]["vocab"].values()))
-        for text, i in spec["model"]["vocab"].items():
+        self.a_bytes = [b""] * (1 + max(*added, *vocab.values()))
+        for text, i in vocab.items():
             self.a_bytes[i] = bytes(letters[c] for c in text)
+        ranks = {self.a_bytes[i]: i for i in vocab.values()}
         for i, text in added.items():
             self.a_bytes[i] = text
         piece = self.b.id_to_piece
         self.b_bytes = [bytes([int(piece(i)[3:5], 16)]) if self.b.is_byte(i) else piece(i).replace(MARK, " ").encode() for i in range(len(self.b))]
         self.a_sizes, self.b_sizes = (np.array(list(map(len, x)), dtype=np.int64) for x in (self.a_bytes, self.b_bytes))
-        self.parts, self.known = parts, {}
-        self.odd, self.cut = re.compile(r" \s|\s ").search, re.compile(r"(?<=\S) (?=\S)").split
-
-    def _fresh(self, parts: list[str]) -> dict[str, tuple[bytes, bytes] | None]:
-        a = self.a.encode_batch([" " + p for p in parts], add_special_tokens=False)
-        b = self.b.encode(parts, num_threads=1)
-        out = {}
-        for p, x, y in zip(parts, a, b):
-            raw = (" " + p).encode()
-            same = b"".join(map(self.a_bytes.__getitem__, x.ids)) == raw == b"".join(map(self.b_bytes.__getitem__, y))
-            out[p] = (np.array(x.ids, dtype="<i4").tobytes(), np.array(y, dtype="<i4").tobytes()) if same else None
-        return out
+        # A byte-level BPE whose ids rise with the merges is the same as ranks of tokens, which a faster library reads.
+        pre, merged = spec["pre_tokenizer"] or {}, [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in merges]
+        plain = spec["normalizer"] is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+        self.fast = None
+        if plain and all(x < y for x, y in zip(merged, merged[1:])) and len(ranks) == len(merged) + 256 and all(bytes([i]) in ranks for i in range(256)):
+            import tiktoken
 
-    def _cut(self, text: str) -> list[str]:
-        if not self.parts:
-            return [text]
-        return self.cut(text) if self.odd(text) or text[0] == " " or text[-1] == " " else text.split(" ")
+            self.fast = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def __call__(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """Packed ids (int32) of space+text in A and of text in B; both empty where the tokens do not give back these bytes.
+    def in_a(self, texts: list[str]) -> list[list[int]]:
+        if self.fast is not None:
+            return list(map(self.fast.encode_ordinary, texts))
+        return [e.ids for e in self.slow.encode_batch(texts, add_special_tokens=False)]
 
-        Cut texts are compared part by part: B can only differ by a space written as the mark it stands for, which shortens the bytes, so parts never make up for each other.
-        """
-        cut = [self._cut(t) if t else [] for t in texts]
-        wanted = {p for parts in cut for p in parts if p not in self.known}
-        fresh = self._fresh(list(wanted))
-        if len(self.known) + len(fresh) > MEMO:
-            fresh |= {p: self.known[p] for parts in cut for p in parts if p in self.known}
-            self.known.clear()
-        self.known.update((p, ids) for p, ids in fresh.items() if len(p) <= SHORT)
-        known = self.known
+    def __call__(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """Packed ids (int32) of space+text in A and of text in B; both empty where the tokens do not give back these bytes."""
         out = []
-        for parts in cut:
-            ids = [known[p] if p in known else fresh[p] for p in parts]
-            out.append((b"", b"") if None in ids else (b"".join([x for x, _ in ids]), b"".join([y for _, y in ids])))
+        for text, x, y in zip(texts, self.in_a([" " + t for t in texts]), self.b.encode(texts, num_threads=1)):
+            raw = (" " + text).encode()
+            same = text and b"".join(map(self.a_bytes.__getitem__, x)) == raw == b"".join(map(self.b_bytes.__getitem__, y))
+            out.append((np.array(x, dtype="<i4").tobytes(), np.array(y, dtype="<i4").tobytes()) if same else (b"", b""))
         return out
 
 
@@ -252,7 +222,7 @@ def token_blocks(documents: DataFrame, a_path: str, b_path: str, steps: int = ST
         place = TaskContext.get().partitionId()
         docs, blocks = place << 33, place << 33
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 3_000_000):
                 coded = encoders([t or "" for t in batch.column("text").to_pylist()])
                 na, nb = (np.array([len(x[k]) // 4 for x in coded], dtype=np.int64) for k in (0, 1))
                 a, b = (np.frombuffer(b"".join([x[k] for x in coded]), dtype="<i4").astype(np.int64) for k in (0, 1))

@@ -89,12 +89,16 @@ def test_equals_the_walk(documents, steps, block):
     assert digests == {i: hashlib.sha256(x[-1].encode()).hexdigest() if x[-1] else "" for _, i, *x in want}
 
 
-def test_whole_texts_where_parts_are_not_safe(documents, monkeypatch):
-    safe = alignment.load_pair
-    monkeypatch.setattr(alignment, "load_pair", lambda *paths: (*safe(*paths)[:2], False))
-    assert safe(A_PATH, B_PATH)[2]
-    want = sorted((False, i, *x) for i, x in enumerate(brute(TEXTS)))
-    assert collected(alignment.align_tokenizers(documents(TEXTS), A_PATH, B_PATH, digest=False)) == want
+def test_both_libraries_for_a_agree(documents, monkeypatch):
+    encoders = alignment.Encoders(*alignment.load_pair(A_PATH, B_PATH))
+    assert encoders.fast is not None
+    some = [f"a{chr(c)}b {chr(c)}1{chr(c)}  {chr(c)}!" for c in [*range(0xD800), *range(0xE000, 0x33480)] if c % 41 == 0 or c < 0x3100]
+    quick = encoders.in_a(some + [t or "" for t in TEXTS])
+    encoders.fast = None
+    assert quick == encoders.in_a(some + [t or "" for t in TEXTS])
+    shape = alignment.json.loads(encoders.slow.to_str())
+    shape["model"]["merges"] = [shape["model"]["merges"][1], shape["model"]["merges"][0], *shape["model"]["merges"][2:]]
+    assert alignment.Encoders(alignment.json.dumps(shape), alignment.load_pair(A_PATH, B_PATH)[1]).fast is None
 
 
 def test_awkward_and_empty(spark, awkward, nothing):
@@ -123,13 +127,3 @@ def test_diagonals_split_evenly_and_keep_ties():
             merged = sorted([(x, 0) for x in a] + [(x, 1) for x in b])[:d]
             assert i == sum(1 for _, side in merged if side == 0) and j - (d - i) in (0, 1)
             assert not (i and j < len(b) and a[i - 1] == b[j])
-
-
-def test_parts_are_remembered_within_bounds(monkeypatch):
-    encoders = alignment.Encoders(*alignment.load_pair(A_PATH, B_PATH))
-    monkeypatch.setattr(alignment, "MEMO", 5)
-    for start in range(0, 40, 8):
-        texts = [f"word{i} word{i + 1} other" for i in range(start, start + 8)] + ["y" * 200]
-        for text, (a, b) in zip(texts, encoders(texts)):
-            assert np.frombuffer(a, "<i4").tolist() == [i for i, _ in pieces(text)[0]] and np.frombuffer(b, "<i4").tolist() == [i for i, _ in pieces(text)[1]]
-        assert max(map(len, encoders.known)) <= alignment.SHORT
