@@ -15,6 +15,7 @@ from roadlens.operators.performance import TAZ_SCOPE
 from roadlens.operators.quality import unique_by
 from roadlens.operators.summary import DISTRICTS, district_name
 from roadlens.sources.periods import period_map
+from roadlens.sources.speeds import owned_speeds
 
 # The compared measures, the class report, and the marker of an unmatched row.
 DIFF_MEASURES = [
@@ -178,6 +179,18 @@ def daily_aggregate(perf: DataFrame, periods: list[Period], midnight: str = "wra
     return out.where(F.coalesce(once, F.lit(True)) & F.col("__base")).drop("__base", "__copies")
 
 
+def daily_with_speeds(perf: DataFrame, speeds: DataFrame, periods: list[Period], midnight: str = "wrap",
+                      order: str | None = None) -> DataFrame:
+    """The daily table with ``speeds``: the (minute, speed_mph) entries of the day, each from the period that owns its minute.
+
+    ``speeds`` is long (time_period, link, minute, speed_mph); links without any keep an empty list.  A minute
+    that two periods claim fails the job, as does a link with two speeds for one minute.
+    """
+    day = daily_aggregate(perf, periods, midnight, order)
+    met = day.join(owned_speeds(speeds, periods), PAIR, "left")
+    return met.withColumn("speeds", F.coalesce("speeds", F.array().cast("array<struct<minute:int,speed_mph:double>>")))
+
+
 def district_diff(bd_day: DataFrame, bd_links: DataFrame, nb_day: DataFrame, nb_links: DataFrame) -> DataFrame:
     """Daily difference inside each of the nine named districts, all districts in one job.
 

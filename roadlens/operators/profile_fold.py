@@ -115,9 +115,25 @@ def target_curve(raw, minutes, scal, carried):
     return np.where(made[:, None], fitted, plain)
 
 
-def limit_changes(target, limits: Limits, last, recent: list, more_follows: bool):
+MISSING = "profile holds a missing speed"
+
+
+def _note(reasons, rows, text: str) -> None:
+    """Keeps the first reason of every row; without a place to keep it, the batch fails."""
+    if not rows.any():
+        return
+    if reasons is None:
+        raise ValueError(text)
+    fresh = np.flatnonzero(rows)
+    for i in fresh[[reasons[k] is None for k in fresh]]:
+        reasons[i] = text
+
+
+def limit_changes(target, limits: Limits, last, recent: list, more_follows: bool, reasons=None):
     """Project every change on the limits and on what keeps the next sample feasible.
 
+    A row that cannot be limited gets its reason in ``reasons`` (an object array); its speeds mean nothing then.
+
     The next sample is feasible while the chosen change stays within ``reach``: acceleration from
     it must be able to come back into the step limit and the remaining window budget.
     """
@@ -136,8 +152,7 @@ def limit_changes(target, limits: Limits, last, recent: list, more_follows: bool
         if more_follows and i == s - 1:
             room = np.minimum(room, a)
         low, high = np.maximum(-room, previous - a), np.minimum(room, previous + a)
-        if (low > high + INFEASIBLE).any():
-            raise ValueError(f"rate limits are infeasible at sample {i}")
+        _note(reasons, low > high + INFEASIBLE, f"rate limits are infeasible at sample {i}")
         middle = (low + high) / 2.0
         crossed = low > high
         low, high = np.where(crossed, middle, low), np.where(crossed, middle, high)
@@ -154,8 +169,7 @@ def limit_changes(target, limits: Limits, last, recent: list, more_follows: bool
             if more_follows and i + 1 == s - 1:
                 reach = np.minimum(reach, 2.0 * a)
             nearest = np.minimum(high, np.maximum(low, 0.0))
-            if (np.abs(nearest) > reach + INFEASIBLE).any():
-                raise ValueError(f"rate limits cannot keep sample {i + 1} feasible")
+            _note(reasons, np.abs(nearest) > reach + INFEASIBLE, f"rate limits cannot keep sample {i + 1} feasible")
             change = np.clip(change, -reach, reach)
         recent.append(change)
         del recent[:max(0, len(recent) - max(1, k - 1))]
@@ -258,13 +272,16 @@ def connect(values, r: int, limits: Limits):
     return result
 
 
-def enforce(raw_by_period, minutes_by_period, scal_by_period, limits: Limits, smooth_boundaries: bool = True):
-    """Enforced speeds of adjacent periods (same periods for all rows), side by side."""
+def enforce(raw_by_period, minutes_by_period, scal_by_period, limits: Limits, smooth_boundaries: bool = True, reasons=None):
+    """Enforced speeds of adjacent periods (same periods for all rows), side by side.
+
+    With ``reasons`` (an object array, one entry a row) rows that fail are named there and do no harm to the others.
+    """
     last, recent, parts = None, [], []
     count = len(raw_by_period)
     for i, (raw, minutes, scal) in enumerate(zip(raw_by_period, minutes_by_period, scal_by_period)):
         target = target_curve(raw, minutes, scal, last)
-        speeds, last = limit_changes(target, limits, last, recent, more_follows=i < count - 1)
+        speeds, last = limit_changes(target, limits, last, recent, i < count - 1, reasons)
         parts.append(speeds)
     values = np.concatenate(parts, axis=1)
     if smooth_boundaries:
@@ -274,4 +291,5 @@ def enforce(raw_by_period, minutes_by_period, scal_by_period, limits: Limits, sm
             joined = minutes_by_period[i][0] - minutes_by_period[i - 1][-1] == 5
             if joined and parts[i - 1].shape[1] >= 2 and parts[i].shape[1] >= 2:
                 values = connect(values, at, limits)
+    _note(reasons, ~np.isfinite(values).all(axis=1), MISSING)
     return values

@@ -16,7 +16,7 @@ from roadlens.functions.columns import number_in
 from roadlens.functions.timeofday import DAY, Period
 from roadlens.operators import profile_fold
 from roadlens.operators.profile_fold import Limits, enforce
-from roadlens.operators.quality import require, unique_by
+from roadlens.operators.quality import QualityError, require, unique_by
 
 # Tasks get the fold by value, so executors need numpy and pyarrow but not this package.
 cloudpickle.register_pickle_by_value(profile_fold)
@@ -185,7 +185,7 @@ def _packed(inputs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def fold_batches(periods: list[Period], limits: Limits, smooth_boundaries: bool):
-    """Arrow batches of packed links -> the same rows with ``speeds`` in place of raw and scalars."""
+    """Arrow batches of packed links -> the same rows with ``speeds`` in place of raw and scalars, and the ``reason`` of rows that failed."""
     grids = [(p.start, p.end if p.end > p.start else DAY) for p in periods]
     step, scalars = STEP, list(SCALARS)
 
@@ -210,27 +210,55 @@ def fold_batches(periods: list[Period], limits: Limits, smooth_boundaries: bool)
                         runs.append([k])
                 keys = part.drop_columns(["signature", "raw", "scal", "periods"])
                 for r in runs:
+                    reasons = np.full(n, None, dtype=object)
                     done = enforce([raw[:, edges[k]:edges[k + 1]] for k in r], [minutes[k] for k in r],
-                                   [{s: scal[:, k, c] for c, s in enumerate(scalars)} for k in r], limits, smooth_boundaries)
+                                   [{s: scal[:, k, c] for c, s in enumerate(scalars)} for k in r], limits, smooth_boundaries, reasons)
                     which = np.tile(np.asarray([index[k] for k in r], dtype=np.int32), n)
                     lists = [pa.ListArray.from_arrays(pa.array(np.arange(0, len(v) + 1, len(v) // n, dtype=np.int32)), pa.array(v))
                              for v in (which, done.ravel())]
-                    yield from keys.append_column("periods", lists[0]).append_column("speeds", lists[1]).to_batches()
+                    failed = pa.array([x is not None for x in reasons])
+                    speeds = pa.compute.if_else(failed, pa.scalar(None, lists[1].type), lists[1])
+                    yield from keys.append_column("periods", lists[0]).append_column("speeds", speeds).append_column("reason", pa.array(reasons, pa.string())).to_batches()
     return run
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def enforced_arrays(inputs: DataFrame, periods: list[Period], keys: list[str], limits: Limits = Limits(),
-                    smooth_boundaries: bool = True) -> DataFrame:
-    """(keys, periods, speeds): enforced samples, one row per link and run of adjacent periods."""
+def profile_outcomes(inputs: DataFrame, periods: list[Period], keys: list[str], limits: Limits = Limits(),
+                     smooth_boundaries: bool = True) -> DataFrame:
+    """(keys, periods, speeds, reason): one row per link and run of adjacent periods.
+
+    A link whose profile is missing a speed or cannot be limited leaves with its reason and no speeds; it does no harm to the others.
+    """
     packed = _packed(inputs, keys)
     kinds = {f.name: f.dataType.simpleString() for f in packed.schema.fields}
-    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", periods array<int>, speeds array<double>"
+    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", periods array<int>, speeds array<double>, reason string"
     return packed.mapInArrow(fold_batches(periods, limits, smooth_boundaries), schema)
 
 
+def profile_failures(outcomes: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, reason) of every run that failed."""
+    return outcomes.where(F.col("reason").isNotNull()).select(*keys, "reason")
+
+
+def refuse_failures(outcomes: DataFrame, keys: list[str], shown: int = 100) -> None:
+    """The gate over all links, before anything is written: fails with their number and the first ones by key."""
+    failed = profile_failures(outcomes, keys)
+    count = failed.count()
+    if count:
+        first = failed.orderBy(*keys).limit(shown).collect()
+        raise QualityError(f"{count} profiles failed; nothing is written: " + "; ".join("->".join(str(r[k]) for k in keys) + f": {r.reason}" for r in first))
+
+
+def enforced_arrays(inputs: DataFrame, periods: list[Period], keys: list[str], limits: Limits = Limits(),
+                    smooth_boundaries: bool = True) -> DataFrame:
+    """(keys, periods, speeds): enforced samples, one row per link and run of adjacent periods; a failing link fails the job and is named."""
+    outcomes = profile_outcomes(inputs, periods, keys, limits, smooth_boundaries)
+    named = F.concat(F.concat_ws("->", *[F.col(k).cast("string") for k in keys]), F.lit(": "), F.col("reason"))
+    return require(outcomes, F.col("reason").isNull(), named).drop("reason")
+
+
 def exploded(arrays: DataFrame, periods: list[Period], keys: list[str]) -> DataFrame:
     """Arrays back to (period, keys, minute, speed_mph) rows."""
     grids = F.create_map(*[x for i, p in enumerate(periods) for x in (
@@ -254,10 +282,10 @@ def array_metrics(arrays: DataFrame, keys: list[str], limits: Limits = Limits())
     steps = F.zip_with(F.slice(v, 2, n - 1), F.slice(v, F.lit(1), n - 1), lambda b, a: b - a)
     m = arrays.withColumn("d", steps)
     d, k = F.col("d"), F.size("d")
-    second = F.zip_with(F.slice(d, F.lit(2), k - 1), F.slice(d, F.lit(1), k - 1), lambda b, a: F.abs(b - a) / STEP_HOURS**2)
+    second = F.when(k >= 2, F.zip_with(F.slice(d, F.lit(2), k - 1), F.slice(d, F.lit(1), k - 1), lambda b, a: F.abs(b - a) / STEP_HOURS**2))
     size = limits.window
-    window = F.transform(F.sequence(F.lit(1), k - (size - 1)), lambda i: sum(
-        (F.abs(F.element_at(d, (i + o).cast("int"))) for o in range(size)), F.lit(0.0)) / size)
+    window = F.when(k >= size, F.transform(F.sequence(F.lit(1), k - (size - 1)), lambda i: sum(
+        (F.abs(F.element_at(d, (i + o).cast("int"))) for o in range(size)), F.lit(0.0)) / size))
     return m.select(*keys, F.array_max(F.transform(d, F.abs)).alias("max_step"),
                     F.array_max(window).alias("max_rolling"), F.array_max(second).alias("max_acceleration"))
 
@@ -268,6 +296,42 @@ def violations(metrics: DataFrame, limits: Limits = Limits()) -> DataFrame:
                          | (F.col("max_acceleration") > limits.acceleration + 1e-6))
 
 
+# How much a limit may be exceeded by rounding of the arithmetic.
+SLACK = {"max_step": 1e-8, "max_rolling": 1e-8, "max_acceleration": 1e-6}
+
+
+def rounded_profiles(arrays: DataFrame, decimals: int) -> DataFrame:
+    """Profiles as they will be written: speeds rounded to so many decimals."""
+    return arrays.withColumn("speeds", F.transform("speeds", lambda v: F.round(v, decimals)))
+
+
+def profile_limits(arrays: DataFrame, keys: list[str], limits: Limits = Limits(), decimals: int = 12) -> DataFrame:
+    """The fold over all links: one row per limit and form of the profiles (exact, and rounded as written).
+
+    Columns: form, measure, allowed, largest, the keys of the link that holds it (the least, if several do), profiles, beyond (profiles beyond the limit).
+    One aggregate with map-side combine, whatever the number of links.
+    """
+    bound = {"max_step": limits.step, "max_rolling": limits.rolling, "max_acceleration": limits.acceleration}
+    out = None
+    for form, frame in (("exact", arrays), ("rounded", rounded_profiles(arrays, decimals))):
+        metrics = array_metrics(frame, keys, limits)
+        entries = F.array(*[F.struct(F.lit(m).alias("measure"), F.lit(float(a)).alias("allowed"), F.lit(SLACK[m]).alias("slack"), F.coalesce(F.col(m), F.lit(0.0)).alias("value"))
+                            for m, a in bound.items()])
+        rows = metrics.select(*keys, F.lit(form).alias("form"), F.inline(entries))
+        out = rows if out is None else out.unionByName(rows)
+    holder = F.min_by(F.struct(*keys), F.struct(-F.col("value"), *keys))
+    folded = out.groupBy("form", "measure", "allowed").agg(F.max("value").alias("largest"), holder.alias("holder"), F.count(F.lit(1)).alias("profiles"),
+                                                           F.count_if(F.col("value") > F.col("allowed") + F.col("slack")).alias("beyond"))
+    return folded.select("form", "measure", "allowed", "largest", "holder.*", "profiles", "beyond")
+
+
+def refuse_beyond(folded: DataFrame) -> None:
+    """The gate on the fold: fails with the limits that profiles break, exact or rounded, and the link of the largest value."""
+    broken = folded.where("beyond > 0").orderBy("form", "measure").collect()
+    if broken:
+        raise QualityError("profiles beyond a limit: " + "; ".join(str(r.asDict()) for r in broken))
+
+
 def step_metrics(long: DataFrame, keys: list[str]) -> DataFrame:
     """Largest step, three-step mean and acceleration of long profiles.
 

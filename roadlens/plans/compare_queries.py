@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from roadlens.functions.columns import PAIR
 from roadlens.operators import compare, demand, transit
 from roadlens.plans.performance_queries import KEYS, PERIODS, combined, combined_ctes
+from roadlens.plans import speed_queries  # noqa: F401  defines the observed speeds
 from roadlens.plans.registry import query
 from roadlens.plans.road_views import add_view, check_sql, road, settle, settled, tie
 
@@ -106,6 +107,25 @@ def daily_aggregate(spark, sf):
     return settle(compare.daily_aggregate(road(spark, sf, "link_performance"), PERIODS), 6)
 
 
+@query("daily_aggregate_speeds", check_sql("link_performance speed_obs", f"""
+SELECT d.from_node_id, d.to_node_id, d.volume, {tie("d.speed", 6)} AS speed, CAST(coalesce(n, 0) AS INT) AS samples, first_minute, last_minute, {tie("early", 6)} AS speed_0700,
+  {tie("late", 6)} AS speed_1900, {tie("total", 4)} AS speed_sum
+FROM ({_day_sql("link_performance")}) d LEFT JOIN (
+  SELECT from_node_id, to_node_id, count(*) AS n, min(minute) AS first_minute, max(minute) AS last_minute, sum(speed_mph) AS total,
+    max(CASE WHEN minute = 420 THEN speed_mph END) AS early, max(CASE WHEN minute = 1140 THEN speed_mph END) AS late
+  FROM speed_obs GROUP BY ALL) s USING (from_node_id, to_node_id)"""))
+def daily_aggregate_speeds(spark, sf):
+    """The daily table with the five-minute speeds of the period that owns each minute."""
+    day = compare.daily_with_speeds(road(spark, sf, "link_performance"), road(spark, sf, "speed_obs"), PERIODS)
+    values = F.transform("speeds", lambda e: e["speed_mph"])
+    at = lambda m: F.get(F.transform(F.filter("speeds", lambda e: e["minute"] == m), lambda e: e["speed_mph"]), F.lit(0))
+    out = day.select(*PAIR, "volume", "speed", F.size("speeds").alias("samples"), F.get("speeds", F.lit(0))["minute"].alias("first_minute"),
+                     F.when(F.size("speeds") > 0, F.element_at("speeds", -1)["minute"]).alias("last_minute"), at(420).alias("speed_0700"), at(1140).alias("speed_1900"),
+                     F.when(F.size(F.filter(values, lambda v: v.isNotNull())) > 0, F.aggregate(F.filter(values, lambda v: v.isNotNull()), F.lit(0.0), lambda a, v: a + v)).alias("speed_sum"))
+    return out.select(*PAIR, "volume", *[F.round(F.col(c) + F.lit(1e-9), 6).alias(c) for c in ("speed", "speed_0700", "speed_1900")], "samples", "first_minute", "last_minute",
+                      F.round(F.col("speed_sum") + F.lit(1e-7), 4).alias("speed_sum"))
+
+
 @query("district_diff", check_sql("link link_performance link_performance_nb", f"""
 , bd AS ({_day_sql("link_performance")}), nb AS ({_day_sql("link_performance_nb")}),
 b AS (SELECT bd.*, l.district_id, l.link_type, volume * (length_in_mile / speed - length_in_mile / free_speed) AS phd, volume * length_in_mile AS pmt

@@ -95,6 +95,28 @@ def profile_violations(spark, sf):
     return pr.violations(pr.array_metrics(arrays, PAIR)).select(*PAIR)
 
 
+@query("profile_failures", check_sql("profile_link link_performance grid", """
+SELECT from_node_id, to_node_id, 'profile holds a missing speed' AS reason FROM n
+WHERE to_node_id % 97 = 5 AND time_period = 'am' AND gen AND t >= t0 AND t <= t3 GROUP BY ALL""", CURVE.split("s AS (SELECT")[0].strip()))
+def profile_failures(spark, sf):
+    """Links of no length in the first period have no speed in its congested window: they come out as rows, all others are smoothed."""
+    spoilt = (F.col("to_node_id") % 97 == 5) & (F.col("time_period") == "am")
+    links = road(spark, sf, "profile_link").withColumn("vdf_length_mi", F.when(spoilt, F.lit(0.0)).otherwise(F.col("vdf_length_mi"))).withColumns(
+        {c: F.when(~spoilt, F.col(c)) for c in ("qvdf_start_speed_mph", "qvdf_end_speed_mph")})
+    found = pr.profile_outcomes(pr.profile_inputs(road(spark, sf, "link_performance"), links, DAY_PERIODS, PAIR), DAY_PERIODS, PAIR)
+    return pr.profile_failures(found, PAIR).distinct()
+
+
+@query("profile_limits", check_sql("link_performance", """
+SELECT form, measure, CAST(allowed AS DOUBLE) AS allowed, CAST(allowed AS DOUBLE) AS largest, n AS profiles, CAST(0 AS BIGINT) AS beyond
+FROM (VALUES ('exact'), ('rounded')) f(form), (VALUES ('max_step', 8), ('max_rolling', 4), ('max_acceleration', 576)) m(measure, allowed),
+  (SELECT count(DISTINCT (from_node_id, to_node_id)) AS n FROM link_performance) c"""))
+def profile_limits(spark, sf):
+    """One row per limit: the largest value over all links, exact and as written, reaches the limit and no profile exceeds it."""
+    folded = pr.profile_limits(pr.enforced_arrays(inputs(spark, sf), DAY_PERIODS, PAIR), PAIR)
+    return folded.select("form", "measure", "allowed", F.round("largest", 6).alias("largest"), "profiles", "beyond")
+
+
 @query("profile_sample_count", check_sql("link_performance grid", """
 SELECT time_period, CAST(count(*) AS BIGINT) AS samples, CAST(count(DISTINCT (from_node_id, to_node_id)) AS BIGINT) AS links
 FROM link_performance JOIN grid USING (time_period) GROUP BY 1"""))

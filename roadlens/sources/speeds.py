@@ -74,19 +74,27 @@ def pivot_speeds(long: DataFrame, keys: list[str], minutes: list[int], prefix: s
         F.max(F.when(F.col("minute") == m, F.col("speed_mph"))).alias(f"{prefix}{label(m)}") for m in minutes])
 
 
+def period_offsets(arrays: DataFrame) -> DataFrame:
+    """Sorted offsets that any link of a period has: (time_period, offsets).
+
+    Every task sets the bits of its samples in one bitmap per period; bitmaps are what is shuffled, so the volume depends
+    on periods and tasks and not on how many links differ in their samples.
+    """
+    bits = arrays.select("time_period", F.explode("samples").alias("e")).groupBy("time_period").agg(F.bitmap_construct_agg(F.col("e.o").cast("bigint")).alias("bits"))
+    byte = lambda o: F.conv(F.hex(F.substring("bits", (F.floor(o / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return bits.select("time_period", F.filter(F.sequence(F.lit(0), F.lit(DAY - 1)), lambda o: F.getbit(byte(o), o % 8) == 1).alias("offsets"))
+
+
 def native_grid(arrays: DataFrame, periods: list[Period]) -> DataFrame:
     """Sampling grid of every period: step, last step, offsets, and the offsets no link has.
 
     The step is the greatest common divisor of all offsets and the period length, so timestamps
-    absent from the whole period become visible.  Links mostly share their set of offsets, so the
-    sets are made distinct before they are unrolled; a period has at most 1440 distinct offsets.
+    absent from the whole period become visible.  The offsets come from one bitmap per period.
     Built on ``link_arrays``, whose shuffle Spark reuses for the join that follows.
     """
     at = F.col("time_period")
     length = F.try_element_at(period_map(periods, "minutes"), at)
-    sets = arrays.select("time_period", F.sort_array(F.transform("samples", lambda e: e["o"])).alias("s")).distinct()
-    seen = sets.select("time_period", F.explode("s").alias("o")).groupBy("time_period").agg(
-        F.sort_array(F.collect_set("o")).alias("offsets"))
+    seen = period_offsets(arrays)
     seen = require(seen, F.element_at("offsets", 1) == 0, F.concat(F.lit("speeds must start at the period boundary: "), at))
     divides = lambda d: (length % d == 0) & F.forall("offsets", lambda o: o % d == 0)
     step = F.when(F.size("offsets") > 1, F.array_max(F.filter(F.sequence(F.lit(1), length), divides))) \
@@ -97,6 +105,32 @@ def native_grid(arrays: DataFrame, periods: list[Period]) -> DataFrame:
     return grid.select("time_period", "step", last.alias("last_step"), "grid", F.array_except("grid", "offsets").alias("absent"))
 
 
+def minute_owners(arrays: DataFrame, periods: list[Period]) -> DataFrame:
+    """(time_period, owned): the minutes of the day whose speeds a period gives; fails on a minute that two periods claim."""
+    start = F.try_element_at(period_map(periods, "start"), F.col("time_period"))
+    minutes = period_offsets(arrays).select("time_period", F.explode(F.transform("offsets", lambda o: (o + start) % DAY)).alias("minute"))
+    claims = minutes.groupBy("minute").agg(F.sort_array(F.collect_set("time_period")).alias("claims"))
+    clash = F.concat(F.lit("speed of minute "), F.col("minute").cast("string"), F.lit(" belongs to overlapping periods "), F.array_join("claims", ", "))
+    single = require(claims, F.size("claims") == 1, clash)
+    return single.select(F.col("claims")[0].alias("time_period"), "minute").groupBy("time_period").agg(F.sort_array(F.collect_set("minute")).alias("owned"))
+
+
+def owned_speeds(long: DataFrame, periods: list[Period], keys: list[str] = PAIR) -> DataFrame:
+    """One row per link: ``speeds``, its (minute, speed_mph) entries of the day in the order of the clock.
+
+    Every minute comes from the period that owns it.  The arrays of a link's periods are merged as they are, so samples
+    travel as arrays and nothing is unrolled; the owners are one row per period.  Two samples of a link for one minute fail the job.
+    """
+    arrays = link_arrays(long, periods, keys)
+    start = F.try_element_at(period_map(periods, "start"), F.col("time_period"))
+    owners = F.broadcast(minute_owners(arrays, periods))  # one row per period
+    entry = lambda e: F.struct(((e["o"] + start) % DAY).alias("minute"), e["v"].alias("speed_mph"))
+    timed = arrays.withColumn("entries", F.transform("samples", entry)).join(owners, "time_period")
+    own = timed.select(*keys, F.filter("entries", lambda e: F.array_contains("owned", e["minute"])).alias("entries"))
+    merged = own.groupBy(*keys).agg(F.sort_array(F.flatten(F.collect_list("entries"))).alias("speeds"))
+    return require(merged, F.size("speeds") == F.size(F.array_distinct(F.transform("speeds", lambda e: e["minute"]))), "a link has two speeds for one minute")
+
+
 def link_arrays(long: DataFrame, periods: list[Period], keys: list[str] = PAIR) -> DataFrame:
     """One row per period and link: its samples as (offset, speed) entries.
 

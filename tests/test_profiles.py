@@ -104,3 +104,46 @@ def test_end_to_end_runs(spark):
     assert long.count() == 8 * 156 - 72
     first = {r.link_id: r.speed_mph for r in long.where("minute = 360").collect()}
     assert all(first[k] == pytest.approx(20.0 + 5 * k) for k in range(8))
+
+
+def test_links_that_cannot_be_limited_are_rows(spark):
+    periods = [Period("am", 360, 540), Period("md", 540, 900)]
+    perf = spark.createDataFrame([(p, i, i + 1, 100.0, 40.0) for p in ("am", "md") for i in range(6)], "time_period string, from_node_id bigint, to_node_id bigint, volume double, speed_mph double")
+    links = spark.createDataFrame([(p, i, i + 1, 60.0, 1.0, 0.0 if i in (2, 4) and p == "am" else 1.0) for p in ("am", "md") for i in range(6)],
+                                  "time_period string, from_node_id bigint, to_node_id bigint, vdf_free_speed_mph double, qvdf_profile_mode double, vdf_length_mi double")
+    inputs = pr.profile_inputs(perf, links, periods, ["from_node_id", "to_node_id"])
+    keys = ["from_node_id", "to_node_id"]
+    outcomes = pr.profile_outcomes(inputs, periods, keys)
+    assert {(r.from_node_id, r.reason) for r in pr.profile_failures(outcomes, keys).collect()} == {(2, pf.MISSING), (4, pf.MISSING)}
+    good = outcomes.where("reason IS NULL").collect()
+    assert sorted(r.from_node_id for r in good) == [0, 1, 3, 5] and all(len(r.speeds) == 108 for r in good)
+    with pytest.raises(Exception, match="2 profiles failed.*2->3: profile holds.*4->5"):
+        pr.refuse_failures(outcomes, keys)
+    pr.refuse_failures(outcomes.where("reason IS NULL"), keys)
+    with pytest.raises(Exception, match="(2->3|4->5): profile holds a missing speed"):
+        pr.enforced_arrays(inputs, periods, keys).collect()
+
+
+def test_limiter_names_the_rows_that_are_infeasible():
+    reasons = np.full(3, None, dtype=object)
+    target = np.tile(np.linspace(40.0, 60.0, 8), (3, 1))
+    values, _ = pf.limit_changes(target, pf.Limits(), None, [np.array([0.0, 50.0, 0.0])], False, reasons)
+    assert [r is not None for r in reasons] == [False, True, False] and "infeasible at sample 1" in reasons[1]
+    alone, _ = pf.limit_changes(target[:1], pf.Limits(), None, [np.zeros(1)], False)
+    assert (values[[0, 2]] == alone).all()
+    with pytest.raises(ValueError, match="infeasible"):
+        pf.limit_changes(target, pf.Limits(), None, [np.array([0.0, 50.0, 0.0])], False)
+
+
+def test_fold_over_all_links_and_its_gate(spark):
+    rows = [(1, [40.0, 48.0, 50.0, 50.0]), (2, [40.0, 41.00000049, 40.0, 40.0]), (3, [30.0, 30.0, 30.0, 39.0]), (4, [40.0, 48.0, 50.0, 50.0])]
+    arrays = spark.createDataFrame(rows, "k int, speeds array<double>")
+    found = {(r.form, r.measure): r for r in pr.profile_limits(arrays, ["k"], decimals=0).collect()}
+    assert len(found) == 6 and (found["exact", "max_step"].largest, found["exact", "max_step"].k, found["exact", "max_step"].beyond) == (9.0, 3, 1)
+    assert found["exact", "max_rolling"].largest == pytest.approx(10 / 3) and found["exact", "max_rolling"].k == 1 and found["rounded", "max_step"].profiles == 4
+    with pytest.raises(Exception, match="beyond a limit.*max_step"):
+        pr.refuse_beyond(pr.profile_limits(arrays, ["k"]))
+    close = pr.profile_limits(spark.createDataFrame([(9, [40.49, 48.5, 48.5])], "k int, speeds array<double>"), ["k"], pf.Limits(step=8.02), decimals=0)
+    assert {(r.form, round(r.largest, 6), r.beyond) for r in close.where("measure = 'max_step'").collect()} == {("exact", 8.01, 0), ("rounded", 9.0, 1)}
+    with pytest.raises(Exception, match="rounded"):
+        pr.refuse_beyond(close)
