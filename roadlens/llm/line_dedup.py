@@ -59,7 +59,7 @@ def hot_hashes(hashes: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_
 def repeated_lines(documents: DataFrame, shortest: int = SHORTEST, least: int = DOCUMENTS, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
     """d, t, pos of the lines that go: their key is in at least `least` documents (2 or more) and d is not the largest of them."""
     key = ["h1", "h2"]
-    hashes = line_hashes(documents, shortest)
+    hashes = checkpoint(line_hashes(documents, shortest))  # narrow, and read by every step below
     hot = checkpoint(hot_hashes(hashes, hot_rows, hot_keys))
     ranged = hashes.join(F.broadcast(hot), key, "left_anti").repartitionByRange(*key)
     ranged = ranged.sortWithinPartitions(*key, F.desc("d"), "t", "pos")  # the windows need no other exchange or sort
