@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlens.llm.bpe import MEMO, Memo, Splitter, Vocabulary, coded, load_vocabulary, merge_many
-from roadlens.llm.common import slices, worker_cache
+from roadlens.llm.common import received, ship, slices, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -44,10 +44,10 @@ def encode(documents: DataFrame, tokenizer_path: str) -> DataFrame:
     A null or empty text has no ids.  Strings of special tokens inside a text become that token, as the library
     does by default.  Nothing is added, cut or padded.  An empty table gives an empty result.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(load_vocabulary(tokenizer_path))  # bounded by the vocabulary file
+    shared = ship(documents.sparkSession, load_vocabulary(tokenizer_path))  # bounded by the vocabulary file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
+        v = received(shared)
 
         def tools():
             splitter = Splitter(v)

@@ -1,12 +1,15 @@
 """What several operators of this package share.
 
-Functions that run inside tasks are shipped by value, so executors need no copy of this package.  State that should
+Functions that run inside tasks are shipped by value, so executors need no copy of this package.  A broadcast pickles classes by name,
+so models go out as bytes that hold their class by value (`ship`, `received`).  State that should
 outlive a task (memo tables of a reused Python worker) hangs on a module object kept in `sys.modules`.
 """
 
 from __future__ import annotations
 
 import gc
+import hashlib
+import pickle
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -21,7 +24,7 @@ from roadlens.session import CHECKPOINT_KEY, cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-__all__ = ["checkpoint", "release", "shared_folder", "worker_cache", "slices", "free_names", "held_out", "read_table", "mix64", "sample_rank"]
+__all__ = ["checkpoint", "release", "shared_folder", "worker_cache", "ship", "received", "parts_for", "slices", "free_names", "held_out", "read_table", "mix64", "sample_rank"]
 
 checkpoint = cut_lineage
 
@@ -59,6 +62,29 @@ def worker_cache(name: str, make: Callable[[], object]) -> object:
     return getattr(holder, name)
 
 
+def ship(spark: SparkSession, thing: object) -> tuple[object, str]:
+    """The thing as a broadcast that executors without this package can read, and a mark of its content."""
+    data = cloudpickle.dumps(thing)
+    return spark.sparkContext.broadcast(data), hashlib.blake2b(data, digest_size=16).hexdigest()
+
+
+def received(shipped: tuple[object, str]) -> object:
+    """The shipped thing in a task; a worker keeps the last one of each class."""
+    shared, mark = shipped
+    kept = worker_cache("shipped", dict)
+    if mark not in kept:
+        thing = pickle.loads(shared.value)
+        for other in [m for m, t in kept.items() if type(t).__name__ == type(thing).__name__]:
+            del kept[other]
+        kept[mark] = thing
+    return kept[mark]
+
+
+def parts_for(rows: int, a_part: int = 200_000) -> int:
+    """Partitions for so many rows.  Iterations over small tables else write a file for each of very many empty partitions."""
+    return max(1, -(-rows // a_part))
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts together hold about `most` bytes (at least one row each), so that
     what a task holds beside the batch does not depend on how Spark sized the batch."""

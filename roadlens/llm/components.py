@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import checkpoint, release
+from roadlens.llm.common import checkpoint, parts_for, release
 
 
 def _stars(links: DataFrame, large: bool) -> DataFrame:
@@ -30,9 +30,10 @@ def components(links: DataFrame) -> DataFrame:
     Repeated links and links of a node to itself do no harm.  Rounds grow with the logarithm of the number of nodes.
     """
     now = checkpoint(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    before = None
+    parts = parts_for(2 * now.count())  # a round never has more rows
+    now, before = now.coalesce(parts), None
     while True:
-        now = checkpoint(_stars(checkpoint(_stars(now, True)), False))
+        now = checkpoint(_stars(checkpoint(_stars(now, True).coalesce(parts)), False).coalesce(parts))
         state = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if state == before:
             break

@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import checkpoint, fold, mix64, sample_rank, slices
+from roadlens.llm.common import checkpoint, fold, mix64, received, sample_rank, ship, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -208,10 +208,10 @@ def fit(documents: DataFrame) -> Model:
 
 def identify(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred and score of every whole text."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # WIDTH x LANGUAGES numbers at most
+    shared = ship(documents.sparkSession, model)  # WIDTH x LANGUAGES numbers at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predict = shared.value.predict
+        predict = received(shared).predict
         for whole in batches:
             for batch in slices(whole, "text"):
                 both = [predict(t) for t in batch.column("text").to_pylist()]

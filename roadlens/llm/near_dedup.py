@@ -22,7 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import checkpoint, free_names, mix64, release
+from roadlens.llm.common import checkpoint, free_names, mix64, parts_for, release
 from roadlens.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -116,7 +116,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 bands = mix64(bands + np.arange(BANDS, dtype=np.uint64))
             flat = pa.array(bands.reshape(-1).view(np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * BANDS), flat)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(keys, pa.binary()), pa.array(kinds, pa.int32()), lists], ["doc_id", "node", "kinds", "buckets"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("t"), pa.array(keys, pa.binary()), pa.array(kinds, pa.int32()), lists], ["doc_id", "t", "node", "kinds", "buckets"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,13 +129,16 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prepared(documents: DataFrame) -> DataFrame:
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), word_hashes(F.col("text")).alias("words"))
+    text = F.col("text").cast("string")
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("t"), word_hashes(text).alias("words"))
 
 
 def shingle_sets(documents: DataFrame, needed: DataFrame) -> DataFrame:
-    """`node`, `shingles` (sorted) of the documents whose ids `needed` names."""
-    picked = documents.select("doc_id", "text").join(needed.select("doc_id"), "doc_id", "left_semi")
-    return _prepared(picked).mapInArrow(_sets, "node BINARY, shingles ARRAY<BIGINT>").dropDuplicates(["node"])
+    """`node`, `shingles` (sorted) of the documents that `needed` names by id and hash of the text (ids may be null or name several texts)."""
+    named = needed.select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"))
+    keyed = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64(F.col("text").cast("string")).alias("_text"))
+    picked = keyed.join(named, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_t")), "left_semi")
+    return _prepared(picked.select("doc_id", "text")).mapInArrow(_sets, "node BINARY, shingles ARRAY<BIGINT>").dropDuplicates(["node"])
 
 
 def compared(pairs: DataFrame, sets: DataFrame, *more) -> DataFrame:
@@ -157,7 +160,7 @@ def _mixed(rows: DataFrame) -> DataFrame:
 _ROW = ("bucket", "node", "kinds", "met", "component")
 
 
-def _apart(left: DataFrame, sets: DataFrame) -> DataFrame:
+def _apart(left: DataFrame, sets: DataFrame, parts: int, wide: int) -> DataFrame:
     """Smaller buckets that every link must share which the heads have not shown; `left` are the buckets' members without their heads O.
 
     Buckets of up to SMALL members stay as they are.  For larger ones: a link of x and y needs 9 |x & y| >= 4 (|x| + |y|), and y has at
@@ -167,9 +170,9 @@ def _apart(left: DataFrame, sets: DataFrame) -> DataFrame:
     and edits mostly are such, so members that are merely edited from one text are not compared pair by pair.
     """
     sizes = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
-    left = checkpoint(left.join(sizes, "bucket"))
+    left = checkpoint(left.join(sizes, "bucket").coalesce(parts))
     small, large = left.where(F.col("members") <= SMALL).select(*_ROW), left.where(F.col("members") > SMALL)
-    tested = checkpoint(compared(large.select("node", "head").distinct(), sets, F.array_except("shingles", "of_head").alias("outside")))
+    tested = checkpoint(compared(large.select("node", "head").distinct(), sets, F.array_except("shingles", "of_head").alias("outside")).coalesce(wide))
     partner = F.greatest(F.col("least_kinds").cast("double"), 0.8 * F.col("kinds"))
     met = large.join(tested.select("node", "head", "common"), ["node", "head"]).withColumn("t", F.ceil((4 * (F.col("kinds") + partner) - 9 * F.col("common")) / 9 - 1e-9).cast("int"))
     # Members linked to O are in one component: the others are the better heads from here on.
@@ -177,7 +180,7 @@ def _apart(left: DataFrame, sets: DataFrame) -> DataFrame:
     together = met.where("t <= 0").select(*_ROW)
     own = met.groupBy("node", "head").agg(F.min("t").alias("t"), F.min("kinds").alias("kinds"), F.min("met").alias("met"), F.min("component").alias("component"))
     own = checkpoint(own.join(tested.select("node", "head", "outside"), ["node", "head"]).where(F.size("outside") >= F.col("t"))
-                     .withColumn("n", F.size("outside")).withColumn("pair", F.monotonically_increasing_id()).withColumn("o", F.xxhash64("head")))
+                     .withColumn("n", F.size("outside")).withColumn("pair", F.monotonically_increasing_id()).withColumn("o", F.xxhash64("head")).coalesce(wide))
     spread = own.select("pair", "o", F.explode("outside").alias("shingle"))  # three numbers a row: this is the widest step
     shared = spread.groupBy("o", "shingle").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
     mine = Window.partitionBy("pair")
@@ -185,7 +188,7 @@ def _apart(left: DataFrame, sets: DataFrame) -> DataFrame:
     named = placed.join(own.drop("outside", "o"), "pair")
     rare = named.where(F.col("place") - F.col("mine") <= 1 - F.greatest(F.col("t"), F.lit(1)))
     apart = rare.withColumn("bucket", F.xxhash64("head", "shingle")).select(*_ROW)
-    return checkpoint(_mixed(small.unionByName(together).unionByName(apart)))
+    return checkpoint(_mixed(small.unionByName(together).unionByName(apart)).coalesce(wide))
 
 
 def near_groups(documents: DataFrame) -> DataFrame:
@@ -196,43 +199,48 @@ def near_groups(documents: DataFrame) -> DataFrame:
     four words have themselves as their only shingle; null, empty and blank texts are one class.  Null ids are larger than any; a class of null
     ids only has a null class_id.  Of rows that tie for the least doc_id one is kept; an id that names texts of two classes names both classes if it is the least in both.  An empty table gives an empty result.
     """
-    rows = checkpoint(_prepared(documents).mapInArrow(_sketches, "doc_id BIGINT, node BINARY, kinds INT, buckets ARRAY<BIGINT>").withColumn("row_key", F.monotonically_increasing_id()))
-    nodes = checkpoint(rows.groupBy("node").agg(F.min("doc_id").alias("copy_id"), F.first("kinds").alias("kinds"), F.min("buckets").alias("buckets")))
+    rows = checkpoint(_prepared(documents).mapInArrow(_sketches, "doc_id BIGINT, t BIGINT, node BINARY, kinds INT, buckets ARRAY<BIGINT>").withColumn("row_key", F.monotonically_increasing_id()))
+    many = rows.count()
+    parts, wide = parts_for(BANDS * many), parts_for(many, 5_000)  # of rows of buckets, and of rows that hold shingles
+    rows = rows.coalesce(parts_for(many, 20_000))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t"))
+    nodes = rows.groupBy("node").agg(first.alias("copy"), F.first("kinds").alias("kinds"), F.min("buckets").alias("buckets"))
+    nodes = checkpoint(nodes.select("node", F.col("copy.doc_id").alias("copy_id"), F.col("copy.t").alias("t"), "kinds", "buckets").coalesce(parts))
     spread = nodes.where("kinds > 0").select("node", "kinds", F.explode("buckets").alias("bucket"))
     full = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = checkpoint(spread.join(full, "bucket"))
+    met = checkpoint(spread.join(full, "bucket").coalesce(parts))
     # Who meets most others comes first: the text that a family of copies was made from is near all of them, a copy is not.
     order = met.groupBy("node").agg((-F.sum("n")).alias("met"))
-    open_ = checkpoint(met.drop("n").join(order, "node").withColumn("component", F.col("node")).select(*_ROW))
+    open_ = checkpoint(met.drop("n").join(order, "node").withColumn("component", F.col("node")).select(*_ROW).coalesce(parts))
     del spread, full, met, order
     release(documents.sparkSession)
-    needed = nodes.join(open_.select("node").distinct(), "node", "left_semi").select(F.col("copy_id").alias("doc_id"))
+    needed = nodes.join(open_.select("node").distinct(), "node", "left_semi").select(F.col("copy_id").alias("doc_id"), "t")
     could = 5 * F.least("kinds", "head_kinds") >= 4 * F.greatest("kinds", "head_kinds")
     links, leaders = None, 0
     while not open_.isEmpty():
         if links is None:  # one head for each bucket of a band, compared with all its members
-            sets = checkpoint(shingle_sets(documents, needed))
+            sets = checkpoint(shingle_sets(documents, needed).coalesce(wide))
             release(documents.sparkSession)
             first = F.min(F.struct("met", F.col("node").alias("head"), F.col("kinds").alias("head_kinds"))).alias("first")
-            heads = checkpoint(open_.groupBy("bucket").agg(first, F.min("kinds").alias("least_kinds")).select("bucket", "first.head", "first.head_kinds", "least_kinds"))
+            heads = checkpoint(open_.groupBy("bucket").agg(first, F.min("kinds").alias("least_kinds")).select("bucket", "first.head", "first.head_kinds", "least_kinds").coalesce(parts))
             pairs = open_.select("bucket", "node", "kinds").join(heads, "bucket").where((F.col("node") != F.col("head")) & could)
         else:  # 1, 4, 16, ... heads, compared with what could be linked to them and is not yet in their component
             heads = open_.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy("met", "node"))).where(F.col("place") <= leaders)
-            heads = checkpoint(heads.select("bucket", *[F.col(c).alias(f"head_{c}") for c in ("node", "kinds", "met", "component")]).withColumnRenamed("head_node", "head"))
+            heads = checkpoint(heads.select("bucket", *[F.col(c).alias(f"head_{c}") for c in ("node", "kinds", "met", "component")]).withColumnRenamed("head_node", "head").coalesce(parts))
             pairs = open_.join(heads, "bucket").where((F.col("component") != F.col("head_component")) & could)
-        pairs = checkpoint(pairs.select("node", "head", "kinds", "head_kinds").distinct())
-        tested = compared(pairs, sets).join(pairs, ["node", "head"])
+        pairs = checkpoint(pairs.select("node", "head", "kinds", "head_kinds").distinct().coalesce(parts))
+        tested = compared(pairs, sets).join(pairs, ["node", "head"]).coalesce(wide)
         found = tested.where(9 * F.col("common") >= 4 * (F.col("kinds") + F.col("head_kinds"))).select(F.col("node").alias("u"), F.col("head").alias("v"))
         links = checkpoint(found if links is None else links.unionByName(found))
-        grouped = checkpoint(components(links))
+        grouped = checkpoint(components(links).coalesce(parts))
         if not leaders:
             left = open_.join(heads, "bucket").where("node <> head")
         else:
             last = heads.groupBy("bucket").agg(F.max(F.struct("head_met", "head")).alias("last"))
             left = open_.join(last, "bucket").where(F.struct("met", "node") > F.col("last")).drop("last")
         left = left.drop("component").join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        left = checkpoint(_mixed(left))
-        open_ = left if leaders else _apart(left, sets)
+        left = checkpoint(_mixed(left).coalesce(parts))
+        open_ = left if leaders else _apart(left, sets, parts, wide)
         leaders = max(1, 4 * leaders)
         del left, heads, pairs, tested, found
         release(documents.sparkSession)
@@ -240,11 +248,11 @@ def near_groups(documents: DataFrame) -> DataFrame:
         placed = nodes.select("node", "copy_id", F.col("node").alias("component"))
     else:
         placed = nodes.select("node", "copy_id").join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = checkpoint(placed)
+    placed = checkpoint(placed.coalesce(parts))
     classes = rows.select("node", "doc_id", "row_key").join(placed, "node")
     sizes = classes.groupBy("component").agg(F.count(F.lit(1)).alias("class_size"), F.min("doc_id").alias("class_id"))
     firsts = classes.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")).alias("first")).select("component", F.col("first.row_key").alias("first_key"))
-    met = classes.join(checkpoint(sizes.join(firsts, "component")), "component")
+    met = classes.join(checkpoint(sizes.join(firsts, "component").coalesce(parts)), "component")
     return met.select("doc_id", "class_id", "copy_id", "class_size", (F.col("row_key") == F.col("first_key")).alias("kept"))
 
 

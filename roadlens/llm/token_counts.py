@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.llm.bpe import MEMO, Memo, Splitter, Vocabulary, coded, load_vocabulary, merge_many
-from roadlens.llm.common import slices, worker_cache
+from roadlens.llm.common import received, ship, slices, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -60,10 +60,10 @@ def token_counts(documents: DataFrame, tokenizer_path: str, limit: int = LIMIT)
     count as that one token, as the library does by default.  An empty table gives an empty result.
     """
     spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(prove_alone(load_vocabulary(tokenizer_path)))  # bounded by the vocabulary file
+    shared = ship(spark, prove_alone(load_vocabulary(tokenizer_path)))  # bounded by the vocabulary file
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
+        v = received(shared)
 
         def tools():
             splitter = Splitter(v)

@@ -173,6 +173,16 @@ def test_near_groups(documents, awkward, nothing, monkeypatch, small):
     assert near_dedup.near_groups(nothing).count() == 0
 
 
+def test_null_ids_keep_their_links(documents):
+    """A text whose rows all have null ids is fetched by its text, so it links like any other."""
+    base, other = words(120, 71), words(90, 72)
+    texts = [base, edited(base, 1, 1), edited(base, 1, 2), other, edited(other, 1, 3), edited(other, 1, 3)]
+    frame = documents(texts, [1, None, None, None, None, None])
+    got = near_dedup.near_groups(frame).collect()
+    assert sorted((str(r.class_id), r.class_size) for r in got) == [("1", 3)] * 3 + [("None", 3)] * 3
+    assert sum(r.kept for r in got) == 2
+
+
 def test_repeated_lines_hide_no_link(documents):
     texts = []
     for i in range(16):  # set Jaccard 56/70 and 96/119: the lowest that links
