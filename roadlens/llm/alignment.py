@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -233,7 +234,7 @@ def token_blocks(documents: DataFrame, a_path: str, b_path: str, steps: int = ST
                 for x, y in zip(edges, np.append(edges[1:], len(work))):
                     row = {"block": blocks, "doc": (docs + p["doc"][x:y]).tolist(), "doc_id": batch.column("doc_id").take(pa.array(p["doc"][x:y])).to_pylist()}
                     row |= {k: p[k][x:y].tolist() for k in ("piece", "na", "nb", "lead", "next_a", "next_b", "single")}
-                    row |= {"a": a[a_from[x]:a_from[y]].astype(_id_type(encoders.a_sizes)).tobytes(), "b": b[b_from[x]:b_from[y]].astype(_id_type(encoders.b_sizes)).tobytes()}
+                    row |= {"a": _stored(a[a_from[x]:a_from[y]], encoders.a_sizes), "b": _stored(b[b_from[x]:b_from[y]], encoders.b_sizes)}
                     yield pa.RecordBatch.from_pylist([row], _arrow_blocks())
                     blocks += 1
                 docs += batch.num_rows
@@ -248,6 +249,15 @@ def _id_type(sizes: np.ndarray) -> str:
     return "<u2" if len(sizes) <= 1 << 16 else "<i4"
 
 
+def _stored(ids: np.ndarray, sizes: np.ndarray) -> bytes:
+    """Ids as they are written and shuffled."""
+    return zstandard.ZstdCompressor(level=3).compress(ids.astype(_id_type(sizes)).tobytes())
+
+
+def _restored(raw: bytes, sizes: np.ndarray) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=_id_type(sizes)).astype(np.int64)
+
+
 def _arrow_blocks() -> pa.Schema:
     whole, small = pa.list_(pa.int64()), pa.list_(pa.int32())
     return pa.schema([("block", pa.int64()), ("doc", whole), ("doc_id", whole), *[(k, small) for k in ("piece", "na", "nb", "lead", "next_a", "next_b")],
@@ -256,7 +266,7 @@ def _arrow_blocks() -> pa.Schema:
 
 def _merged(row: dict, encoders: Encoders) -> Merged:
     number = lambda k: np.array(row[k], dtype=np.int64)
-    a, b = (np.frombuffer(row[k], dtype=_id_type(s)).astype(np.int64) for k, s in (("a", encoders.a_sizes), ("b", encoders.b_sizes)))
+    a, b = _restored(row["a"], encoders.a_sizes), _restored(row["b"], encoders.b_sizes)
     return Merged(a, b, number("na"), number("nb"), number("lead"), number("next_a"), number("next_b"), encoders.a_sizes, encoders.b_sizes)
 
 
