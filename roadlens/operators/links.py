@@ -208,10 +208,10 @@ def convert_links(network: DataFrame, periods: Sequence[str], parameters: DataFr
 
 
 def drop_old_parameter_columns(frame: DataFrame) -> DataFrame:
-    """Without carried columns of the old style (``VDF_x1``, ``QVDF_x1``)."""
+    """Without carried columns of the old style: every ``VDF_`` or ``QVDF_`` name that ends in a digit."""
     import re
 
-    return frame.drop(*[c for c in frame.columns if re.fullmatch(r"Q?VDF_[A-Za-z]+\d", c)])
+    return frame.drop(*[c for c in frame.columns if re.fullmatch(r"Q?VDF_.*[0-9]", c)])
 
 
 def build_nodes(network: DataFrame, order: str = "order_id", wkt: str = "geometry") -> DataFrame:

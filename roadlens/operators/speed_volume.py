@@ -44,9 +44,11 @@ def assemble(perf: DataFrame, links: DataFrame, speeds: DataFrame, periods: list
     arrays = link_arrays(pair_keys(speeds), periods)
     grid = native_grid(arrays, periods)
     table = period_table(perf.sparkSession, periods).select("time_period", "period_index", "period_minutes", "timeline_start")
-    rows = wanted.join(arrays, KEYS, "left").join(network, lk, "left")
+    # The narrow tables meet first: samples are shuffled once, by the aggregate that makes them arrays, and never again.
+    rows = wanted.join(network, lk, "left")
     rows = require(rows, F.col("__net"), "pair of the performance table is missing in the link table").drop("__net")
     rows = require(rows, F.col("assigned_volume") >= 0, "assigned volume is missing or negative")
+    rows = rows.join(arrays, KEYS, "left")
     rows = rows.join(F.broadcast(grid), "time_period", "left").join(F.broadcast(table), "time_period")
     rows = require(rows, F.col("grid").isNotNull(), F.concat(F.lit("no speeds for period "), F.col("time_period")))
     return with_aligned(rows, F.col("assigned_speed"))
@@ -96,29 +98,49 @@ def intervals(estimated: DataFrame) -> DataFrame:
         F.col("i.speeds").alias("speed_mph"), F.col("i.estimated").alias("volume"))
 
 
-def hourly(interval_rows: DataFrame, periods: list[Period]) -> DataFrame:
-    """Hourly volume (by overlap) and harmonic mean speed per link.
+def hour_cells(estimated: DataFrame, periods: list[Period]) -> DataFrame:
+    """One row per link, period and hourly bin it touches: the sums that an hour is made of.
 
-    Bins start every 60 minutes, so the bins an interval touches follow from its ends and the
-    range join becomes a short explode.  The sums are combined before the shuffle.
+    The samples of a bin are a slice of the link's arrays, found from the grid step, so an array is folded where it is: a link gives
+    a row for every hour and never one for every sample.  An interval that crosses the edge of a bin is in both, by its overlap.
     """
+    c = F.col
     bins = hourly_bins(periods)
     begin, finish = bins[0][0], bins[-1][1]
     bin_at = lambda minute: F.floor((minute - begin) / 60).cast("int")
-    touched = F.sequence(bin_at(F.col("interval_start")), bin_at(F.col("interval_end") - 1))
-    rows = interval_rows.withColumn("b", F.explode(touched))
-    low = begin + F.col("b") * 60
-    high = F.least(low + 60, F.lit(finish))
-    overlap = (F.least(F.col("interval_end"), high) - F.greatest(F.col("interval_start"), low)).cast("double")
-    s = F.col("speed_mph")
-    rows = rows.withColumn("overlap", overlap)
-    out = rows.groupBy(*PAIR, "b").agg(
-        F.sum(F.col("volume") * F.col("overlap") / (F.col("interval_end") - F.col("interval_start"))).alias("approx_volume"),
-        F.sum("overlap").alias("duration"),
-        F.sum(F.when(s > 0, F.col("overlap") / s)).alias("travel"),
-        F.bool_or(F.coalesce(s == 0, F.lit(False))).alias("stopped"),
-        F.bool_or(s.isNull() | (s < 0)).alias("invalid"),
-    )
+    last = F.size("speeds") - 1  # of the speeds: their check must not be pruned
+    until = c("timeline_start") + last * c("step") + c("last_step")
+    rows = estimated.select(*PAIR, "timeline_start", "step", "last_step", last.alias("last"), until.alias("until"), "speeds", "estimated",
+                            F.explode(F.sequence(bin_at(c("timeline_start")), bin_at(until - 1))).alias("b"))
+    low = begin + c("b") * 60
+    rows = rows.withColumns({"low": F.greatest(low, "timeline_start"), "high": F.least(low + 60, F.lit(finish), "until")})
+    place = lambda minute: F.least(F.floor((minute - c("timeline_start")) / c("step")), "last").cast("int")
+    rows = rows.withColumns({"head": place(c("low")), "tail": place(c("high") - 1)})
+
+    def share(i: Column) -> Column:
+        """(minutes of interval i inside the bin, its minutes)"""
+        size = F.when(i == c("last"), c("last_step")).otherwise(c("step"))
+        start = c("timeline_start") + i * c("step")
+        return F.struct((F.least(start + size, "high") - F.greatest(start, "low")).cast("double").alias("inside"), size.alias("size"))
+    count = c("tail") - c("head") + 1
+    rows = rows.select(*PAIR, "b", (c("high") - c("low")).cast("double").alias("minutes"), F.slice("speeds", c("head") + 1, count).alias("v"),
+                       F.slice("estimated", c("head") + 1, count).alias("e"), F.transform(F.sequence("head", "tail"), share).alias("s"))
+    return rows.select(
+        *PAIR, "b", "minutes", total(F.zip_with("e", "s", lambda e, s: e * s["inside"] / s["size"])).alias("volume"),
+        total(F.zip_with("v", "s", lambda v, s: F.when(v > 0, s["inside"] / v).otherwise(F.lit(0.0)))).alias("travel"),
+        F.exists("v", lambda v: F.coalesce(v == 0, F.lit(False))).alias("stopped"), F.exists("v", lambda v: v.isNull() | (v < 0)).alias("invalid"))
+
+
+def hourly(estimated: DataFrame, periods: list[Period]) -> DataFrame:
+    """Hourly volume (by overlap) and harmonic mean speed per link.
+
+    The periods' cells of an hour are summed; they hold no samples any more.
+    """
+    bins = hourly_bins(periods)
+    begin, finish = bins[0][0], bins[-1][1]
+    out = hour_cells(estimated, periods).groupBy(*PAIR, "b").agg(
+        F.sum("volume").alias("approx_volume"), F.sum("minutes").alias("duration"), F.nullif(F.sum("travel"), F.lit(0.0)).alias("travel"),
+        F.bool_or("stopped").alias("stopped"), F.bool_or("invalid").alias("invalid"))
     speed = F.when(F.col("invalid"), F.lit(None)).when(F.col("stopped"), F.lit(0.0)).otherwise(F.col("duration") / F.col("travel"))
     start = (begin + F.col("b") * 60).cast("int")
     return out.select(*PAIR, start.alias("bin_start"), F.least(start + 60, F.lit(finish)).cast("int").alias("bin_end"),
@@ -151,7 +173,7 @@ def audit(estimated: DataFrame) -> DataFrame:
 def speed_volume(perf: DataFrame, links: DataFrame, speeds: DataFrame, periods: list[Period]) -> tuple[DataFrame, DataFrame]:
     """(hourly rows, audit rows); both hang on the same estimate."""
     est = estimate(assemble(perf, links, speeds, periods))
-    return hourly(intervals(est), periods), audit(est)
+    return hourly(est, periods), audit(est)
 
 
 def wide_export(estimated: DataFrame, hourly_rows: DataFrame, periods: list[Period]) -> DataFrame:

@@ -182,7 +182,7 @@ FROM ov GROUP BY from_node_id, to_node_id, b""".format(
 
 @query("speed_volume_hourly", check_sql(VIEWS_USED, HOURS, FLOWS).replace(")\n, ov AS", "),\nov AS"))
 def speed_volume_hourly(spark, sf):
-    return settle(sv.hourly(sv.intervals(estimated(spark, sf)), PERIODS), 6)
+    return settle(sv.hourly(estimated(spark, sf), PERIODS), 6)
 
 
 @query("speed_volume_audit", check_sql(VIEWS_USED, f"""
@@ -211,7 +211,7 @@ SELECT from_node_id, to_node_id, {statics}, {vols}, {bins} FROM est e GROUP BY f
                    + f' AS "approx_volume_{6 + b:02d}:00_{7 + b:02d}:00"' for b in range(24))), FLOWS))
 def speed_volume_export(spark, sf):
     est = estimated(spark, sf)
-    out = sv.wide_export(est, sv.hourly(sv.intervals(est), PERIODS), PERIODS)
+    out = sv.wide_export(est, sv.hourly(est, PERIODS), PERIODS)
     keep = [c for c in out.columns if c.startswith(("approx_volume", "volume_"))]
     return settle(out.select(*PAIR, "free_speed", "capacity", *keep), 6)
 
@@ -220,7 +220,7 @@ def speed_volume_export(spark, sf):
 SELECT CAST(from_node_id AS BIGINT) AS from_node_id, CAST(to_node_id AS BIGINT) AS to_node_id FROM link_performance WHERE 1 = 0"""))
 def speed_volume_conservation(spark, sf):
     """No link may lose or gain volume: the expected result is empty."""
-    hours = sv.hourly(sv.intervals(estimated(spark, sf)), PERIODS)
+    hours = sv.hourly(estimated(spark, sf), PERIODS)
     return sv.conservation(hours, road(spark, sf, "link_performance")).select(*PAIR)
 
 

@@ -87,3 +87,21 @@ def test_periods(spark):
     settings = spark.createDataFrame([("am", 6.5, 7.5)], "time_period STRING, demand_period_starting_hours DOUBLE, demand_period_ending_hours DOUBLE")
     got = resolve_periods(["am", "md"], settings, {"am": "0600_0900", "md": "0900_1500"})
     assert [(p.start, p.end, p.source) for p in got] == [(390, 450, "settings"), (540, 900, "configured")]
+
+
+def test_speeds_of_the_day_come_from_their_owners(spark):
+    """A minute of two periods fails; links without speeds keep an empty list; a link's second speed for a minute fails."""
+    from roadlens.functions.timeofday import Period
+    from roadlens.operators.compare import daily_with_speeds
+
+    perf = spark.createDataFrame([(p, i, 9, 10.0 * i, 30.0) for p in ("am", "nt") for i in (1, 2)], "time_period string, from_node_id bigint, to_node_id bigint, volume double, speed_mph double")
+    rows = [("am", 1, 9, 365, 41.0), ("am", 1, 9, 360, 40.0), ("nt", 1, 9, 1380, 50.0), ("nt", 1, 9, 300, 51.0), ("nt", 1, 9, 365, 99.0)]
+    schema = "time_period string, from_node_id bigint, to_node_id bigint, minute int, speed_mph double"
+    periods = [Period("am", 360, 540), Period("nt", 1140, 360)]
+    day = {r.from_node_id: [(s.minute, s.speed_mph) for s in r.speeds] for r in daily_with_speeds(perf, spark.createDataFrame(rows, schema), periods).collect()}
+    assert day == {1: [(300, 51.0), (360, 40.0), (365, 41.0), (1380, 50.0)], 2: []}
+    overlapping = [Period("am", 360, 540), Period("nt", 1140, 370)]
+    with pytest.raises(Exception, match="minute 365 belongs to overlapping periods am, nt"):
+        daily_with_speeds(perf, spark.createDataFrame(rows, schema), overlapping).collect()
+    with pytest.raises(Exception, match="two speeds for one minute"):
+        daily_with_speeds(perf, spark.createDataFrame([*rows, ("am", 1, 9, 365, 42.0)], schema), periods).collect()

@@ -91,3 +91,13 @@ def test_a_dearer_path_that_passes_is_kept(spark):
     found = transfer.search_paths(edges, config).collect()
     assert [[(x.a, x.b) for x in r.path] for r in found] == [[(1, 3), (3, 9)]]
     assert edges.where(F.col("e.cost") < 45).count() == 2 and transfer.search_paths(edges.where(F.col("e.cost") < 45), config).count() == 0
+
+
+def test_old_parameter_columns_go_by_their_last_digit(spark):
+    from roadlens.operators.links import drop_old_parameter_columns
+
+    names = ["VDF_alpha1", "VDF_alpha12", "QVDF_x_1", "QVDF_2", "VDF_alpha", "QVDF_n", "XVDF_1", "VDF_1a", "vdf_1"]
+    frame = spark.range(1).toDF("VDF_alpha1")
+    for n in names[1:-1]:
+        frame = frame.selectExpr("*", f"1 AS `{n}`")
+    assert drop_old_parameter_columns(frame).columns == ["VDF_alpha", "QVDF_n", "XVDF_1", "VDF_1a"]

@@ -81,3 +81,53 @@ def test_wide_columns(spark):
     assert sp.drop_foreign_speeds(w, am).columns == ["link_id", "spd_mph_06:30", "spd_06:30", "spd_kmph_06:35"]
     back = sp.pivot_speeds(sp.unpivot_speeds(w, ["link_id"], am), ["link_id"], [390, 395]).first()
     assert back["spd_mph_06:30"] == 10.0
+
+
+def test_hours_are_folded_from_arrays_like_intervals(spark):
+    """Intervals that cross the edge of a bin, a short last interval, stopped and invalid samples, a bin that two periods share."""
+    import math
+
+    from pyspark.sql import functions as F
+
+    from roadlens.functions.timeofday import Period
+    from roadlens.operators import speed_volume as sv
+
+    periods = [Period("am", 370, 510), Period("md", 510, 700)]
+    rows = [("am", 1, 2, 370, 35, 20 - 15 + 0 + 30, [0, 35, 70, 105], [30.0, 40.0, None, 20.0], [10.0, 20.0, 30.0, 40.0]),
+            ("md", 1, 2, 510, 45, 10, [0, 45, 90, 135, 180], [0.0, 60.0, -1.0, 50.0, 10.0], [1.0, 2.0, 3.0, 4.0, 5.0]),
+            ("am", 3, 4, 370, 35, 35, [0, 35, 70, 105], [30.0, 40.0, 50.0, 20.0], [10.0, 20.0, 30.0, 40.0])]
+    frame = spark.createDataFrame(rows, "time_period string, from_node_id bigint, to_node_id bigint, timeline_start int, step int, last_step int, grid array<int>, speeds array<double>, estimated array<double>")
+    frame = frame.withColumn("interval_hours", F.transform("grid", lambda o: F.when(o == F.element_at("grid", -1), F.col("last_step")).otherwise(F.col("step")) / 60))
+    want = {}
+    for r in sv.intervals(frame).collect():
+        for b in range((r.interval_start - 370) // 60, (r.interval_end - 1 - 370) // 60 + 1):
+            low, high = 370 + 60 * b, min(430 + 60 * b, 700)
+            inside = min(r.interval_end, high) - max(r.interval_start, low)
+            cell = want.setdefault((r.from_node_id, low), [0.0, 0.0, 0.0, False, False])
+            cell[0] += r.volume * inside / (r.interval_end - r.interval_start)
+            cell[1] += inside
+            cell[2] += inside / r.speed_mph if r.speed_mph and r.speed_mph > 0 else 0.0
+            cell[3] |= r.speed_mph == 0
+            cell[4] |= r.speed_mph is None or r.speed_mph < 0
+    got = {(r.from_node_id, r.bin_start): r for r in sv.hourly(frame, periods).collect()}
+    assert set(got) == set(want) and len(got) == 9
+    for key, (volume, minutes, travel, stopped, invalid) in want.items():
+        speed = None if invalid else 0.0 if stopped else minutes / travel
+        assert math.isclose(got[key].approx_volume, volume, abs_tol=1e-9) and (got[key].spd_mph is None) == (speed is None)
+        assert speed is None or math.isclose(got[key].spd_mph, speed, rel_tol=1e-9)
+
+
+def test_samples_move_once(spark):
+    """Plan of the hourly estimate without broadcast: one exchange carries samples, what follows carries hours."""
+    from roadlens.plans import speed_queries as q
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = q.speed_volume_hourly(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.split("\n")
+    below = [next(x for x in lines[i + 1:] if x.strip()) for i, line in enumerate(lines) if "Exchange hashpartitioning(time_period" in line]
+    assert not any("interval_hours" in line and "Exchange" in line for line in lines)
+    assert sum("collect_list(struct(o" in x for x in below) <= 2 and "samples" not in "".join(line for line in lines if "Exchange" in line)
