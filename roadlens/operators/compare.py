@@ -183,7 +183,7 @@ def daily_with_speeds(perf: DataFrame, speeds: DataFrame, periods: list[Period],
                       order: str | None = None) -> DataFrame:
     """The daily table with ``speeds``: the (minute, speed_mph) entries of the day, each from the period that owns its minute.
 
-    ``speeds`` is long (time_period, link, minute, speed_mph); links without any keep an empty list.  A minute
+    ``speeds`` is long (time_period, link, minute, speed_mph) or has a row per link and period with ``samples``, entries of both; links without any keep an empty list.  A minute
     that two periods claim fails the job, as does a link with two speeds for one minute.
     """
     day = daily_aggregate(perf, periods, midnight, order)

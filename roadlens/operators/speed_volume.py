@@ -13,7 +13,7 @@ from roadlens.functions.timeofday import Period
 from roadlens.operators.performance import join_keys
 from roadlens.operators.quality import require, unique_by
 from roadlens.sources.periods import bin_table, hourly_bins, period_table
-from roadlens.sources.speeds import link_arrays, native_grid, with_aligned
+from roadlens.sources.speeds import native_grid, sample_arrays, with_aligned
 
 KEYS = ["time_period", *PAIR]
 NETWORK = ["link_id", "link_type", "free_speed", "capacity", "lanes", "vdf_free_speed_mph",
@@ -30,7 +30,8 @@ def assemble(perf: DataFrame, links: DataFrame, speeds: DataFrame, periods: list
     """Strict one-to-one join of performance, network and grid-aligned speeds.
 
     A pair that is missing in the network, a duplicate pair and an invalid assigned volume fail
-    the job.  The grid is one row per period (a few kilobytes), hence the broadcast.
+    the job.  The grid is one row per period (a few kilobytes), hence the broadcast.  ``speeds`` has a row per sample
+    (``minute``, ``speed_mph``) or one per link and period (``samples``, entries of both).
     """
     lk = join_keys(links)
     net = [c for c in NETWORK if c in links.columns]
@@ -41,14 +42,19 @@ def assemble(perf: DataFrame, links: DataFrame, speeds: DataFrame, periods: list
         *KEYS, *own, number_in(perf, "volume").alias("assigned_volume"), number_in(perf, "speed_mph").alias("assigned_speed")),
         KEYS, "performance table")
     wanted = totals.where(F.col("time_period").isin([p.name for p in periods]))
-    arrays = link_arrays(pair_keys(speeds), periods)
+    speeds = pair_keys(speeds)
+    arrays = sample_arrays(speeds, periods)
     grid = native_grid(arrays, periods)
     table = period_table(perf.sparkSession, periods).select("time_period", "period_index", "period_minutes", "timeline_start")
-    # The narrow tables meet first: samples are shuffled once, by the aggregate that makes them arrays, and never again.
+    if "samples" in speeds.columns:
+        once = unique_by(speeds.select(*KEYS), KEYS, "speed table").withColumn("__once", F.lit(True))
+        wanted = wanted.join(once, KEYS, "left").where(F.coalesce("__once", F.lit(True))).drop("__once")
+    # The narrow tables meet first.  Samples are shuffled once at most, by the aggregate that makes them arrays; the narrow side is what the join
+    # hashes, so they stream past it and are neither sorted nor spilled.
     rows = wanted.join(network, lk, "left")
     rows = require(rows, F.col("__net"), "pair of the performance table is missing in the link table").drop("__net")
     rows = require(rows, F.col("assigned_volume") >= 0, "assigned volume is missing or negative")
-    rows = rows.join(arrays, KEYS, "left")
+    rows = rows.hint("shuffle_hash").join(arrays, KEYS, "left")
     rows = rows.join(F.broadcast(grid), "time_period", "left").join(F.broadcast(table), "time_period")
     rows = require(rows, F.col("grid").isNotNull(), F.concat(F.lit("no speeds for period "), F.col("time_period")))
     return with_aligned(rows, F.col("assigned_speed"))

@@ -60,12 +60,30 @@ def owned_rows(long: DataFrame, periods: list[Period]) -> DataFrame:
     return long.where(F.coalesce(in_period("minute", start, end), F.lit(False)))
 
 
+def _rank(unit: Column) -> Column:
+    return F.when(unit == "mph", 0).when(unit == "kmph", 2).otherwise(1)
+
+
+def _mph(unit: Column, speed: Column) -> Column:
+    return F.when(unit == "kmph", speed / KM_PER_MILE).otherwise(speed)
+
+
 def canonical_rows(long: DataFrame, keys: list[str]) -> DataFrame:
-    """Long rows with a ``unit`` column (mph, kmph or NULL): the best representation per timestamp."""
-    rank = F.when(F.col("unit") == "mph", 0).when(F.col("unit") == "kmph", 2).otherwise(1)
-    mph = F.when(F.col("unit") == "kmph", F.col("speed") / KM_PER_MILE).otherwise(F.col("speed"))
-    best = F.min_by(F.struct(mph.alias("speed_mph")), rank)
-    return long.groupBy(*keys, "minute").agg(best.alias("b")).select(*keys, "minute", "b.speed_mph")
+    """Long rows with a ``unit`` column (mph, kmph or NULL): the best representation per timestamp.
+
+    The buffer is two numbers, so Spark hashes the groups and does not sort the samples.
+    """
+    best = F.min_by(_mph(F.col("unit"), F.col("speed")), _rank(F.col("unit")))
+    return long.groupBy(*keys, "minute").agg(best.alias("speed_mph"))
+
+
+def canonical_samples(entries: Column | str) -> Column:
+    """(minute, speed_mph) entries of one row's (minute, unit, speed) entries: the best representation per timestamp, without a shuffle."""
+    ranked = F.sort_array(F.transform(entries, lambda e: F.struct(
+        e["minute"].alias("minute"), _rank(e["unit"]).alias("rank"), _mph(e["unit"], e["speed"]).alias("speed_mph"))))
+    first = lambda r: F.filter(r, lambda e, i: (i == 0) | (F.get(r, i - 1)["minute"] != e["minute"]))
+    best = F.get(F.transform(F.array(ranked), first), F.lit(0))  # bound once: sorted once per row
+    return F.transform(best, lambda e: F.struct(e["minute"].alias("minute"), e["speed_mph"].alias("speed_mph")))
 
 
 def pivot_speeds(long: DataFrame, keys: list[str], minutes: list[int], prefix: str = "spd_mph_") -> DataFrame:
@@ -77,20 +95,19 @@ def pivot_speeds(long: DataFrame, keys: list[str], minutes: list[int], prefix: s
 def period_offsets(arrays: DataFrame) -> DataFrame:
     """Sorted offsets that any link of a period has: (time_period, offsets).
 
-    Every task sets the bits of its samples in one bitmap per period; bitmaps are what is shuffled, so the volume depends
-    on periods and tasks and not on how many links differ in their samples.
+    Every task keeps the distinct offsets of its samples, at most the minutes of the period, and only those are shuffled; they are
+    hashed (an aggregate of bitmaps would sort all samples first).
     """
-    bits = arrays.select("time_period", F.explode("samples").alias("e")).groupBy("time_period").agg(F.bitmap_construct_agg(F.col("e.o").cast("bigint")).alias("bits"))
-    byte = lambda o: F.conv(F.hex(F.substring("bits", (F.floor(o / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return bits.select("time_period", F.filter(F.sequence(F.lit(0), F.lit(DAY - 1)), lambda o: F.getbit(byte(o), o % 8) == 1).alias("offsets"))
+    seen = arrays.select("time_period", F.explode(F.transform("samples", lambda e: e["o"])).alias("o")).distinct()
+    return seen.groupBy("time_period").agg(F.sort_array(F.collect_set("o")).alias("offsets"))
 
 
 def native_grid(arrays: DataFrame, periods: list[Period]) -> DataFrame:
     """Sampling grid of every period: step, last step, offsets, and the offsets no link has.
 
     The step is the greatest common divisor of all offsets and the period length, so timestamps
-    absent from the whole period become visible.  The offsets come from one bitmap per period.
-    Built on ``link_arrays``, whose shuffle Spark reuses for the join that follows.
+    absent from the whole period become visible.
+    Built on ``link_arrays`` or ``period_samples``; Spark reuses the shuffle below for the join that follows.
     """
     at = F.col("time_period")
     length = F.try_element_at(period_map(periods, "minutes"), at)
@@ -115,19 +132,23 @@ def minute_owners(arrays: DataFrame, periods: list[Period]) -> DataFrame:
     return single.select(F.col("claims")[0].alias("time_period"), "minute").groupBy("time_period").agg(F.sort_array(F.collect_set("minute")).alias("owned"))
 
 
-def owned_speeds(long: DataFrame, periods: list[Period], keys: list[str] = PAIR) -> DataFrame:
+def owned_speeds(speeds: DataFrame, periods: list[Period], keys: list[str] = PAIR) -> DataFrame:
     """One row per link: ``speeds``, its (minute, speed_mph) entries of the day in the order of the clock.
 
     Every minute comes from the period that owns it.  The arrays of a link's periods are merged as they are, so samples
-    travel as arrays and nothing is unrolled; the owners are one row per period.  Two samples of a link for one minute fail the job.
+    travel as arrays (minutes and values apart, without the overhead of entries) and nothing is unrolled; the owners are one row per
+    period.  Two samples of a link for one minute fail the job.
     """
-    arrays = link_arrays(long, periods, keys)
+    arrays = sample_arrays(speeds, periods, keys)
     start = F.try_element_at(period_map(periods, "start"), F.col("time_period"))
     owners = F.broadcast(minute_owners(arrays, periods))  # one row per period
     entry = lambda e: F.struct(((e["o"] + start) % DAY).alias("minute"), e["v"].alias("speed_mph"))
     timed = arrays.withColumn("entries", F.transform("samples", entry)).join(owners, "time_period")
     own = timed.select(*keys, F.filter("entries", lambda e: F.array_contains("owned", e["minute"])).alias("entries"))
-    merged = own.groupBy(*keys).agg(F.sort_array(F.flatten(F.collect_list("entries"))).alias("speeds"))
+    part = F.struct(F.transform("entries", lambda e: e["minute"].cast("smallint")).alias("m"), F.transform("entries", lambda e: e["speed_mph"]).alias("v"))
+    lists = own.groupBy(*keys).agg(F.collect_list(part).alias("p"))
+    back = lambda p: F.zip_with(p["m"], p["v"], lambda m, v: F.struct(m.cast("int").alias("minute"), v.alias("speed_mph")))
+    merged = lists.select(*keys, F.sort_array(F.flatten(F.transform("p", back))).alias("speeds"))
     return require(merged, F.size("speeds") == F.size(F.array_distinct(F.transform("speeds", lambda e: e["minute"]))), "a link has two speeds for one minute")
 
 
@@ -143,6 +164,27 @@ def link_arrays(long: DataFrame, periods: list[Period], keys: list[str] = PAIR)
     return owned_rows(long, periods).groupBy("time_period", *keys).agg(F.collect_list(entry).alias("samples"))
 
 
+def period_samples(rows: DataFrame, periods: list[Period], keys: list[str] = PAIR) -> DataFrame:
+    """The same from rows that hold the samples of a link and period already, as (minute, speed_mph) entries: nothing is moved.
+
+    Period tables come like this, with a column per timestamp.  Rows of no known period and minutes the period does not own are
+    left out, as in ``owned_rows``.  Keys must be unique; ``unique_by`` on the keys alone checks it cheaply.
+    """
+    at, known = F.col("time_period"), {f: period_map(periods, f) for f in ("start", "minutes")}
+    # Offsets first, bounds as columns: what is done per sample stays a few integer operations.
+    r = rows.withColumns({"__start": F.try_element_at(known["start"], at), "__length": F.try_element_at(known["minutes"], at)})
+    offset = lambda m: F.when(m >= c("__start"), m - c("__start")).otherwise(m - c("__start") + DAY)
+    entry = lambda e: F.struct(offset(e["minute"]).cast("int").alias("o"), e["speed_mph"].alias("v"))
+    c = F.col
+    r = r.withColumn("__all", F.transform("samples", entry))
+    return r.select("time_period", *keys, F.filter("__all", lambda e: e["o"] < c("__length")).alias("samples"))
+
+
+def sample_arrays(speeds: DataFrame, periods: list[Period], keys: list[str] = PAIR) -> DataFrame:
+    """One row per period and link with (offset, speed) entries, from long rows or from rows with ``samples``."""
+    return period_samples(speeds, periods, keys) if "samples" in speeds.columns else link_arrays(speeds, periods, keys)
+
+
 def with_aligned(rows: DataFrame, fill: Column, name: str = "speeds") -> DataFrame:
     """Speeds on the grid: the sample, NULL where the link has none, ``fill`` where the period has none.
 
