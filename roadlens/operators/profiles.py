@@ -309,20 +309,22 @@ def profile_limits(arrays: DataFrame, keys: list[str], limits: Limits = Limits()
     """The fold over all links: one row per limit and form of the profiles (exact, and rounded as written).
 
     Columns: form, measure, allowed, largest, the keys of the link that holds it (the least, if several do), profiles, beyond (profiles beyond the limit).
-    One aggregate with map-side combine, whatever the number of links.
+    One aggregate without groups over both forms: the profiles are made once, and no row per measure is made or sorted.
     """
     bound = {"max_step": limits.step, "max_rolling": limits.rolling, "max_acceleration": limits.acceleration}
-    out = None
-    for form, frame in (("exact", arrays), ("rounded", rounded_profiles(arrays, decimals))):
-        metrics = array_metrics(frame, keys, limits)
-        entries = F.array(*[F.struct(F.lit(m).alias("measure"), F.lit(float(a)).alias("allowed"), F.lit(SLACK[m]).alias("slack"), F.coalesce(F.col(m), F.lit(0.0)).alias("value"))
-                            for m, a in bound.items()])
-        rows = metrics.select(*keys, F.lit(form).alias("form"), F.inline(entries))
-        out = rows if out is None else out.unionByName(rows)
-    holder = F.min_by(F.struct(*keys), F.struct(-F.col("value"), *keys))
-    folded = out.groupBy("form", "measure", "allowed").agg(F.max("value").alias("largest"), holder.alias("holder"), F.count(F.lit(1)).alias("profiles"),
-                                                           F.count_if(F.col("value") > F.col("allowed") + F.col("slack")).alias("beyond"))
-    return folded.select("form", "measure", "allowed", "largest", "holder.*", "profiles", "beyond")
+    named = lambda frame, form: frame.withColumnsRenamed({m: f"{form}_{m}" for m in bound})
+    exact = named(array_metrics(arrays.select(*keys, "speeds"), [*keys, "speeds"], limits), "exact")
+    both = named(array_metrics(rounded_profiles(exact, decimals), [*keys, *[f"exact_{m}" for m in bound]], limits), "rounded")
+    cells = [(form, m, float(allowed)) for form in ("exact", "rounded") for m, allowed in bound.items()]
+    aggregates = []
+    for i, (form, m, allowed) in enumerate(cells):
+        value = F.coalesce(F.col(f"{form}_{m}"), F.lit(0.0))
+        aggregates += [F.max(value).alias(f"largest{i}"), F.min_by(F.struct(*keys), F.struct(-value, *keys)).alias(f"holder{i}"),
+                       F.count_if(value > allowed + SLACK[m]).alias(f"beyond{i}")]
+    folded = both.agg(F.count(F.lit(1)).alias("profiles"), *aggregates).where("profiles > 0")
+    rows = F.array(*[F.struct(F.lit(form).alias("form"), F.lit(m).alias("measure"), F.lit(allowed).alias("allowed"), F.col(f"largest{i}").alias("largest"),
+                              F.col(f"holder{i}").alias("holder"), "profiles", F.col(f"beyond{i}").alias("beyond")) for i, (form, m, allowed) in enumerate(cells)])
+    return folded.select(F.inline(rows)).select("form", "measure", "allowed", "largest", "holder.*", "profiles", "beyond")
 
 
 def refuse_beyond(folded: DataFrame) -> None:

@@ -54,3 +54,15 @@ def test_best_representation_without_sorting_samples(spark):
     assert "SortAggregate" not in best._jdf.queryExecution().toString()
     row = reps.groupBy("k").agg(F.collect_list(F.struct("minute", "unit", "speed")).alias("reps")).select(sp.canonical_samples("reps").alias("s")).first()
     assert [(e.minute, e.speed_mph) for e in row.s] == [(0, None), (5, 3.0)]
+
+
+def test_limits_are_folded_without_sorting_rows(spark):
+    from roadlens.operators.profiles import profile_limits
+
+    arrays = spark.createDataFrame([(2, [0, 1], [10.0, 19.0, 19.0, 19.0]), (1, [0, 1], [10.0, 19.0, 19.0, 19.0]), (3, [0], [5.0])], "k INT, periods ARRAY<INT>, speeds ARRAY<DOUBLE>")
+    folded = profile_limits(arrays, ["k"])
+    plan = folded._jdf.queryExecution().executedPlan().toString()
+    assert "Sort " not in plan and "Union" not in plan
+    got = {(r.form, r.measure): (r.largest, r.k, r.profiles, r.beyond) for r in folded.collect()}
+    assert len(got) == 6 and got["exact", "max_step"] == (9.0, 1, 3, 2) and got["rounded", "max_rolling"] == (3.0, 1, 3, 0)
+    assert profile_limits(arrays.limit(0), ["k"]).count() == 0
