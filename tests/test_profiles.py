@@ -147,3 +147,11 @@ def test_fold_over_all_links_and_its_gate(spark):
     assert {(r.form, round(r.largest, 6), r.beyond) for r in close.where("measure = 'max_step'").collect()} == {("exact", 8.01, 0), ("rounded", 9.0, 1)}
     with pytest.raises(Exception, match="rounded"):
         pr.refuse_beyond(close)
+
+
+def test_the_gate_computes_the_steps_of_a_profile_once(spark):
+    """A filter on the measures must not have the steps computed again for every element of the window."""
+    rows = spark.createDataFrame([(1, [50.0, 51.0, 60.0, 61.0]), (2, [50.0, 51.0, 52.0, 53.0])], "k BIGINT, speeds ARRAY<DOUBLE>")
+    beyond = pr.violations(pr.array_metrics(rows, ["k"]))
+    assert [r.k for r in beyond.collect()] == [1]
+    assert "element_at(zip_with" not in beyond._jdf.queryExecution().optimizedPlan().toString()
