@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlens.llm.bpe import MEMO, Memo, Splitter, Vocabulary, coded, load_vocabulary, merge_many
-from roadlens.llm.common import received, ship, slices, worker_cache
+from roadlens.llm.common import fresh_worker, received, ship, slices, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -47,6 +47,7 @@ def encode(documents: DataFrame, tokenizer_path: str) -> DataFrame:
     shared = ship(documents.sparkSession, load_vocabulary(tokenizer_path))  # bounded by the vocabulary file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker("bpe_codec")
         v = received(shared)
 
         def tools():

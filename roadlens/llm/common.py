@@ -7,6 +7,7 @@ outlive a task (memo tables of a reused Python worker) hangs on a module object
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import hashlib
 import pickle
@@ -24,7 +25,7 @@ from roadlens.session import CHECKPOINT_KEY, cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-__all__ = ["checkpoint", "release", "shared_folder", "worker_cache", "ship", "received", "parts_for", "slices", "free_names", "held_out", "read_table", "mix64", "sample_rank"]
+__all__ = ["checkpoint", "release", "shared_folder", "fresh_worker", "worker_cache", "ship", "received", "parts_for", "slices", "free_names", "held_out", "read_table", "mix64", "sample_rank"]
 
 checkpoint = cut_lineage
 
@@ -51,6 +52,23 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def fresh_worker(operator: str) -> None:
+    """At the start of a task: what another operator left in this reused worker is dropped and its memory goes back to the system.
+
+    Idle workers else hold the memo tables of all operators of a session beside what the running one needs.
+    """
+    holder = sys.modules.setdefault("_roadlens_worker_cache", types.ModuleType("_roadlens_worker_cache"))
+    if getattr(holder, "operator", None) != operator:
+        for name in list(vars(holder)):
+            if not name.startswith("__"):
+                delattr(holder, name)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":
+            getattr(ctypes.CDLL(None), "malloc_trim", int)(0)  # glibc keeps freed memory otherwise
+    holder.operator = operator
+
+
 def worker_cache(name: str, make: Callable[[], object]) -> object:
     """An object of this Python worker process, made at first use."""
     key = "_roadlens_worker_cache"

@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import checkpoint, free_names, mix64, slices
+from roadlens.llm.common import checkpoint, free_names, fresh_worker, mix64, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -51,6 +51,7 @@ def cut_points(data: bytes) -> list[int]:
 
 def _recipes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per row its recipe; then, as rows without a recipe, the distinct chunks of each slice with an independent check."""
+    fresh_worker("exact_dedup")
     for whole in batches:
         for batch in slices(whole, "text"):
             recipes, shas, chunks = [], [], {}

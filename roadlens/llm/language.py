@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import checkpoint, fold, mix64, received, sample_rank, ship, slices
+from roadlens.llm.common import checkpoint, fold, fresh_worker, mix64, received, sample_rank, ship, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -211,6 +211,7 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
     shared = ship(documents.sparkSession, model)  # WIDTH x LANGUAGES numbers at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker("language")
         predict = received(shared).predict
         for whole in batches:
             for batch in slices(whole, "text"):

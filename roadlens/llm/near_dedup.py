@@ -22,7 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import checkpoint, free_names, mix64, parts_for, release
+from roadlens.llm.common import checkpoint, free_names, fresh_worker, mix64, parts_for, release
 from roadlens.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -104,6 +104,7 @@ def _set_keys(doc: np.ndarray, shingle: np.ndarray, documents: int) -> tuple[lis
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    fresh_worker("near_dedup")
     for batch in batches:
         for part, words, sizes in _parts(batch):
             doc, shingle, _ = shingles(words, sizes)
@@ -120,6 +121,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    fresh_worker("near_dedup")
     for batch in batches:
         for part, words, sizes in _parts(batch):
             doc, shingle, _ = shingles(words, sizes)

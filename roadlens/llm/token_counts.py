@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.llm.bpe import MEMO, Memo, Splitter, Vocabulary, coded, load_vocabulary, merge_many
-from roadlens.llm.common import received, ship, slices, worker_cache
+from roadlens.llm.common import fresh_worker, received, ship, slices, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -63,6 +63,7 @@ def token_counts(documents: DataFrame, tokenizer_path: str, limit: int = LIMIT)
     shared = ship(spark, prove_alone(load_vocabulary(tokenizer_path)))  # bounded by the vocabulary file
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker("token_counts")
         v = received(shared)
 
         def tools():

@@ -2,10 +2,13 @@
 
 The likelihood of a word in a class (toxic, ordinary) comes from its count there less an absolute discount; what the
 discount frees goes to one backoff that both classes share, a Kneser-Ney model of the letters of words whose counts are
-gathered over all documents, labelled or not.  A rare expression is thus as likely in one class as in the other.  The score of a
-document is the log-likelihood that the toxic model is ahead by, per word of its length, calibrated to a probability on
-labelled rows that the counts have not seen.  Ratios below a factor of exp(LEAD) are what topics and languages differ by and
-say nothing, and ordinary words do not make up for toxic ones.
+gathered over all documents, labelled or not.  A rare expression is thus as likely in one class as in the other.  Two measures of a
+document are calibrated together to a probability, on labelled rows that the counts have not seen:
+
+* the difference of its two log-likelihoods over all its words, per word.  The discounts are estimated from the counts of counts,
+  and words that neither class has seen differ by what the classes leave to the shared backoff;
+* the root of its lead per word: the part of the difference by which single words are ahead in the toxic model beyond a factor of
+  exp(LEAD), with the larger discount DISCOUNT.  Topics and languages differ by less, and ordinary words do not make up for toxic ones.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import checkpoint, fold, received, sample_rank, ship
+from roadlens.llm.common import checkpoint, fold, fresh_worker, received, sample_rank, ship, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -33,6 +36,8 @@ DISCOUNT = 2.0  # more than the usual share of one: a count of one or two is mos
 LEAD = 3.0
 SHRINK = 5.0  # words of no evidence that every document starts with
 WORDS = 300_000
+SLICE = 500_000  # words that are looked up at once
+UNSPELT = 1e-9  # for letters that Python and Spark lower differently
 
 
 def plain(token: str) -> str:
@@ -59,41 +64,44 @@ def training_sample(labels: DataFrame) -> DataFrame:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Padded letter n-grams of all texts (`gram`, `n_all`), and the words of labelled ones (`word`, `n_toxic`, `n_ordinary`)."""
-    every, toxic, ordinary = Counter(), Counter(), Counter()
-    schema = pa.schema([("gram", pa.string()), ("word", pa.string()), ("n_all", pa.int64()), ("n_toxic", pa.int64()), ("n_ordinary", pa.int64())])
+    """Padded letter n-grams of all texts (`gram`, `n_all`)."""
+    fresh_worker("toxicity")
+    every = Counter()
+    schema = pa.schema([("gram", pa.string()), ("n_all", pa.int64())])
 
     def spell():
-        grams, classes = Counter(), {}
+        grams = Counter()
         for token, n in every.items():
             word = plain(token)
             if word:
                 spelt = START * (ORDER - 1) + word + END
                 for i in range(len(word) + 1):
                     grams[spelt[i:i + ORDER]] += n
-        for k, counter in enumerate((toxic, ordinary)):
-            for token, n in counter.items():
-                word = plain(token)
-                if word:
-                    classes.setdefault(word, [0, 0])[k] += n
-        yield from pa.table([list(grams), [None] * len(grams), list(grams.values()), [0] * len(grams), [0] * len(grams)], schema=schema).to_batches(50_000)
-        pairs = list(zip(*classes.values())) or [(), ()]
-        yield from pa.table([[None] * len(classes), list(classes), [0] * len(classes), pairs[0], pairs[1]], schema=schema).to_batches(50_000)
-        for counter in (every, toxic, ordinary):
-            counter.clear()
-
-    for batch in batches:
-        for text, part in zip(batch.column("text").to_pylist(), batch.column("part").to_pylist()):
-            if text:
-                tokens = text.lower().split()
-                every.update(tokens)
-                if part in (0, 1):
-                    (toxic if part else ordinary).update(tokens)
-                if len(every) > WORDS:
-                    yield from spell()
+        every.clear()
+        yield from pa.table([list(grams), list(grams.values())], schema=schema).to_batches(50_000)
+
+    for whole in batches:
+        for batch in slices(whole, "text"):
+            for text in batch.column("text").to_pylist():
+                if text:
+                    every.update(text.lower().split())
+                    if len(every) > WORDS:
+                        yield from spell()
     yield from spell()
 
 
+def words_of(text):
+    """The words of a text in order: what white space separates, in lower case, letters and digits only."""
+    kept = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}\s\x1c-\x1f\x85\p{Z}]+", "")
+    return F.filter(F.split(kept, r"[\s\x1c-\x1f\x85\p{Z}]+"), lambda w: w != "")
+
+
+def class_counts(texts: DataFrame) -> DataFrame:
+    """`word`, `n_toxic`, `n_ordinary`: how often either class has a word, from rows of `text` and `part` (1 toxic, 0 ordinary)."""
+    spread = texts.select("part", F.explode(words_of(F.col("text"))).alias("word"))
+    return spread.groupBy("word").agg(F.sum("part").cast("bigint").alias("n_toxic"), F.sum(1 - F.col("part")).cast("bigint").alias("n_ordinary"))
+
+
 def _discount(counts: DataFrame, column: str) -> float:
     """Absolute discount n1 / (n1 + 2 n2) from how many entries were seen once and twice."""
     row = counts.agg(F.sum((F.col(column) == 1).cast("bigint")).alias("one"), F.sum((F.col(column) == 2).cast("bigint")).alias("two")).first()
@@ -129,77 +137,119 @@ def shared_probabilities(grams: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """By how much more likely a word is in the toxic model, beyond the lead; words not listed say nothing."""
+    """What every word of the samples adds to the two measures (by the hash of the word, sorted), and their weights."""
 
-    word_ratio: dict[str, float] = field(default_factory=dict)
-    slope: float = 0.0
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    ratio: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))  # toxic less ordinary log-likelihood
+    lead: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
+    unseen: float = 0.0  # the ratio of a word that neither class has seen
+    weights: tuple[float, float] = (0.0, 0.0)
     offset: float = -30.0  # without examples of both classes: never toxic
 
-    def ratio(self, text: str | None) -> float:
-        """Root of the lead of the toxic log-likelihood per word; 0 for texts without a word."""
-        tokens = (text or "").lower().split()
-        known, total = self.word_ratio, 0.0
-        for t in tokens:
-            found = known.get(t)
-            if found is None and not t.isalnum():
-                found = known.get(plain(t))
-            if found is not None:
-                total += found
-        return math.sqrt(total / (len(tokens) + SHRINK))
-
-
-def class_ratios(words: DataFrame, shared: DataFrame) -> dict[str, float]:
-    """Log ratios of the words that the toxic model leads on.
-
-    Only words more frequent in toxic texts than the discount can lead, so what is collected is bounded by TOXIC_SAMPLE, whatever
-    the corpus.
+    def measures(self, words: pa.ListArray) -> np.ndarray:
+        """A row (difference, root of the lead) of each list of word hashes; zeros for texts without a word."""
+        sizes = words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = words.flatten().to_numpy(zero_copy_only=False)
+        sums = np.zeros((len(sizes) + 1, 2))
+        ends = np.cumsum(sizes)
+        total = np.zeros(2)
+        for at in range(0, len(flat), SLICE):
+            part = flat[at:at + SLICE]
+            place = np.minimum(np.searchsorted(self.keys, part), max(len(self.keys) - 1, 0))
+            known = self.keys[place] == part if len(self.keys) else np.zeros(len(part), bool)
+            for k, (column, other) in enumerate(((self.ratio, self.unseen), (self.lead, 0.0))):
+                value = np.full(len(part), other)
+                value[known] = column[place[known]]
+                run = np.concatenate([[0.0], np.cumsum(value)])
+                here = (ends > at) & (ends <= at + len(part))
+                sums[1:, k][here] = total[k] + run[ends[here] - at]
+                total[k] += run[-1]
+        out = np.diff(sums, axis=0) / (sizes + SHRINK)[:, None]
+        out[:, 1] = np.sqrt(np.maximum(out[:, 1], 0.0))
+        return out
+
+    def probability(self, words: pa.ListArray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.measures(words) @ np.array(self.weights) + self.offset, -700, 700)))
+
+
+def class_ratios(words: DataFrame, shared: DataFrame) -> Model:
+    """The ratio and the lead of every word that a class has seen, from `class_counts` and `shared_probabilities`.
+
+    The words are those of the samples, so what is collected is bounded by their constants, whatever the corpus: three numbers a word.
     """
-    sums = words.agg(*[F.sum(x).alias(f"{n}_{c}") for c in ("toxic", "ordinary") for n, x in (("all", f"n_{c}"), ("freed", F.least(F.col(f"n_{c}"), F.lit(DISCOUNT))))]).first()
+    classes = ("toxic", "ordinary")
+    discounts = {c: _discount(words, f"n_{c}") for c in classes}
+    freed = [(f"{name}_{c}", F.sum(F.least(F.col(f"n_{c}"), F.lit(d)))) for c in classes for name, d in (("freed", discounts[c]), ("more", DISCOUNT))]
+    sums = words.agg(*[F.sum(f"n_{c}").alias(f"all_{c}") for c in classes], *[e.alias(n) for n, e in freed]).first()
     if not sums["all_toxic"] or not sums["all_ordinary"]:
-        return {}
-    leading = words.where(F.col("n_toxic") > DISCOUNT)
+        return Model()
     spelt = F.concat(F.lit(START * (ORDER - 1)), F.col("word"), F.lit(END))
-    letters = leading.select("word", "n_toxic", "n_ordinary", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(spelt, i, F.lit(ORDER)))).alias("gram"))
-    backoff = letters.join(shared, "gram").groupBy("word", "n_toxic", "n_ordinary").agg(F.exp(F.sum(F.log("shared"))).alias("backoff"))
-
-    def likelihood(c: str):
-        return (F.greatest(F.col(f"n_{c}") - DISCOUNT, F.lit(0.0)) + sums[f"freed_{c}"] * F.col("backoff")) / sums[f"all_{c}"]
-    lead = F.log(likelihood("toxic")) - F.log(likelihood("ordinary")) - LEAD
-    rows = backoff.select("word", lead.alias("lead")).where("lead > 0").toArrow()
-    return dict(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()))
-
-
-def _ratio_column(spark, model: Model):
-    shared = ship(spark, model)  # bounded by the sample the toxic class is learned from
-
-    @F.arrow_udf("double")
-    def ratio(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        one = received(shared).ratio
-        for texts in batches:
-            yield pa.array(map(one, texts.to_pylist()), pa.float64())
-
-    return ratio
-
-
-def calibrate(points: list[tuple[float, int, int]]) -> tuple[float, float]:
-    """Slope and offset of a logistic curve through (ratio, label, rows); labels are drawn in from 0 and 1 by one row each."""
-    x, y, n = (np.array(c, dtype=float) for c in zip(*points))
+    letters = words.select("word", "n_toxic", "n_ordinary", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(spelt, i, F.lit(ORDER)))).alias("gram"))
+    used = F.broadcast(checkpoint(shared.join(letters.select("gram").distinct(), "gram")))  # bounded by the samples; the letters need not move
+    backoff = letters.join(used, "gram", "left").groupBy("word", "n_toxic", "n_ordinary").agg(F.exp(F.sum(F.log(F.coalesce("shared", F.lit(UNSPELT))))).alias("backoff"))
+
+    def likelihood(c: str, discount: float, name: str):
+        # Words too long to spell have a backoff of zero in floating point; the least positive one keeps their logarithm.
+        return (F.greatest(F.col(f"n_{c}") - discount, F.lit(0.0)) + sums[f"{name}_{c}"] * F.greatest("backoff", F.lit(1e-290))) / sums[f"all_{c}"]
+    ratio = F.log(likelihood("toxic", discounts["toxic"], "freed")) - F.log(likelihood("ordinary", discounts["ordinary"], "freed"))
+    lead = F.greatest(F.log(likelihood("toxic", DISCOUNT, "more")) - F.log(likelihood("ordinary", DISCOUNT, "more")) - LEAD, F.lit(0.0))
+    rows = backoff.select(F.xxhash64("word").alias("key"), ratio.cast("float").alias("ratio"), lead.cast("float").alias("lead")).toArrow()
+    keys, *columns = (rows.column(i).to_numpy() for i in range(3))
+    order = np.argsort(keys)
+    shares = [sums[f"freed_{c}"] / sums[f"all_{c}"] for c in classes]
+    return Model(keys[order], columns[0][order], columns[1][order], math.log(shares[0] / shares[1]))
+
+
+def _measured(spark, model: Model, what: str, kind: str):
+    """A column function of the texts' hashed words."""
+    shared = ship(spark, model)  # bounded by the samples
+
+    @F.arrow_udf(kind)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        fresh_worker("toxicity")
+        one = received(shared)
+        for lists in batches:
+            found = getattr(one, what)(lists)
+            if found.ndim == 2:
+                flat = pa.array(found.reshape(-1))
+                yield pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * found.shape[1]), flat)
+            else:
+                yield pa.array(found)
+
+    return lambda text: run(F.transform(words_of(text), lambda w: F.xxhash64(w)))
+
+
+def calibrate(points: list[tuple[float, float, int, int]]) -> tuple[tuple[float, float], float]:
+    """Weights and offset of a logistic curve through (difference, lead, label, rows); labels are drawn in from 0 and 1 by one row each.
+
+    Both measures speak for the toxic class, so a weight that comes out below zero is set to zero and the other is found alone.
+    """
+    x, z, y, n = (np.array(c, dtype=float) for c in zip(*points))
     ones, zeros = n[y == 1].sum(), n[y == 0].sum()
     if not ones or not zeros:
-        return 0.0, 30.0 if ones else -30.0
+        return (0.0, 0.0), 30.0 if ones else -30.0
     target = np.where(y == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
-    weight = n
-    scale = np.std(x) or 1.0
-    design, theta = np.stack([x / scale, np.ones_like(x)], axis=1), np.zeros(2)
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(design @ theta, -50, 50)))
-        slope = design.T @ (weight * (target - p)) - 1e-3 * theta
-        bend = (design * (weight * p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
-        step = np.linalg.solve(bend, slope)
-        theta = theta + np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-8:
-            break
-    return float(theta[0] / scale), float(theta[1])
+    both = np.stack([x, z], axis=1)
+    scale = np.where(both.std(axis=0) > 0, both.std(axis=0), 1.0)
+
+    def curve(used: list[int]) -> np.ndarray:
+        design, theta = np.column_stack([both[:, used] / scale[used], np.ones(len(x))]), np.zeros(len(used) + 1)
+        for _ in range(100):
+            p = 1 / (1 + np.exp(-np.clip(design @ theta, -50, 50)))
+            slope = design.T @ (n * (target - p)) - 1e-3 * theta
+            bend = (design * (n * p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(len(theta))
+            step = np.linalg.solve(bend, slope)
+            theta = theta + np.clip(step, -2, 2)
+            if np.abs(step).max() < 1e-8:
+                break
+        return theta
+
+    used = [0, 1]
+    while (theta := curve(used))[:-1].size and theta[:-1].min() < 0:
+        used.pop(int(np.argmin(theta[:-1])))
+    weights = np.zeros(2)
+    weights[used] = theta[:-1] / scale[used]
+    return (float(weights[0]), float(weights[1])), float(theta[-1])
 
 
 def fit(documents: DataFrame, labels: DataFrame) -> Model:
@@ -210,23 +260,23 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
     spark = documents.sparkSession
     sample = F.broadcast(training_sample(labels))  # at most the sum of the sample bounds
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = texts.join(sample, F.col("doc_id") == F.col("sample_id"), "left").select("text", "part")
-    counted = checkpoint(marked.mapInArrow(_counts, "gram STRING, word STRING, n_all BIGINT, n_toxic BIGINT, n_ordinary BIGINT"))
-    grams = checkpoint(counted.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("n_all").alias("n_all")))
-    words = checkpoint(counted.where("word IS NOT NULL").groupBy("word").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_ordinary").alias("n_ordinary")))
-    model = Model(class_ratios(words, shared_probabilities(grams)))
-    ratio = _ratio_column(spark, model)
-    held = texts.join(sample.where("part >= 2"), F.col("doc_id") == F.col("sample_id")).select((F.col("part") - 2).alias("label"), F.round(ratio("text"), 4).alias("x"))
-    points = [(r["x"], r["label"], r["n"]) for r in held.groupBy("x", "label").agg(F.count(F.lit(1)).alias("n")).collect()]  # bounded by the sample
+    chosen = texts.join(sample, F.col("doc_id") == F.col("sample_id")).select("text", "part")
+    grams = checkpoint(texts.select("text").mapInArrow(_counts, "gram STRING, n_all BIGINT").groupBy("gram").agg(F.sum("n_all").alias("n_all")))
+    words = checkpoint(class_counts(chosen.where("part < 2")))
+    model = class_ratios(words, shared_probabilities(grams))
+    measures = _measured(spark, model, "measures", "array<double>")
+    held = chosen.where("part >= 2").select((F.col("part") - 2).alias("label"), measures(F.col("text")).alias("m"))
+    held = held.select("label", F.round(F.col("m")[0], 4).alias("x"), F.round(F.col("m")[1], 4).alias("z"))
+    points = [(r["x"], r["z"], r["label"], r["n"]) for r in held.groupBy("x", "z", "label").agg(F.count(F.lit(1)).alias("n")).collect()]  # bounded by the sample
     if points:
-        model.slope, model.offset = calibrate(points)
+        model.weights, model.offset = calibrate(points)
     return model
 
 
 def scored(documents: DataFrame, model: Model, score: str = "score") -> DataFrame:
     """The input with a probability that each whole text is toxic; texts without a word get that of no evidence."""
-    ratio = _ratio_column(documents.sparkSession, model)
-    return documents.withColumn(score, 1 / (1 + F.exp(-(model.slope * ratio(F.col("text").cast("string")) + model.offset))))
+    probability = _measured(documents.sparkSession, model, "probability", "double")
+    return documents.withColumn(score, probability(F.col("text").cast("string")))
 
 
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:

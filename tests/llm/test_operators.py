@@ -9,13 +9,14 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from roadlens.llm import bpe, bpe_codec, components, exact_dedup, language, mixing, near_dedup, pii, token_counts, topk, toxicity, warc
+from roadlens.llm import bpe, bpe_codec, common, components, exact_dedup, language, mixing, near_dedup, pii, token_counts, topk, toxicity, warc
 from roadlens.llm.queries import codec_digests, tokenizer_path
 
 SMALL = "/root/testdata/sf0.001"
@@ -432,6 +433,68 @@ def test_toxicity(documents, awkward, nothing, spark):
     assert toxicity.toxicity(awkward, labels.limit(0)).agg(F.max("predicted")).first()[0] == 0
 
 
+def test_toxicity_in_many_moderate_words(documents, spark):
+    r = random.Random(12)
+    marks = [int(i % 4 == 0) for i in range(800)]
+    texts = [" ".join(f"w{r.choice([r.randrange(100), r.randrange(200)]) if toxic else r.randrange(200)}" for _ in range(r.randrange(80, 160))) for toxic in marks]
+    labels = spark.createDataFrame(list(enumerate(marks)), "doc_id BIGINT, toxic INT")
+    held = [x for x in toxicity.toxicity(documents(texts), labels).collect() if x.held_out]
+    assert np.mean([x.predicted == marks[x.doc_id] for x in held]) >= 0.9
+
+
+def test_both_measures_equal_brute_force(spark):
+    r = random.Random(13)
+    count = {f"{a}{b}": (max(0, r.randrange(-6, 12)), max(0, r.randrange(-4, 40))) for a in "abcde" for b in "fghij"} | {"aaf": (40, 0), "bbf": (1, 0), "ccf": (0, 1)}
+    count = {w: n for w, n in count.items() if any(n)}
+    grams = {"\x02\x02" + w + "\x03" for w in count}
+    share = {g[i:i + 3]: (i + 1) / 40 for g in grams for i in range(len(g) - 2)}
+    model = toxicity.class_ratios(spark.createDataFrame([(w, *n) for w, n in count.items()], "word STRING, n_toxic BIGINT, n_ordinary BIGINT"),
+                                  spark.createDataFrame(list(share.items()), "gram STRING, shared DOUBLE"))
+    total = [sum(n[c] for n in count.values()) for c in (0, 1)]
+
+    def estimated(c):
+        once, twice = (sum(n[c] == k for n in count.values()) for k in (1, 2))
+        return min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
+
+    def ratio(word, discounts):
+        freed = [sum(min(n[c], discounts[c]) for n in count.values()) for c in (0, 1)]
+        spelt = "\x02\x02" + word + "\x03"
+        back = math.prod(share[spelt[i:i + 3]] for i in range(len(word) + 1))
+        p = [(max(count[word][c] - discounts[c], 0) + freed[c] * back) / total[c] for c in (0, 1)]
+        return math.log(p[0]) - math.log(p[1]), freed
+    discounts = [estimated(0), estimated(1)]
+    freed = ratio("aaf", discounts)[1]
+    unseen = math.log(freed[0] / total[0]) - math.log(freed[1] / total[1])
+    lists = [[], ["aaf", "af", "nowhere"], ["nowhere"], [], ["bbf", "ccf", "bg", "bg", "dj", "ei"] * 5, ["ccf"], []]
+    key = {x.w: x.k for x in spark.createDataFrame([(w,) for w in {*count, "nowhere"}], "w STRING").selectExpr("w", "xxhash64(w) k").collect()}
+    arrays = pa.array([[key[w] for w in words] for words in lists], pa.list_(pa.int64()))
+    for piece in (toxicity.SLICE, 4):
+        toxicity.SLICE, kept = piece, toxicity.SLICE
+        got = model.measures(arrays)
+        toxicity.SLICE = kept
+        for words, (whole, lead) in zip(lists, got):
+            n = len(words) + toxicity.SHRINK
+            assert math.isclose(whole, sum(ratio(w, discounts)[0] if w in count else unseen for w in words) / n, rel_tol=1e-5, abs_tol=1e-6)
+            want = sum(max(0.0, ratio(w, [toxicity.DISCOUNT] * 2)[0] - toxicity.LEAD) for w in words if w in count) / n
+            assert math.isclose(lead ** 2, want, rel_tol=1e-5, abs_tol=1e-6)
+
+
+def test_words_are_counted_as_they_are_looked_up(spark):
+    odd = "Don't  stop\u00a0NOW\x85é_É ### \u4e2d\u6587, 1\u00b2 \x1cend"
+    found = spark.createDataFrame([(odd,), (None,), (" ?! ",)], "t STRING").select(toxicity.words_of(F.col("t")).alias("w")).collect()
+    assert [x.w for x in found] == [[w for w in map(toxicity.plain, odd.lower().split()) if w], [], []]
+
+
+def test_a_worker_drops_what_another_operator_left():
+    common.fresh_worker("one")
+    common.worker_cache("memo", lambda: {1: 2})
+    common.fresh_worker("one")
+    assert common.worker_cache("memo", dict) == {1: 2}
+    common.fresh_worker("other")
+    assert common.worker_cache("memo", dict) == {}
+    common.fresh_worker("done")
+
+
 def test_shared_probabilities_sum_to_at_most_one(spark):
     grams = spark.createDataFrame([("\x02\x02a", 5), ("\x02ab", 3), ("\x02aa", 2), ("ab\x03", 3), ("aa\x03", 2)], "gram STRING, n_all BIGINT")
     sums = toxicity.shared_probabilities(grams).groupBy(F.substring("gram", 1, 2).alias("h")).agg(F.sum("shared").alias("s")).collect()
