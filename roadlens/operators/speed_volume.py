@@ -26,6 +26,19 @@ def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
 
 
+def within_link(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Left join by KEYS that hashes the pair alone: a link has few periods, and its rows stay together for what groups by link next.
+
+    The period is compared as a pair of bounds, since Spark would hash an equality too and scatter the periods of a link.
+    """
+    other = {k: f"__{k}" for k in KEYS}
+    right = right.withColumnsRenamed(other)
+    same = (F.col("time_period") >= F.col("__time_period")) & (F.col("time_period") <= F.col("__time_period"))
+    for k in PAIR:
+        same = same & (F.col(k) == F.col(other[k]))
+    return left.join(right, same, "left").drop(*other.values())
+
+
 def assemble(perf: DataFrame, links: DataFrame, speeds: DataFrame, periods: list[Period]) -> DataFrame:
     """Strict one-to-one join of performance, network and grid-aligned speeds.
 
@@ -48,13 +61,15 @@ def assemble(perf: DataFrame, links: DataFrame, speeds: DataFrame, periods: list
     table = period_table(perf.sparkSession, periods).select("time_period", "period_index", "period_minutes", "timeline_start")
     if "samples" in speeds.columns:
         once = unique_by(speeds.select(*KEYS), KEYS, "speed table").withColumn("__once", F.lit(True))
-        wanted = wanted.join(once, KEYS, "left").where(F.coalesce("__once", F.lit(True))).drop("__once")
+        wanted = within_link(wanted, once).where(F.coalesce("__once", F.lit(True))).drop("__once")
     # The narrow tables meet first.  Samples are shuffled once at most, by the aggregate that makes them arrays; the narrow side is what the join
     # hashes, so they stream past it and are neither sorted nor spilled.
     rows = wanted.join(network, lk, "left")
     rows = require(rows, F.col("__net"), "pair of the performance table is missing in the link table").drop("__net")
     rows = require(rows, F.col("assigned_volume") >= 0, "assigned volume is missing or negative")
-    rows = rows.hint("shuffle_hash").join(arrays, KEYS, "left")
+    # Long rows lie by KEYS after that aggregate; rows that hold their samples may lie by link, then hours are summed without a shuffle.
+    rows = rows.hint("shuffle_hash")
+    rows = within_link(rows, arrays) if "samples" in speeds.columns else rows.join(arrays, KEYS, "left")
     rows = rows.join(F.broadcast(grid), "time_period", "left").join(F.broadcast(table), "time_period")
     rows = require(rows, F.col("grid").isNotNull(), F.concat(F.lit("no speeds for period "), F.col("time_period")))
     return with_aligned(rows, F.col("assigned_speed"))
@@ -140,7 +155,7 @@ def hour_cells(estimated: DataFrame, periods: list[Period]) -> DataFrame:
 def hourly(estimated: DataFrame, periods: list[Period]) -> DataFrame:
     """Hourly volume (by overlap) and harmonic mean speed per link.
 
-    The periods' cells of an hour are summed; they hold no samples any more.
+    The periods' cells of an hour are summed; they hold no samples any more.  Where the estimate lies by link, nothing is moved.
     """
     bins = hourly_bins(periods)
     begin, finish = bins[0][0], bins[-1][1]

@@ -94,14 +94,16 @@ SELECT time_period, from_node_id, to_node_id, CAST(sum(l_quantity) AS DOUBLE) AS
        CAST(sum(CASE WHEN l_linestatus = 'O' THEN l_quantity ELSE 0 END) AS DOUBLE) AS mod_vol_trk,
        CAST(17 + (to_node_id - 10001) % 59 AS DOUBLE) * (1 - 8 * max(l_discount)) AS speed_mph,
        CAST((from_node_id + to_node_id - 10002) % 5 AS DOUBLE) / 2 AS "Severe_Congestion_P"
-FROM (SELECT {period} AS time_period, CAST(l_suppkey + 1 AS BIGINT) AS from_node_id, CAST(l_partkey + 10001 AS BIGINT) AS to_node_id,
+FROM (SELECT {hint} {period} AS time_period, CAST(l_suppkey + 1 AS BIGINT) AS from_node_id, CAST(l_partkey + 10001 AS BIGINT) AS to_node_id,
              l_quantity, l_linestatus, l_discount FROM lineitem {where}) AS item
 GROUP BY time_period, from_node_id, to_node_id
 """
 _SPARK = {
-    "link_performance": _PERF_SPARK.format(period=_PERIOD, where=""),
-    "link_performance_nb": _PERF_SPARK.format(period=_PERIOD, where="WHERE l_linestatus = 'O'"),
+    "link_performance": _PERF_SPARK.format(period=_PERIOD, where="", hint=""),
+    "link_performance_nb": _PERF_SPARK.format(period=_PERIOD, where="WHERE l_linestatus = 'O'", hint=""),
 }
+# The items of a link meet first, for what goes on to group by links: all its periods then lie in one partition.
+_BY_LINK = _SPARK | {"link_performance": _PERF_SPARK.format(period=_PERIOD, where="", hint="/*+ REPARTITION(from_node_id, to_node_id) */")}
 _DUCK = {
     "grid": """
 SELECT time_period, CAST(unnest(range(a, b + 1, 5)) AS INT) AS minute
@@ -139,10 +141,10 @@ def check_sql(names: str, body: str, ctes: str = "") -> str:
     return "WITH " + ",\n".join(parts) + "\n" + body.strip()
 
 
-def road(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The view as a Spark table over the driver's parquet files."""
-    names = _ordered([name])
-    text = "WITH " + ",\n".join(f"{n} AS ({_SPARK.get(n, VIEWS[n]).strip()})" for n in names) + f"\nSELECT * FROM {name}"
+def road(spark: SparkSession, sf_dir: str, name: str, by_link: bool = False) -> DataFrame:
+    """The view as a Spark table over the driver's parquet files; `by_link`: the same rows, those of a link together."""
+    names, spark_text = _ordered([name]), _BY_LINK if by_link else _SPARK
+    text = "WITH " + ",\n".join(f"{n} AS ({spark_text.get(n, VIEWS[n]).strip()})" for n in names) + f"\nSELECT * FROM {name}"
     text = re.sub(r'"(\w+)"', r"`\1`", text)
     used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if re.search(rf"\b{t}\b", text)}
     text = re.sub(r"[{}]", lambda m: m.group(0) * 2, text)

@@ -1,5 +1,7 @@
 """Hourly estimate on two links and two periods."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,3 +133,18 @@ def test_samples_move_once(spark):
     below = [next(x for x in lines[i + 1:] if x.strip()) for i, line in enumerate(lines) if "Exchange hashpartitioning(time_period" in line]
     assert not any("interval_hours" in line and "Exchange" in line for line in lines)
     assert sum("collect_list(struct(o" in x for x in below) <= 2 and "samples" not in "".join(line for line in lines if "Exchange" in line)
+
+
+def test_hours_of_a_link_are_summed_where_they_are(spark):
+    from roadlens.plans import catalog
+
+    for name in ("speed_volume_conservation", "speed_volume_export"):
+        plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "explode(sequence(" in plan and not re.search(r"Exchange hashpartitioning\([^)]*\bb#", plan)
+
+
+def test_a_join_within_links_equals_the_join_by_keys(spark):
+    left = spark.createDataFrame([("am", 1, 2, 5), ("md", 1, 2, 6), ("pm", 1, 2, 7), ("am", 2, 1, 8)], "time_period STRING, from_node_id BIGINT, to_node_id BIGINT, x INT")
+    right = spark.createDataFrame([("am", 1, 2, 50), ("pm", 1, 2, 70), ("md", 2, 1, 90)], "time_period STRING, from_node_id BIGINT, to_node_id BIGINT, y INT")
+    got, want = sv.within_link(left, right), left.join(right, sv.KEYS, "left")
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
