@@ -16,7 +16,9 @@ import json
 import os
 import sys
 import uuid
+from collections import namedtuple
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +28,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens.llm.bpe import PATTERN, byte_letters
-from roadlens.llm.common import shared_folder, slices, worker_cache
+from roadlens.llm.common import fresh_worker, shared_folder, slices, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 STEPS, BLOCK = 1 << 16, 1 << 19  # merge steps of a piece and of a block
+AT_ONCE = 100_000  # letters of the texts whose ids are Python lists at a time (one text at least)
 MARK = "▁"  # how pieces write a space
 
 COUNTS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
@@ -56,13 +59,9 @@ class Encoders:
     def __init__(self, a: str, b: bytes):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
-        from tokenizers import Tokenizer
 
         spec, letters = json.loads(a), byte_letters()
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
-        self.slow = Tokenizer.from_str(a)
-        self.slow.encode_special_tokens = True
-        self.slow.no_truncation(), self.slow.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
         added = {x["id"]: x["content"].encode() for x in spec["added_tokens"]}
         self.a_bytes = [b""] * (1 + max(*added, *vocab.values()))
@@ -77,12 +76,22 @@ class Encoders:
         # A byte-level BPE whose ids rise with the merges is the same as ranks of tokens, which a faster library reads.
         pre, merged = spec["pre_tokenizer"] or {}, [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in merges]
         plain = spec["normalizer"] is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-        self.fast = None
+        self.fast, self.text = None, a
         if plain and all(x < y for x, y in zip(merged, merged[1:])) and len(ranks) == len(merged) + 256 and all(bytes([i]) in ranks for i in range(256)):
             import tiktoken
 
             self.fast = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def slow(self):
+        """A by its own library; made where it is used, as it holds the vocabulary once more."""
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_str(self.text)
+        made.encode_special_tokens = True
+        made.no_truncation(), made.no_padding()
+        return made
+
     def in_a(self, texts: list[str]) -> list[list[int]]:
         if self.fast is not None:
             return list(map(self.fast.encode_ordinary, texts))
@@ -90,11 +99,17 @@ class Encoders:
 
     def __call__(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """Packed ids (int32) of space+text in A and of text in B; both empty where the tokens do not give back these bytes."""
-        out = []
-        for text, x, y in zip(texts, self.in_a([" " + t for t in texts]), self.b.encode(texts, num_threads=1)):
-            raw = (" " + text).encode()
-            same = text and b"".join(map(self.a_bytes.__getitem__, x)) == raw == b"".join(map(self.b_bytes.__getitem__, y))
-            out.append((np.array(x, dtype="<i4").tobytes(), np.array(y, dtype="<i4").tobytes()) if same else (b"", b""))
+        out, at = [], 0
+        while at < len(texts):
+            end, letters = at + 1, len(texts[at])
+            while end < len(texts) and letters + len(texts[end]) <= AT_ONCE:
+                letters += len(texts[end])
+                end += 1
+            some, at = texts[at:end], end
+            for text, x, y in zip(some, self.in_a([" " + t for t in some]), self.b.encode(some, num_threads=1)):
+                raw = (" " + text).encode()
+                same = text and b"".join(map(self.a_bytes.__getitem__, x)) == raw == b"".join(map(self.b_bytes.__getitem__, y))
+                out.append((np.array(x, dtype="<i4").tobytes(), np.array(y, dtype="<i4").tobytes()) if same else (b"", b""))
         return out
 
 
@@ -122,8 +137,7 @@ def merge_path(a_ends: np.ndarray, b_ends: np.ndarray, a_from: np.ndarray, b_fro
 
 def cut_pieces(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray, steps: int) -> dict[str, np.ndarray]:
     """Pieces of at most `steps` (and one) merge steps of the documents whose ids stand one after the other in a and b."""
-    a_len, b_len = a_sizes[a], b_sizes[b]
-    a_ends, b_ends = np.cumsum(a_len), np.cumsum(b_len)  # documents have equal bytes in both lists, so their ends agree
+    a_ends, b_ends = np.cumsum(a_sizes[a]), np.cumsum(b_sizes[b])  # documents have equal bytes in both lists, so their ends agree
     a_from, b_from = np.cumsum(na) - na, np.cumsum(nb) - nb
     inner = np.maximum(0, -(-(na + nb) // steps) - 1)  # diagonals inside a document
     who = np.repeat(np.arange(len(na)), inner)
@@ -138,11 +152,23 @@ def cut_pieces(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, a_s
     last = np.append(doc[1:] != doc[:-1], True) if len(doc) else np.zeros(0, dtype=bool)
     i1, j1 = np.append(i0[1:], len(a)), np.append(j0[1:], len(b))
     first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, dtype=np.int64)
-    a_at, b_at = np.append(a_ends - a_len, 0), np.append(b_ends - b_len, 0)  # where tokens start
-    lead = np.where(np.isin(np.arange(len(doc)), first), 0, a_at[np.minimum(i0, len(a))] - b_at[np.minimum(j0, len(b))])
-    beyond_a, beyond_b = np.append(a, -1), np.append(b, -1)
+
+    def start(ids, ends, sizes, i):  # of the tokens at i; beyond the last: 0
+        inside = i < len(ids)
+        out = np.zeros(len(i), dtype=np.int64)
+        out[inside] = ends[i[inside]] - sizes[ids[i[inside]]]
+        return out
+
+    def beyond(ids, i):
+        out, inside = np.full(len(i), -1, dtype=np.int64), ~last & (i < len(ids))
+        out[inside] = ids[i[inside]]
+        return out
+    lead = np.where(np.isin(np.arange(len(doc)), first), 0, start(a, a_ends, a_sizes, i0) - start(b, b_ends, b_sizes, j0))
     return {"doc": doc, "piece": np.arange(len(doc)) - np.repeat(first, np.diff(np.append(first, len(doc)))), "na": i1 - i0, "nb": j1 - j0, "lead": lead,
-            "next_a": np.where(last, -1, beyond_a[i1]), "next_b": np.where(last, -1, beyond_b[j1]), "single": last & np.isin(np.arange(len(doc)), first)}
+            "next_a": beyond(a, i1), "next_b": beyond(b, j1), "single": last & np.isin(np.arange(len(doc)), first)}
+
+
+Sizes = namedtuple("Sizes", "a_sizes b_sizes")  # bytes of every token: all that the merges need of the tokenizers
 
 
 class Merged:
@@ -213,12 +239,15 @@ def decimal_forms(size: int) -> list[np.ndarray]:
 # --- Spark -----------------------------------------------------------------------------------------------------------------------
 
 def token_blocks(documents: DataFrame, a_path: str, b_path: str, steps: int = STEPS, block: int = BLOCK) -> tuple[DataFrame, object, str]:
-    """Blocks of pieces of all documents, the broadcast tokenizers (bounded by their files), and the shared folder the blocks are in."""
+    """Blocks of pieces of all documents, the broadcast sizes of all tokens (bounded by the tokenizers' files), and the shared folder the blocks are in."""
     spark = documents.sparkSession
     pair = load_pair(a_path, b_path)
-    shared = spark.sparkContext.broadcast(pair)
+    own = Encoders(*pair)
+    shared, sizes = spark.sparkContext.broadcast(pair), spark.sparkContext.broadcast((own.a_sizes, own.b_sizes))
+    del own
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker("alignment", every_task=True)
         encoders = worker_cache(f"pair_{hash(shared.value)}", lambda: Encoders(*shared.value))
         place = TaskContext.get().partitionId()
         docs, blocks = place << 33, place << 33
@@ -226,7 +255,8 @@ def token_blocks(documents: DataFrame, a_path: str, b_path: str, steps: int = ST
             for batch in slices(whole, "text", 3_000_000):
                 coded = encoders([t or "" for t in batch.column("text").to_pylist()])
                 na, nb = (np.array([len(x[k]) // 4 for x in coded], dtype=np.int64) for k in (0, 1))
-                a, b = (np.frombuffer(b"".join([x[k] for x in coded]), dtype="<i4").astype(np.int64) for k in (0, 1))
+                a, b = (np.frombuffer(b"".join([x[k] for x in coded]), dtype="<i4") for k in (0, 1))
+                del coded
                 p = cut_pieces(a, b, na, nb, encoders.a_sizes, encoders.b_sizes, steps)
                 work = np.cumsum(p["na"] + p["nb"])
                 edges = np.flatnonzero(np.append(True, (work[1:] - 1) // block != (work[:-1] - 1) // block)) if len(work) else []
@@ -242,7 +272,7 @@ def token_blocks(documents: DataFrame, a_path: str, b_path: str, steps: int = ST
     named = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     path = f"{shared_folder(spark)}/alignment-{uuid.uuid4().hex}"
     named.mapInArrow(run, _BLOCKS).write.option("compression", "zstd").parquet(f"{path}/blocks")
-    return spark.read.parquet(f"{path}/blocks"), shared, path
+    return spark.read.parquet(f"{path}/blocks"), sizes, path
 
 
 def _id_type(sizes: np.ndarray) -> str:
@@ -255,7 +285,7 @@ def _stored(ids: np.ndarray, sizes: np.ndarray) -> bytes:
 
 
 def _restored(raw: bytes, sizes: np.ndarray) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=_id_type(sizes)).astype(np.int64)
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=_id_type(sizes))
 
 
 def _arrow_blocks() -> pa.Schema:
@@ -264,20 +294,30 @@ def _arrow_blocks() -> pa.Schema:
                       ("single", pa.list_(pa.bool_())), ("a", pa.binary()), ("b", pa.binary())])
 
 
-def _merged(row: dict, encoders: Encoders) -> Merged:
-    number = lambda k: np.array(row[k], dtype=np.int64)
-    a, b = _restored(row["a"], encoders.a_sizes), _restored(row["b"], encoders.b_sizes)
-    return Merged(a, b, number("na"), number("nb"), number("lead"), number("next_a"), number("next_b"), encoders.a_sizes, encoders.b_sizes)
+def _merged(row: dict, sizes: Sizes, at_once: int = STEPS) -> Iterator[tuple[int, int, Merged]]:
+    """(first, end, merged) of some pieces of a block after another, of about `at_once` steps together: pieces know nothing of each other, and
+    the arrays of a merge take many times the room of the ids."""
+    na, nb, lead, next_a, next_b = (np.array(row[k], dtype=np.int64) for k in ("na", "nb", "lead", "next_a", "next_b"))
+    a, b = _restored(row["a"], sizes.a_sizes), _restored(row["b"], sizes.b_sizes)
+    a_from, b_from, work = np.append(0, np.cumsum(na)), np.append(0, np.cumsum(nb)), np.cumsum(na + nb)
+    edges = np.flatnonzero(np.append(True, work[1:] // at_once != work[:-1] // at_once)) if len(work) else np.zeros(0, dtype=np.int64)
+    for x, y in zip(edges.tolist(), np.append(edges[1:], len(work)).tolist()):
+        own_a, own_b = (ids[of[x]:of[y]].astype(np.int64) for ids, of in ((a, a_from), (b, b_from)))
+        yield x, y, Merged(own_a, own_b, na[x:y], nb[x:y], lead[x:y], next_a[x:y], next_b[x:y], sizes.a_sizes, sizes.b_sizes)
 
 
 def block_pairs(blocks: DataFrame, shared) -> DataFrame:
     """(block, a, b, n): how often a block links two ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoders = worker_cache(f"pair_{hash(shared.value)}", lambda: Encoders(*shared.value))
+        fresh_worker("alignment pairs", every_task=True)
+        sizes = Sizes(*shared.value)
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                pairs, n = np.unique(_merged(row, encoders).pairs, return_counts=True)
+                found = [np.unique(m.pairs, return_counts=True) for _, _, m in _merged(row, sizes)]
+                pairs, place = np.unique(np.concatenate([x for x, _ in found]), return_inverse=True)
+                n = np.zeros(len(pairs), dtype=np.int64)
+                np.add.at(n, place, np.concatenate([x for _, x in found]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pairs), row["block"])), pa.array((pairs >> 32).astype(np.int32)), pa.array((pairs & 0xFFFFFFFF).astype(np.int32)),
                                                   pa.array(n.astype(np.int64))], ["block", "a", "b", "n"])
     return blocks.select("block", "na", "nb", "lead", "next_a", "next_b", "a", "b").mapInArrow(run, "block BIGINT, a INT, b INT, n BIGINT")
@@ -298,34 +338,45 @@ def _finished(shared, digest: bool):
                        + [("groups", text), ("open", pa.struct([("cut", pa.bool_()), *[(n, text) for n in ("head_a", "head_b", "body", "tail_a", "tail_b")]]))])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        encoders = worker_cache(f"pair_{hash(shared.value)}", lambda: Encoders(*shared.value))
-        forms = worker_cache(f"forms_{hash(shared.value)}", lambda: decimal_forms(max(len(encoders.a_sizes), len(encoders.b_sizes))))
+        task = TaskContext.get()
+        if task is None or worker_cache("task", lambda: [None])[0] != task.taskAttemptId():
+            fresh_worker("alignment pairs", every_task=True)
+            worker_cache("task", lambda: [None])[0] = task and task.taskAttemptId()
+        sizes = Sizes(*shared.value)
+        forms = worker_cache("forms", lambda: decimal_forms(max(map(len, sizes))))
+        if len(forms[0]) < max(map(len, sizes)):  # of other tokenizers
+            forms[:] = decimal_forms(max(map(len, sizes)))
         out = []
+        pairs = (right.column("a").to_numpy().astype(np.int64) << 32) | right.column("b").to_numpy()
+        order = np.argsort(pairs)
+        pairs, is_best, total = pairs[order], right.column("best").to_numpy(zero_copy_only=False).astype(np.int64)[order], right.column("links").to_numpy().astype(np.int64)[order]
         for row in left.to_pylist():
-            m = _merged(row, encoders)
-            pairs = (right.column("a").to_numpy().astype(np.int64) << 32) | right.column("b").to_numpy()
-            order = np.argsort(pairs)
-            at = order[np.searchsorted(pairs, m.pairs, sorter=order)] if len(pairs) else np.zeros(0, dtype=np.int64)
-            best = np.append(0, np.cumsum(right.column("best").to_numpy(zero_copy_only=False).astype(np.int64)[at]))
-            links = np.append(0, np.cumsum(right.column("links").to_numpy().astype(np.int64)[at]))
-            letters, bounds, group_from, in_a, in_b = m.written(forms)
-            raw, x, c = letters.tobytes(), m.links_from, m.cuts_from
-            a_from, b_from = np.append(0, np.cumsum(row["na"])).tolist(), np.append(0, np.cumsum(row["nb"])).tolist()
-            token_from = [bounds[i + j] for i, j in zip(a_from, b_from)]
-            for k in range(len(row["doc"])):
-                groups, open_ = None, None
-                if row["single"][k]:
-                    said = raw[token_from[k]:max(token_from[k + 1] - 1, token_from[k])]
-                    groups = said.decode() if not digest else hashlib.sha256(said).hexdigest() if said else ""
-                else:
-                    open_ = _open(m, raw, bounds, group_from, in_a[a_from[k]:a_from[k + 1]], in_b[b_from[k]:b_from[k + 1]],
-                                  m.a[a_from[k]:a_from[k + 1]], m.b[b_from[k]:b_from[k + 1]], int(c[k]) + k, int(c[k + 1]) + k)
-                out.append((row["doc"][k], row["doc_id"][k], row["piece"][k], row["na"][k], row["nb"][k], int(c[k + 1] - c[k]), int(x[k + 1] - x[k]),
-                            int(best[x[k + 1]] - best[x[k]]), int(links[x[k + 1]] - links[x[k]]), groups, open_))
+            for first, end, m in _merged(row, sizes):
+                out += _rows({k: row[k][first:end] for k in ("doc", "doc_id", "piece", "na", "nb", "single")}, m, pairs, is_best, total, forms, digest)
         return pa.table([pa.array(v, f.type) for v, f in zip(zip(*out), schema)] if out else [pa.array([], f.type) for f in schema], schema=schema)
     return run
 
 
+def _rows(row: dict, m: Merged, pairs: np.ndarray, is_best: np.ndarray, total: np.ndarray, forms: list[np.ndarray], digest: bool) -> Iterator[tuple]:
+    """One row per merged piece; `pairs` (ascending) with their corpus-wide facts hold all links of the pieces."""
+    at = np.searchsorted(pairs, m.pairs)
+    best, links = np.append(0, np.cumsum(is_best[at])), np.append(0, np.cumsum(total[at]))
+    letters, bounds, group_from, in_a, in_b = m.written(forms)
+    raw, x, c = letters.tobytes(), m.links_from, m.cuts_from
+    a_from, b_from = np.append(0, np.cumsum(row["na"])).tolist(), np.append(0, np.cumsum(row["nb"])).tolist()
+    token_from = [bounds[i + j] for i, j in zip(a_from, b_from)]
+    for k in range(len(row["doc"])):
+        groups, open_ = None, None
+        if row["single"][k]:
+            said = raw[token_from[k]:max(token_from[k + 1] - 1, token_from[k])]
+            groups = said.decode() if not digest else hashlib.sha256(said).hexdigest() if said else ""
+        else:
+            open_ = _open(m, raw, bounds, group_from, in_a[a_from[k]:a_from[k + 1]], in_b[b_from[k]:b_from[k + 1]],
+                          m.a[a_from[k]:a_from[k + 1]], m.b[b_from[k]:b_from[k + 1]], int(c[k]) + k, int(c[k + 1]) + k)
+        yield (row["doc"][k], row["doc_id"][k], row["piece"][k], row["na"][k], row["nb"][k], int(c[k + 1] - c[k]), int(x[k + 1] - x[k]),
+               int(best[x[k + 1]] - best[x[k]]), int(links[x[k + 1]] - links[x[k]]), groups, open_)
+
+
 def _open(m: Merged, raw: bytes, bounds, group_from, in_a, in_b, a, b, first: int, last: int) -> dict:
     """What a piece of a longer text leaves to be stitched: tokens up to its first cut, whole groups, tokens after its last cut."""
     joined = lambda ids: ",".join(map(str, ids.tolist()))

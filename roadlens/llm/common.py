@@ -52,16 +52,19 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def fresh_worker(operator: str) -> None:
+def fresh_worker(operator: str, every_task: bool = False) -> None:
     """At the start of a task: what another operator left in this reused worker is dropped and its memory goes back to the system.
 
-    Idle workers else hold the memo tables of all operators of a session beside what the running one needs.
+    Idle workers else hold the memo tables of all operators of a session beside what the running one needs.  `every_task`: what earlier tasks
+    of the same operator freed goes back as well, for operators whose tasks hold much for a short time.
     """
     holder = sys.modules.setdefault("_roadlens_worker_cache", types.ModuleType("_roadlens_worker_cache"))
     if getattr(holder, "operator", None) != operator:
         for name in list(vars(holder)):
             if not name.startswith("__"):
                 delattr(holder, name)
+        every_task = True
+    if every_task:
         gc.collect()
         pa.default_memory_pool().release_unused()
         if sys.platform == "linux":

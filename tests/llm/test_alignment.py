@@ -127,3 +127,16 @@ def test_diagonals_split_evenly_and_keep_ties():
             merged = sorted([(x, 0) for x in a] + [(x, 1) for x in b])[:d]
             assert i == sum(1 for _, side in merged if side == 0) and j - (d - i) in (0, 1)
             assert not (i and j < len(b) and a[i - 1] == b[j])
+
+
+def test_encoding_holds_few_ids_as_lists():
+    """Many short texts at once: the lists of ids of a part of them exist at a time, and A's own library is not loaded beside the quick one."""
+    encoders = alignment.Encoders(*alignment.load_pair(A_PATH, B_PATH))
+    most, inner = [], encoders.in_a
+    encoders.in_a = lambda texts: (most.append(sum(map(len, texts))), inner(texts))[1]
+    texts = [f"text {i} of many, " + "word " * (i % 50) for i in range(20_000)]
+    got = encoders(texts)
+    assert len(got) == len(texts) and max(most) <= alignment.AT_ONCE + len(texts) and len(most) > 10
+    encoders.in_a = inner
+    assert got[7] == encoders([texts[7]])[0] and got[-1] == encoders([texts[-1]])[0]
+    assert "slow" not in vars(encoders)
