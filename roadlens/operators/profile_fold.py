@@ -43,6 +43,36 @@ def smoothstep(x: np.ndarray) -> np.ndarray:
     return x * x * (3.0 - 2.0 * x)
 
 
+def raw_curve(minutes, scal):
+    """The generated curve of every row and minute; NaN where it has no speed, 0 in rows without a generated curve.
+
+    A missing or undefined share counts as 1, as greatest and least of a column do.
+    """
+    unit = lambda v: np.fmax(0.0, np.fmin(1.0, v))
+    out = np.zeros((len(scal["generated"]), len(minutes)))
+    made = np.flatnonzero(scal["generated"] > 0)
+    t0, t3, t2, f, miles, wt2, rtt, free, boundary, start, end = (
+        scal[k][made][:, None] for k in ("t0", "t3", "t2", "peak", "miles", "wt2", "rtt", "free", "boundary", "from", "to"))
+    t = (minutes / 60.0)[None, :]
+    with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+        ramp = lambda p: p * p * (3 - 2 * p)
+        before = ramp(unit((t - start) / np.maximum(0.001, t0 - start)))
+        after = ramp(unit((t - t3) / np.maximum(0.001, end - t3)))
+        speeds = np.where((t < t0) | np.isnan(t0), free + before * (boundary - free), boundary + after * (free - boundary))
+        # The window: only its own samples are computed.
+        rows, spots = np.nonzero((t >= t0) & (t <= t3))
+        t0, t3, t2, f, miles, wt2, rtt = (x[rows, 0] for x in (t0, t3, t2, f, miles, wt2, rtt))
+        t = t[0, spots]
+        wide = t3 - t0
+        x = np.where(wide == 0, 1.0, unit((t - t0) / wide))
+        inner = np.where(f <= 1e-9, (1 - x)**4.0, np.where(f >= 1 - 1e-9, x**4.0, (x / f)**(4 * f) * ((1 - x) / (1 - f))**(4 * (1 - f))))
+        shape = unit(np.where(wide <= 1e-9, np.where(np.abs(t - t2) <= 1e-9, 1.0, 0.0), inner))
+        time = wt2 * shape + rtt
+        speeds[rows, spots] = np.where(time == 0, np.nan, miles / time)
+    out[made] = speeds
+    return out
+
+
 def hermite(t, left, right, left_change, right_change):
     """Cubic with end values and end changes over the whole span."""
     t2, t3 = t * t, t * t * t

@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from roadlens.functions.columns import number_in
 from roadlens.functions.timeofday import DAY, Period
 from roadlens.operators import profile_fold
-from roadlens.operators.profile_fold import Limits, enforce
+from roadlens.operators.profile_fold import Limits, enforce, raw_curve
 from roadlens.operators.quality import QualityError, require, unique_by
 
 # Tasks get the fold by value, so executors need numpy and pyarrow but not this package.
@@ -28,7 +28,7 @@ DEFAULTS = {"lanes": 1.0, "capacity": 1800.0, "vdf_plf": 1.0, "vdf_alpha": 0.15,
             "vdf_cd": 1.0, "vdf_n": 1.0, "vdf_s": 4.0, "vdf_type": 0.0, "qvdf_profile_mode": -1.0}
 DEFAULT_FREE_KMH, KM_PER_MILE_ROUNDED = 60.0, 1.609
 POSITIVE = ["t0_hour", "t2_hour", "t3_hour", "qvdf_start_speed_mph", "qvdf_end_speed_mph"]
-SCALARS = ["generated", "vt2", "boundary", "t2", "observed", "start", "end", "assigned"]
+SCALARS = ["generated", "vt2", "boundary", "t2", "observed", "start", "end", "assigned", "t0", "t3", "peak", "miles", "wt2", "rtt", "free", "from", "to"]
 
 
 def smoothstep(x: Column) -> Column:
@@ -137,13 +137,6 @@ def with_raw_speed(rows: DataFrame) -> DataFrame:
     return r.drop("__t", "__x", "__before", "__after", "__hump")
 
 
-def raw_array() -> Column:
-    """The same curve as an array over the period's samples; every step is bound once per sample."""
-    spots = F.transform(sample_minutes(), lambda m: F.struct(*[v.alias(k) for k, v in _position(m).items()]))
-    humps = F.transform(spots, lambda s: F.struct(s.alias("s"), _hump(s["x"], s["t"]).alias("h")))
-    return F.transform(humps, lambda e: _speed(e["s"]["t"], e["h"], e["s"]["before"], e["s"]["after"]))
-
-
 def sample_minutes() -> Column:
     return F.sequence(F.col("start_minute"), F.col("end_minute") - 1, F.lit(STEP))
 
@@ -164,28 +157,26 @@ def raw_profiles(inputs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _packed(inputs: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per link: its periods in order, the raw samples and the scalars side by side.
+    """One row per link: its periods in order and their scalars side by side.
 
-    A link has one row per period of the plan, so the list stays as short as the plan.
+    A link has one row per period of the plan, so the list stays as short as the plan.  The samples of the raw curve are made in the fold, from
+    the scalars: as array functions they were interpreted, and shuffled with the link.
     """
     rows = with_scalars(inputs)
     nan = F.lit(float("nan"))
-    scal = {"generated": F.col("is_generated").cast("double"), "vt2": F.col("vt2"), "boundary": F.col("boundary"),
-            "t2": F.col("t2"), "observed": F.col("observed"), "start": F.coalesce("qvdf_start_speed_mph", nan),
-            "end": F.coalesce("qvdf_end_speed_mph", nan), "assigned": F.col("assigned")}
-    entry = F.struct(
-        "period_index", F.array(*[scal[s] for s in SCALARS]).alias("scal"),
-        F.when(F.col("is_generated"), raw_array()).otherwise(F.transform(sample_minutes(), lambda m: F.lit(0.0))).alias("raw"))
+    scal = {"generated": F.col("is_generated"),
+            "start": F.coalesce("qvdf_start_speed_mph", nan),
+            "end": F.coalesce("qvdf_end_speed_mph", nan), "from": F.col("period_from"), "to": F.col("period_to")}
+    entry = F.struct("period_index", F.array(*[scal.get(s, F.col(s)).cast("double") for s in SCALARS]).alias("scal"))
     lists = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("p"))
     return lists.select(
         *keys, F.transform("p", lambda e: e["period_index"]).alias("periods"),
         F.concat_ws(",", F.transform("p", lambda e: e["period_index"].cast("string"))).alias("signature"),
-        F.flatten(F.transform("p", lambda e: e["scal"])).alias("scal"),
-        F.flatten(F.transform("p", lambda e: e["raw"])).alias("raw"))
+        F.flatten(F.transform("p", lambda e: e["scal"])).alias("scal"))
 
 
 def fold_batches(periods: list[Period], limits: Limits, smooth_boundaries: bool):
-    """Arrow batches of packed links -> the same rows with ``speeds`` in place of raw and scalars, and the ``reason`` of rows that failed."""
+    """Arrow batches of packed links -> the same rows with ``speeds`` in place of the scalars, and the ``reason`` of rows that failed."""
     grids = [(p.start, p.end if p.end > p.start else DAY) for p in periods]
     step, scalars = STEP, list(SCALARS)
 
@@ -198,9 +189,8 @@ def fold_batches(periods: list[Period], limits: Limits, smooth_boundaries: bool)
                 n = part.num_rows
                 index = [int(i) for i in signature.split(",")]
                 minutes = [np.arange(grids[i][0], grids[i][1], step) for i in index]
-                raw = part["raw"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
                 scal = part["scal"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, len(index), len(scalars))
-                edges = np.cumsum([0, *[len(m) for m in minutes]])
+                named = [{s: scal[:, k, c] for c, s in enumerate(scalars)} for k in range(len(index))]
                 # A gap between periods ends a run: nothing is carried over it.
                 runs = [[0]]
                 for k in range(1, len(index)):
@@ -208,11 +198,10 @@ def fold_batches(periods: list[Period], limits: Limits, smooth_boundaries: bool)
                         runs[-1].append(k)
                     else:
                         runs.append([k])
-                keys = part.drop_columns(["signature", "raw", "scal", "periods"])
+                keys = part.drop_columns(["signature", "scal", "periods"])
                 for r in runs:
                     reasons = np.full(n, None, dtype=object)
-                    done = enforce([raw[:, edges[k]:edges[k + 1]] for k in r], [minutes[k] for k in r],
-                                   [{s: scal[:, k, c] for c, s in enumerate(scalars)} for k in r], limits, smooth_boundaries, reasons)
+                    done = enforce([raw_curve(minutes[k], named[k]) for k in r], [minutes[k] for k in r], [named[k] for k in r], limits, smooth_boundaries, reasons)
                     which = np.tile(np.asarray([index[k] for k in r], dtype=np.int32), n)
                     lists = [pa.ListArray.from_arrays(pa.array(np.arange(0, len(v) + 1, len(v) // n, dtype=np.int32)), pa.array(v))
                              for v in (which, done.ravel())]
@@ -261,13 +250,16 @@ def enforced_arrays(inputs: DataFrame, periods: list[Period], keys: list[str], l
 
 def exploded(arrays: DataFrame, periods: list[Period], keys: list[str]) -> DataFrame:
     """Arrays back to (period, keys, minute, speed_mph) rows."""
-    grids = F.create_map(*[x for i, p in enumerate(periods) for x in (
-        F.lit(i), F.struct(F.lit(p.name).alias("n"), F.lit(p.start).alias("a"), F.lit(p.end if p.end > p.start else DAY).alias("b")))])
-    at = arrays.withColumn("grid", F.flatten(F.transform("periods", lambda i: F.transform(
-        F.sequence(F.try_element_at(grids, i)["a"], F.try_element_at(grids, i)["b"] - 1, F.lit(STEP)),
-        lambda m: F.struct(F.try_element_at(grids, i)["n"].alias("time_period"), m.alias("minute"))))))
-    rows = at.select(*keys, F.explode(F.arrays_zip("grid", "speeds")).alias("s"))
-    return rows.select("s.grid.time_period", *keys, "s.grid.minute", F.col("s.speeds").alias("speed_mph"))
+    ends = [p.end if p.end > p.start else DAY for p in periods]
+    about = F.array(*[F.struct(F.lit(p.name).alias("time_period"), F.lit(p.start).alias("start"), F.lit(len(range(p.start, end, STEP))).alias("n"))
+                      for p, end in zip(periods, ends)])
+    # Only a run's few periods pass through (interpreted) array functions; its samples are exploded as they are.
+    counts = F.transform("periods", lambda i: F.get(about, i)["n"])
+    before = lambda k: F.aggregate(F.slice("__n", F.lit(1), k), F.lit(0), lambda total, n: total + n)
+    cut = F.transform("periods", lambda i, k: F.struct(F.get(about, i).alias("p"), F.slice("speeds", before(k) + 1, F.get("__n", k)).alias("speeds")))
+    rows = arrays.withColumn("__n", counts).select(*keys, F.explode(cut).alias("s"))
+    rows = rows.select("s.p.time_period", *keys, F.col("s.p.start").alias("__start"), F.posexplode("s.speeds").alias("__at", "speed_mph"))
+    return rows.select("time_period", *keys, (F.col("__start") + STEP * F.col("__at")).alias("minute"), "speed_mph")
 
 
 def smooth_profiles(inputs: DataFrame, periods: list[Period], keys: list[str], limits: Limits = Limits(),

@@ -155,3 +155,42 @@ def test_the_gate_computes_the_steps_of_a_profile_once(spark):
     beyond = pr.violations(pr.array_metrics(rows, ["k"]))
     assert [r.k for r in beyond.collect()] == [1]
     assert "element_at(zip_with" not in beyond._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_curve_of_the_fold_equals_the_columns(spark):
+    """The fold makes the raw samples itself; windows without width, at the edges, without length or times, and unknown lengths included."""
+    from pyspark.sql import functions as F
+
+    periods, keys = [Period("am", 360, 540), Period("md", 540, 900)], ["link_id"]
+    perf = spark.sql("SELECT p AS time_period, id AS link_id, CAST(id % 7 * 700 AS DOUBLE) AS volume, 30D AS speed_mph FROM range(240) CROSS JOIN VALUES ('am'), ('md') AS t(p)")
+    links = perf.select("time_period", "link_id").selectExpr(
+        "*", "1 + link_id % 3 AS lanes", "900 AS capacity", "40D + link_id % 30 AS vdf_free_speed_mph", "CASE link_id % 11 WHEN 3 THEN 0D WHEN 4 THEN 1D ELSE 0.3D END AS vdf_length_mi",
+        "2 AS vdf_type", "link_id % 4 - 1 AS qvdf_profile_mode", "CASE link_id % 6 WHEN 1 THEN 0D ELSE 0.4D END AS vdf_cd", "CASE WHEN link_id % 5 > 0 THEN 6D + link_id % 9 END AS t2_hour",
+        "5.5D + link_id % 8 AS t0_hour", "7D + link_id % 10 AS t3_hour")
+    inputs = pr.profile_inputs(perf, links, periods, keys)
+    wanted = {}
+    for r in pr.raw_profiles(inputs, keys).where("is_generated").collect():
+        wanted.setdefault((r.link_id, r.time_period), {})[r.minute] = np.nan if r.speed_mph is None else r.speed_mph
+    rows, packed = 0, pr._packed(inputs, keys)
+    assert "raw" not in packed.columns
+    for r in packed.collect():
+        scal = np.asarray([np.nan if x is None else x for x in r.scal]).reshape(len(r.periods), len(pr.SCALARS))
+        for i, values in zip(r.periods, scal):
+            p = periods[i]
+            minutes = np.arange(p.start, p.end, pr.STEP)
+            got = pf.raw_curve(minutes, {s: values[c:c + 1] for c, s in enumerate(pr.SCALARS)})[0]
+            want = wanted.get((r.link_id, p.name))
+            np.testing.assert_allclose(got, [0.0] * len(minutes) if want is None else [want[m] for m in minutes], rtol=1e-12)
+            rows += want is not None
+    assert rows == len(wanted) > 100
+    broken = {r.reason for r in pr.profile_outcomes(inputs, periods, keys).select(F.col("reason")).collect()}
+    assert None in broken
+
+
+def test_runs_are_cut_into_their_periods(spark):
+    """Periods whose length is no multiple of the step, and a run that does not start with the first period."""
+    periods = [Period("a", 0, 12), Period("b", 12, 24), Period("c", 24, 30)]
+    arrays = spark.sql("SELECT 1 AS link_id, array(0, 1, 2) AS periods, array(1D, 2D, 3D, 4D, 5D, 6D, 7D, 8D) AS speeds UNION ALL SELECT 2, array(1, 2), array(1D, 2D, 3D, 4D, 5D)")
+    got = sorted(tuple(r) for r in pr.exploded(arrays, periods, ["link_id"]).collect())
+    assert got == sorted([("a", 1, 0, 1.0), ("a", 1, 5, 2.0), ("a", 1, 10, 3.0), ("b", 1, 12, 4.0), ("b", 1, 17, 5.0), ("b", 1, 22, 6.0), ("c", 1, 24, 7.0), ("c", 1, 29, 8.0),
+                          ("b", 2, 12, 1.0), ("b", 2, 17, 2.0), ("b", 2, 22, 3.0), ("c", 2, 24, 4.0), ("c", 2, 29, 5.0)])
