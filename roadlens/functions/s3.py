@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.functions.columns import KM_PER_MILE, is_close, positive_of
+from roadlens.functions.samples import Made, percentile
 
 # Fallbacks of the parameter chain.
 P95_RANGE = (35.0, 85.0)
@@ -15,22 +16,10 @@ CRITICAL_NAMES = ["speed_at_capacity_mph", "vc_mph", "fd_vc_mph"]
 SHAPE_NAMES = ["s3_shape_m", "s3_m"]
 
 
-def array_percentile(values: Column, q: float) -> Column:
-    """Linearly interpolated percentile of an array of numbers (NULL when it is empty)."""
-    ordered = F.sort_array(values)
-    rank = (F.size(values) - 1) * F.lit(q)
-    below = F.floor(rank)
-    low = F.element_at(ordered, (below + 1).cast("int"))
-    high = F.element_at(ordered, F.least(below + 2, F.size(values)).cast("int"))
-    return F.when(F.size(values) > 0, low + (rank - below) * (high - low))
-
-
-def observed_free_speed(speeds: Column) -> Column:
+def observed_free_speed(speeds: Made | Column) -> Column:
     """95th percentile of the non-negative speeds of a link, kept inside 35..85, 35 if there is none."""
-    valid = F.filter(speeds, lambda v: v.isNotNull() & (v >= 0))
-    p95 = array_percentile(valid, 0.95)
     low, high = P95_RANGE
-    return F.coalesce(F.greatest(F.lit(low), F.least(F.lit(high), p95)), F.lit(low))
+    return F.coalesce(F.greatest(F.lit(low), F.least(F.lit(high), percentile(speeds, 0.95))), F.lit(low))
 
 
 def with_parameters(frame: DataFrame, speeds: str = "speeds") -> DataFrame:
@@ -45,13 +34,15 @@ def with_parameters(frame: DataFrame, speeds: str = "speeds") -> DataFrame:
     vc, vc_src = positive_of(frame, [(n, 1.0) for n in prefixed])
     m, m_src = positive_of(frame, [(n, 1.0) for n in shapes])
     lanes, lanes_src = positive_of(frame, [("network_lanes", 1.0)])
-    out = frame.withColumns({"__vf": vf, "__vfs": vf_src, "__vc": vc, "__vcs": vc_src, "__m": m, "__ms": m_src,
+    # The samples are sorted only for the links that need them.
+    unknown = vf.isNull() & (vc.isNull() | m.isNull())
+    out = frame.withColumns({"__observed": observed_free_speed(F.when(unknown, F.col(speeds))), "__vf": vf, "__vfs": vf_src, "__vc": vc, "__vcs": vc_src, "__m": m, "__ms": m_src,
                              "s3_lanes": F.coalesce(lanes, F.lit(1.0)),
                              "lanes_source": F.coalesce(lanes_src, F.lit("assumed_1_lane"))})
     vf, vc, m = F.col("__vf"), F.col("__vc"), F.col("__m")
     spread = F.pow(F.lit(2.0), 2 / m)
     out = out.withColumns({
-        "s3_free_speed": F.coalesce(vf, vc * spread, observed_free_speed(F.col(speeds))),
+        "s3_free_speed": F.coalesce(vf, vc * spread, F.col("__observed")),
         "free_speed_source": F.coalesce(F.col("__vfs"), F.when(vc.isNotNull() & m.isNotNull(), F.lit("derived_from_vc_and_m")),
                                         F.lit("assumed_observed_p95_clipped_35_85_mph")),
     })
@@ -77,26 +68,4 @@ def with_parameters(frame: DataFrame, speeds: str = "speeds") -> DataFrame:
         "capacity_source": F.coalesce(cap_own_src, F.concat(cap_net_src, F.lit("*lanes")), F.lit("assumed_1800_vphpl*lanes")),
     })
     return out.withColumn("critical_density_veh_per_mile", F.col("s3_capacity") / F.col("critical_speed_mph")) \
-        .drop("__vf", "__vfs", "__vc", "__vcs", "__m", "__ms", "__implied")
-
-
-def usable_speed(speed: Column, free: Column) -> Column:
-    """Speed for the curve, just below free flow; NULL when it is missing or negative."""
-    return F.when(speed >= 0, F.least(speed, 0.99 * free))
-
-
-def log_spacing(speed: Column, free: Column, shape: Column) -> Column:
-    r = F.greatest(free / F.greatest(speed, F.lit(1.0)), F.lit(1.00001))
-    return F.when(speed.isNotNull(), F.greatest(shape / 2 * F.log(r), F.lit(1e-8)))
-
-
-def density_from(z: Column, shape: Column, critical_density: Column) -> Column:
-    """In logarithms, so that a large shape near free flow does not overflow."""
-    return critical_density * F.exp((z + F.log(-F.expm1(-z))) / shape)
-
-
-def flow_from_speed(speed: Column, free: Column, shape: Column, critical_density: Column, capacity: Column) -> Column:
-    """Vehicles per hour of the whole link at a speed; an invalid speed carries no flow."""
-    v = usable_speed(speed, free)
-    k = density_from(log_spacing(v, free, shape), shape, critical_density)
-    return F.when(v.isNotNull(), F.least(v * k, capacity)).otherwise(F.lit(0.0))
+        .drop("__observed", "__vf", "__vfs", "__vc", "__vcs", "__m", "__ms", "__implied")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from roadlens.functions.columns import number_in
+from roadlens.functions.samples import change_measures
 from roadlens.functions.timeofday import DAY, Period
 from roadlens.operators import profile_fold
 from roadlens.operators.profile_fold import Limits, enforce, raw_curve
@@ -270,17 +271,7 @@ def smooth_profiles(inputs: DataFrame, periods: list[Period], keys: list[str], l
 
 def array_metrics(arrays: DataFrame, keys: list[str], limits: Limits = Limits()) -> DataFrame:
     """Largest step, windowed mean and acceleration of array profiles, without a shuffle."""
-    v, n = F.col("speeds"), F.size("speeds")
-    steps = F.zip_with(F.slice(v, 2, n - 1), F.slice(v, F.lit(1), n - 1), lambda b, a: b - a)
-
-    def measures(d: Column) -> Column:
-        k, size = F.size(d), limits.window
-        second = F.when(k >= 2, F.zip_with(F.slice(d, F.lit(2), k - 1), F.slice(d, F.lit(1), k - 1), lambda b, a: F.abs(b - a) / STEP_HOURS**2))
-        window = F.when(k >= size, F.transform(F.sequence(F.lit(1), k - (size - 1)), lambda i: sum(
-            (F.abs(F.element_at(d, (i + o).cast("int"))) for o in range(size)), F.lit(0.0)) / size))
-        return F.struct(F.array_max(F.transform(d, F.abs)).alias("max_step"), F.array_max(window).alias("max_rolling"), F.array_max(second).alias("max_acceleration"))
-    # The steps are bound by a lambda: as a column, a filter on the measures would have them computed again for every element.
-    m = arrays.withColumn("m", F.element_at(F.transform(F.array(steps), measures), 1))
+    m = arrays.withColumn("m", change_measures(F.col("speeds"), limits.window))
     return m.select(*keys, "m.max_step", "m.max_rolling", "m.max_acceleration")
 
 

@@ -7,13 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlens.functions import samples as sa
 from roadlens.functions.columns import PAIR, number_in, pair_keys, zero_if_null
-from roadlens.functions.s3 import density_from, log_spacing, usable_speed, with_parameters
+from roadlens.functions.s3 import with_parameters
+from roadlens.functions.samples import total
 from roadlens.functions.timeofday import Period
 from roadlens.operators.performance import join_keys
 from roadlens.operators.quality import require, unique_by
 from roadlens.sources.periods import bin_table, hourly_bins, period_table
-from roadlens.sources.speeds import native_grid, sample_arrays, with_aligned
+from roadlens.sources.speeds import Samples, native_grid, own_samples, sample_arrays, with_aligned
 
 KEYS = ["time_period", *PAIR]
 NETWORK = ["link_id", "link_type", "free_speed", "capacity", "lanes", "vdf_free_speed_mph",
@@ -22,10 +24,6 @@ STATIC = ["link_id", "link_type", "free_speed", "capacity", "lanes"]
 ABOVE = 1e-6
 
 
-def total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
-
-
 def within_link(left: DataFrame, right: DataFrame) -> DataFrame:
     """Left join by KEYS that hashes the pair alone: a link has few periods, and its rows stay together for what groups by link next.
 
@@ -39,12 +37,13 @@ def within_link(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(right, same, "left").drop(*other.values())
 
 
-def assemble(perf: DataFrame, links: DataFrame, speeds: DataFrame, periods: list[Period]) -> DataFrame:
+def assemble(perf: DataFrame, links: DataFrame, speeds: DataFrame, periods: list[Period], samples: Samples | None = None) -> DataFrame:
     """Strict one-to-one join of performance, network and grid-aligned speeds.
 
     A pair that is missing in the network, a duplicate pair and an invalid assigned volume fail
     the job.  The grid is one row per period (a few kilobytes), hence the broadcast.  ``speeds`` has a row per sample
-    (``minute``, ``speed_mph``) or one per link and period (``samples``, entries of both).
+    (``minute``, ``speed_mph``) or one per link and period, with ``samples``, entries of both, or with what they are made of: the argument
+    ``samples`` then gives their column from the columns of the row, and they are made after the join, which carries no sample.
     """
     lk = join_keys(links)
     net = [c for c in NETWORK if c in links.columns]
@@ -56,10 +55,11 @@ def assemble(perf: DataFrame, links: DataFrame, speeds: DataFrame, periods: list
         KEYS, "performance table")
     wanted = totals.where(F.col("time_period").isin([p.name for p in periods]))
     speeds = pair_keys(speeds)
-    arrays = sample_arrays(speeds, periods)
-    grid = native_grid(arrays, periods)
+    single = samples is not None or "samples" in speeds.columns
+    arrays = sample_arrays(speeds, periods) if samples is None else speeds
+    grid = native_grid(arrays, periods, "samples" if samples is None else own_samples(samples(F.col), periods))
     table = period_table(perf.sparkSession, periods).select("time_period", "period_index", "period_minutes", "timeline_start")
-    if "samples" in speeds.columns:
+    if single:
         once = unique_by(speeds.select(*KEYS), KEYS, "speed table").withColumn("__once", F.lit(True))
         wanted = within_link(wanted, once).where(F.coalesce("__once", F.lit(True))).drop("__once")
     # The narrow tables meet first.  Samples are shuffled once at most, by the aggregate that makes them arrays; the narrow side is what the join
@@ -67,12 +67,17 @@ def assemble(perf: DataFrame, links: DataFrame, speeds: DataFrame, periods: list
     rows = wanted.join(network, lk, "left")
     rows = require(rows, F.col("__net"), "pair of the performance table is missing in the link table").drop("__net")
     rows = require(rows, F.col("assigned_volume") >= 0, "assigned volume is missing or negative")
-    # Long rows lie by KEYS after that aggregate; rows that hold their samples may lie by link, then hours are summed without a shuffle.
+    # Long rows lie by KEYS after that aggregate; what samples are made of may lie by link already.
     rows = rows.hint("shuffle_hash")
-    rows = within_link(rows, arrays) if "samples" in speeds.columns else rows.join(arrays, KEYS, "left")
+    if samples is not None:
+        arrays = speeds.select(*KEYS, F.struct(*speeds.columns).alias("__row"))
+    rows = within_link(rows, arrays) if single else rows.join(arrays, KEYS, "left")
     rows = rows.join(F.broadcast(grid), "time_period", "left").join(F.broadcast(table), "time_period")
     rows = require(rows, F.col("grid").isNotNull(), F.concat(F.lit("no speeds for period "), F.col("time_period")))
-    return with_aligned(rows, F.col("assigned_speed"))
+    if samples is None:
+        return with_aligned(rows, F.col("assigned_speed"))
+    own = own_samples(samples(lambda name: F.col(f"__row.{name}")), periods)
+    return with_aligned(rows, F.col("assigned_speed"), samples=own).drop("__row")
 
 
 def estimate(rows: DataFrame) -> DataFrame:
@@ -82,30 +87,18 @@ def estimate(rows: DataFrame) -> DataFrame:
     duration; the rounding residue goes to the largest interval.
     """
     r = with_parameters(rows)
-    hours = F.transform("grid", lambda o: F.when(o == F.element_at("grid", -1), F.col("last_step")).otherwise(F.col("step")) / 60)
-    r = r.withColumn("interval_hours", hours)
-    clipped = F.transform("speeds", lambda v: usable_speed(v, F.col("s3_free_speed")))
-    r = r.withColumn("clipped", clipped)
-    r = r.withColumn("z", F.transform("clipped", lambda v: log_spacing(v, F.col("s3_free_speed"), F.col("s3_m"))))
-    r = r.withColumn("density", F.transform("z", lambda z: density_from(z, F.col("s3_m"), F.col("critical_density_veh_per_mile"))))
-    flow = F.zip_with("clipped", "density", lambda v, k: F.when(v.isNotNull(), F.least(v * k, F.col("s3_capacity"))).otherwise(F.lit(0.0)))
-    r = r.withColumn("raw", F.zip_with(flow, "interval_hours", lambda q, h: q * h)).drop("clipped", "z", "density")
-    r = r.withColumn("raw_s3_volume", total(F.col("raw")))
-    volume, raw_total = F.col("assigned_volume"), F.col("raw_s3_volume")
+    c = F.col
+    r = r.withColumn("__est", sa.estimated_volumes(
+        c("speeds"), c("step"), c("last_step"), c("s3_free_speed"), c("s3_m"), c("critical_density_veh_per_mile"), c("s3_capacity"), c("assigned_volume")))
+    volume, raw_total = c("assigned_volume"), c("raw_s3_volume")
     fallback = (raw_total == 0) & (volume > 0)
-    r = r.withColumns({
+    r = r.withColumns({"estimated": c("__est.estimated"), "raw_s3_volume": c("__est.raw"),
+                       "interval_hours": F.concat(F.array_repeat(c("step") / 60, F.size("grid") - 1), F.array(c("last_step") / 60))})
+    return r.withColumns({
         "status": F.when(fallback, F.lit("uniform_duration_fallback")).when(volume == 0, F.lit("zero_assignment"))
         .otherwise(F.lit("s3_scaled")),
         "scale_factor": F.when(~fallback, F.when(raw_total > 0, volume / raw_total).otherwise(F.lit(0.0))),
-        "spread": F.when(fallback, volume / total(F.col("interval_hours"))),
-    })
-    first = F.zip_with("raw", "interval_hours", lambda u, h: F.when(F.col("spread").isNotNull(), F.col("spread") * h)
-                       .otherwise(u * F.col("scale_factor")))
-    r = r.withColumn("first_guess", first)
-    r = r.withColumns({"residue": volume - total(F.col("first_guess")),
-                       "largest": F.array_position("first_guess", F.array_max("first_guess"))})
-    fixed = F.transform("first_guess", lambda a, i: F.when(i + 1 == F.col("largest"), a + F.col("residue")).otherwise(a))
-    return r.withColumn("estimated", fixed).drop("raw", "first_guess", "spread", "residue", "largest")
+    }).drop("__est")
 
 
 def intervals(estimated: DataFrame) -> DataFrame:
@@ -122,40 +115,27 @@ def intervals(estimated: DataFrame) -> DataFrame:
 def hour_cells(estimated: DataFrame, periods: list[Period]) -> DataFrame:
     """One row per link, period and hourly bin it touches: the sums that an hour is made of.
 
-    The samples of a bin are a slice of the link's arrays, found from the grid step, so an array is folded where it is: a link gives
-    a row for every hour and never one for every sample.  An interval that crosses the edge of a bin is in both, by its overlap.
+    The samples of a link are folded in its arrays: a link gives a row for every hour and never one for every sample.  An interval
+    that crosses the edge of a bin is in both, by its overlap.
     """
     c = F.col
     bins = hourly_bins(periods)
     begin, finish = bins[0][0], bins[-1][1]
     bin_at = lambda minute: F.floor((minute - begin) / 60).cast("int")
-    last = F.size("speeds") - 1  # of the speeds: their check must not be pruned
-    until = c("timeline_start") + last * c("step") + c("last_step")
-    rows = estimated.select(*PAIR, "timeline_start", "step", "last_step", last.alias("last"), until.alias("until"), "speeds", "estimated",
-                            F.explode(F.sequence(bin_at(c("timeline_start")), bin_at(until - 1))).alias("b"))
+    until = c("timeline_start") + (F.size("speeds") - 1) * c("step") + c("last_step")
+    sums = sa.hour_sums(c("speeds"), c("estimated"), c("timeline_start"), c("step"), c("last_step"), begin, finish)
+    # A row per link and period meets its link's others; its hours are rows only then, and what groups by link next moves nothing.
+    rows = estimated.select(*PAIR, "timeline_start", until.alias("until"), sums.alias("cells")).repartition(*PAIR)
+    rows = rows.select(*PAIR, "timeline_start", "until", "cells", F.explode(F.sequence(bin_at(c("timeline_start")), bin_at(c("until") - 1))).alias("b"))
     low = begin + c("b") * 60
-    rows = rows.withColumns({"low": F.greatest(low, "timeline_start"), "high": F.least(low + 60, F.lit(finish), "until")})
-    place = lambda minute: F.least(F.floor((minute - c("timeline_start")) / c("step")), "last").cast("int")
-    rows = rows.withColumns({"head": place(c("low")), "tail": place(c("high") - 1)})
-
-    def share(i: Column) -> Column:
-        """(minutes of interval i inside the bin, its minutes)"""
-        size = F.when(i == c("last"), c("last_step")).otherwise(c("step"))
-        start = c("timeline_start") + i * c("step")
-        return F.struct((F.least(start + size, "high") - F.greatest(start, "low")).cast("double").alias("inside"), size.alias("size"))
-    count = c("tail") - c("head") + 1
-    rows = rows.select(*PAIR, "b", (c("high") - c("low")).cast("double").alias("minutes"), F.slice("speeds", c("head") + 1, count).alias("v"),
-                       F.slice("estimated", c("head") + 1, count).alias("e"), F.transform(F.sequence("head", "tail"), share).alias("s"))
-    return rows.select(
-        *PAIR, "b", "minutes", total(F.zip_with("e", "s", lambda e, s: e * s["inside"] / s["size"])).alias("volume"),
-        total(F.zip_with("v", "s", lambda v, s: F.when(v > 0, s["inside"] / v).otherwise(F.lit(0.0)))).alias("travel"),
-        F.exists("v", lambda v: F.coalesce(v == 0, F.lit(False))).alias("stopped"), F.exists("v", lambda v: v.isNull() | (v < 0)).alias("invalid"))
+    minutes = F.least(low + 60, F.lit(finish), "until") - F.greatest(low, "timeline_start")
+    return rows.select(*PAIR, "b", minutes.cast("double").alias("minutes"), F.get("cells", c("b") - bin_at(c("timeline_start"))).alias("x")).select(*PAIR, "b", "minutes", "x.*")
 
 
 def hourly(estimated: DataFrame, periods: list[Period]) -> DataFrame:
     """Hourly volume (by overlap) and harmonic mean speed per link.
 
-    The periods' cells of an hour are summed; they hold no samples any more.  Where the estimate lies by link, nothing is moved.
+    The periods' cells of an hour are summed; they hold no samples any more.
     """
     bins = hourly_bins(periods)
     begin, finish = bins[0][0], bins[-1][1]
@@ -170,9 +150,11 @@ def hourly(estimated: DataFrame, periods: list[Period]) -> DataFrame:
 
 def audit(estimated: DataFrame) -> DataFrame:
     """Conservation, assumptions and exceptions of every link and period."""
-    est, hrs, v = F.col("estimated"), F.col("interval_hours"), F.col("speeds")
-    summed = total(est)
-    above = F.zip_with(est, hrs, lambda a, h: (a / h > F.col("s3_capacity") + ABOVE).cast("int"))
+    c = F.col
+    estimated = estimated.withColumns({
+        "__summed": total(c("estimated")), "__above": sa.intervals_above(c("estimated"), c("step"), c("last_step"), c("s3_capacity") + ABOVE),
+        "__invalid": sa.measured(c("speeds"))["invalid"]})
+    summed = c("__summed")
     kept = [c for c in ("network_link_id", "network_link_type") if c in estimated.columns]
     return estimated.select(
         *KEYS, *[F.col(c).alias(c.removeprefix("network_")) for c in kept],
@@ -181,13 +163,13 @@ def audit(estimated: DataFrame) -> DataFrame:
         "free_speed_source", "critical_speed_source", "s3_m_source", "capacity_source", "lanes_source",
         "assigned_volume", "raw_s3_volume", "scale_factor", summed.alias("estimated_volume_sum"),
         (summed - F.col("assigned_volume")).alias("conservation_error"),
-        F.size(F.filter(v, lambda s: s.isNull() | (s < 0))).alias("invalid_speed_intervals"),
+        c("__invalid").alias("invalid_speed_intervals"),
         F.size("absent").alias("imputed_speed_intervals"),
         F.when(F.size("absent") > 0, F.lit("speed_mph")).otherwise(F.lit("none")).alias("imputation_source"),
         F.size("grid").alias("interval_count"),
         (F.array_min("interval_hours") * 60).alias("interval_minutes_min"),
         (F.array_max("interval_hours") * 60).alias("interval_minutes_max"),
-        "status", F.aggregate(above, F.lit(0), lambda a, x: a + x).alias("above_capacity_intervals"),
+        "status", c("__above").alias("above_capacity_intervals"),
     )
 
 

@@ -12,6 +12,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadlens.plans import sample_views
+
 TABLES = ["supplier", "part", "orders", "lineitem", "embeddings"]
 
 _PERIOD = "CASE (l_linenumber - 1) % 4 WHEN 0 THEN 'am' WHEN 1 THEN 'md' WHEN 2 THEN 'pm' ELSE 'nt' END"
@@ -77,16 +79,9 @@ FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
 SELECT f.time_period, f.from_node_id, f.to_node_id, g.minute,
        f.speed_mph * (0.7 + 0.05 * ((f.from_node_id * 7 + f.to_node_id * 13 + g.minute) % 11)) AS speed_mph
 FROM link_performance f JOIN grid g ON g.time_period = f.time_period
-""",
-    # the same samples in one row per link and period, as the wide speed columns of a period table have them (Spark only)
-    "link_samples": """
-SELECT f.time_period, f.from_node_id, f.to_node_id, transform(g.minutes, m -> named_struct('minute', m, 'speed_mph',
-       f.speed_mph * element_at(array(70e-2, 75e-2, 80e-2, 85e-2, 90e-2, 95e-2, 100e-2, 105e-2, 110e-2, 115e-2, 120e-2), CAST((f.place + m) % 11 + 1 AS INT)))) AS samples
-FROM (SELECT *, from_node_id * 7 + to_node_id * 13 AS place FROM link_performance) f JOIN (SELECT time_period, sequence(a, b, 5) AS minutes
-  FROM (VALUES ('am', 360, 539), ('md', 540, 899), ('pm', 900, 1139), ('nt', 1140, 1439)) AS t(time_period, a, b)) g ON g.time_period = f.time_period
 """,
 }
-_NEEDS = {"link_speed": ["link_performance", "grid"], "link_samples": ["link_performance"]}
+_NEEDS = {"link_speed": ["link_performance", "grid"]}
 # The same table with its keys computed before they are grouped by: Spark then knows that the rows lie by the keys, and joins by
 # them do not shuffle again.
 _PERF_SPARK = """
@@ -143,6 +138,8 @@ def check_sql(names: str, body: str, ctes: str = "") -> str:
 
 def road(spark: SparkSession, sf_dir: str, name: str, by_link: bool = False) -> DataFrame:
     """The view as a Spark table over the driver's parquet files; `by_link`: the same rows, those of a link together."""
+    if name in sample_views.VIEWS:
+        return sample_views.with_samples(road(spark, sf_dir, "link_performance", by_link), name)
     names, spark_text = _ordered([name]), _BY_LINK if by_link else _SPARK
     text = "WITH " + ",\n".join(f"{n} AS ({spark_text.get(n, VIEWS[n]).strip()})" for n in names) + f"\nSELECT * FROM {name}"
     text = re.sub(r'"(\w+)"', r"`\1`", text)

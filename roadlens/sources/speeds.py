@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlens.functions import samples as sa
 from roadlens.functions.columns import KM_PER_MILE, PAIR, number_in
 from roadlens.functions.timeofday import DAY, Period, in_period, label
 from roadlens.operators.quality import require
@@ -79,11 +81,7 @@ def canonical_rows(long: DataFrame, keys: list[str]) -> DataFrame:
 
 def canonical_samples(entries: Column | str) -> Column:
     """(minute, speed_mph) entries of one row's (minute, unit, speed) entries: the best representation per timestamp, without a shuffle."""
-    ranked = F.sort_array(F.transform(entries, lambda e: F.struct(
-        e["minute"].alias("minute"), _rank(e["unit"]).alias("rank"), _mph(e["unit"], e["speed"]).alias("speed_mph"))))
-    first = lambda r: F.filter(r, lambda e, i: (i == 0) | (F.get(r, i - 1)["minute"] != e["minute"]))
-    best = F.get(F.transform(F.array(ranked), first), F.lit(0))  # bound once: sorted once per row
-    return F.transform(best, lambda e: F.struct(e["minute"].alias("minute"), e["speed_mph"].alias("speed_mph")))
+    return sa.best_representation(entries).column()
 
 
 def pivot_speeds(long: DataFrame, keys: list[str], minutes: list[int], prefix: str = "spd_mph_") -> DataFrame:
@@ -92,26 +90,26 @@ def pivot_speeds(long: DataFrame, keys: list[str], minutes: list[int], prefix: s
         F.max(F.when(F.col("minute") == m, F.col("speed_mph"))).alias(f"{prefix}{label(m)}") for m in minutes])
 
 
-def period_offsets(arrays: DataFrame) -> DataFrame:
+def period_offsets(arrays: DataFrame, samples: sa.Made | str = "samples") -> DataFrame:
     """Sorted offsets that any link of a period has: (time_period, offsets).
 
-    Every task keeps the distinct offsets of its samples, at most the minutes of the period, and only those are shuffled; they are
-    hashed (an aggregate of bitmaps would sort all samples first).
+    A row gives the offsets that no earlier one of its batch and period has, so at most the minutes of the period leave a batch, and no row per
+    sample is made.
     """
-    seen = arrays.select("time_period", F.explode(F.transform("samples", lambda e: e["o"])).alias("o")).distinct()
+    seen = arrays.select("time_period", F.explode(sa.new_offsets(samples, "time_period")).alias("o")).distinct()
     return seen.groupBy("time_period").agg(F.sort_array(F.collect_set("o")).alias("offsets"))
 
 
-def native_grid(arrays: DataFrame, periods: list[Period]) -> DataFrame:
+def native_grid(arrays: DataFrame, periods: list[Period], samples: sa.Made | str = "samples") -> DataFrame:
     """Sampling grid of every period: step, last step, offsets, and the offsets no link has.
 
     The step is the greatest common divisor of all offsets and the period length, so timestamps
     absent from the whole period become visible.
-    Built on ``link_arrays`` or ``period_samples``; Spark reuses the shuffle below for the join that follows.
+    Built on ``link_arrays`` or ``period_samples``, or on the ``samples`` that are made of a row's columns.
     """
     at = F.col("time_period")
     length = F.try_element_at(period_map(periods, "minutes"), at)
-    seen = period_offsets(arrays)
+    seen = period_offsets(arrays, samples)
     seen = require(seen, F.element_at("offsets", 1) == 0, F.concat(F.lit("speeds must start at the period boundary: "), at))
     divides = lambda d: (length % d == 0) & F.forall("offsets", lambda o: o % d == 0)
     step = F.when(F.size("offsets") > 1, F.array_max(F.filter(F.sequence(F.lit(1), length), divides))) \
@@ -122,34 +120,36 @@ def native_grid(arrays: DataFrame, periods: list[Period]) -> DataFrame:
     return grid.select("time_period", "step", last.alias("last_step"), "grid", F.array_except("grid", "offsets").alias("absent"))
 
 
-def minute_owners(arrays: DataFrame, periods: list[Period]) -> DataFrame:
+def minute_owners(arrays: DataFrame, periods: list[Period], samples: sa.Made | str = "samples") -> DataFrame:
     """(time_period, owned): the minutes of the day whose speeds a period gives; fails on a minute that two periods claim."""
     start = F.try_element_at(period_map(periods, "start"), F.col("time_period"))
-    minutes = period_offsets(arrays).select("time_period", F.explode(F.transform("offsets", lambda o: (o + start) % DAY)).alias("minute"))
+    minutes = period_offsets(arrays, samples).select("time_period", F.explode(F.transform("offsets", lambda o: (o + start) % DAY)).alias("minute"))
     claims = minutes.groupBy("minute").agg(F.sort_array(F.collect_set("time_period")).alias("claims"))
     clash = F.concat(F.lit("speed of minute "), F.col("minute").cast("string"), F.lit(" belongs to overlapping periods "), F.array_join("claims", ", "))
     single = require(claims, F.size("claims") == 1, clash)
     return single.select(F.col("claims")[0].alias("time_period"), "minute").groupBy("time_period").agg(F.sort_array(F.collect_set("minute")).alias("owned"))
 
 
+def owned_parts(speeds: DataFrame, periods: list[Period], keys: list[str] = PAIR, samples: Samples | None = None) -> DataFrame:
+    """One row per link: ``parts``, the samples that each of its periods owns, as ``merged_samples`` takes them.
+
+    Every minute comes from the period that owns it.  Samples travel as arrays (minutes and values apart, without the overhead of
+    entries) and nothing is unrolled; the owners are one row per period.  ``samples`` gives them from the columns of a row, if it does not hold them.
+    """
+    arrays = sample_arrays(speeds, periods, keys) if samples is None else speeds
+    own = "samples" if samples is None else own_samples(samples(F.col), periods)
+    start = F.try_element_at(period_map(periods, "start"), F.col("time_period"))
+    owners = F.broadcast(minute_owners(arrays, periods, own))  # one row per period
+    parts = arrays.join(owners, "time_period").select(*keys, sa.owned_samples(own, start, F.col("owned")).alias("part"))
+    return parts.groupBy(*keys).agg(F.collect_list("part").alias("parts"))
+
+
 def owned_speeds(speeds: DataFrame, periods: list[Period], keys: list[str] = PAIR) -> DataFrame:
     """One row per link: ``speeds``, its (minute, speed_mph) entries of the day in the order of the clock.
 
-    Every minute comes from the period that owns it.  The arrays of a link's periods are merged as they are, so samples
-    travel as arrays (minutes and values apart, without the overhead of entries) and nothing is unrolled; the owners are one row per
-    period.  Two samples of a link for one minute fail the job.
+    Two samples of a link for one minute fail the job.
     """
-    arrays = sample_arrays(speeds, periods, keys)
-    start = F.try_element_at(period_map(periods, "start"), F.col("time_period"))
-    owners = F.broadcast(minute_owners(arrays, periods))  # one row per period
-    entry = lambda e: F.struct(((e["o"] + start) % DAY).alias("minute"), e["v"].alias("speed_mph"))
-    timed = arrays.withColumn("entries", F.transform("samples", entry)).join(owners, "time_period")
-    own = timed.select(*keys, F.filter("entries", lambda e: F.array_contains("owned", e["minute"])).alias("entries"))
-    part = F.struct(F.transform("entries", lambda e: e["minute"].cast("smallint")).alias("m"), F.transform("entries", lambda e: e["speed_mph"]).alias("v"))
-    lists = own.groupBy(*keys).agg(F.collect_list(part).alias("p"))
-    back = lambda p: F.zip_with(p["m"], p["v"], lambda m, v: F.struct(m.cast("int").alias("minute"), v.alias("speed_mph")))
-    merged = lists.select(*keys, F.sort_array(F.flatten(F.transform("p", back))).alias("speeds"))
-    return require(merged, F.size("speeds") == F.size(F.array_distinct(F.transform("speeds", lambda e: e["minute"]))), "a link has two speeds for one minute")
+    return owned_parts(speeds, periods, keys).select(*keys, sa.merged_samples("parts").alias("speeds"))
 
 
 def link_arrays(long: DataFrame, periods: list[Period], keys: list[str] = PAIR) -> DataFrame:
@@ -164,20 +164,23 @@ def link_arrays(long: DataFrame, periods: list[Period], keys: list[str] = PAIR)
     return owned_rows(long, periods).groupBy("time_period", *keys).agg(F.collect_list(entry).alias("samples"))
 
 
+#: The samples of a row, (minute, speed_mph) entries, from a function that gives the column of a name.
+Samples = Callable[[Callable[[str], Column]], sa.Made]
+
+
+def own_samples(samples: sa.Made | Column | str, periods: list[Period]) -> sa.Made:
+    """(offset, speed) entries of (minute, speed_mph) entries, those that the period of the row owns."""
+    start, length = (F.try_element_at(period_map(periods, f), F.col("time_period")) for f in ("start", "minutes"))
+    return sa.offset_samples(samples, start, length)
+
+
 def period_samples(rows: DataFrame, periods: list[Period], keys: list[str] = PAIR) -> DataFrame:
-    """The same from rows that hold the samples of a link and period already, as (minute, speed_mph) entries: nothing is moved.
+    """``link_arrays`` from rows that hold the samples of a link and period already, as (minute, speed_mph) entries: nothing is moved.
 
     Period tables come like this, with a column per timestamp.  Rows of no known period and minutes the period does not own are
     left out, as in ``owned_rows``.  Keys must be unique; ``unique_by`` on the keys alone checks it cheaply.
     """
-    at, known = F.col("time_period"), {f: period_map(periods, f) for f in ("start", "minutes")}
-    # Offsets first, bounds as columns: what is done per sample stays a few integer operations.
-    r = rows.withColumns({"__start": F.try_element_at(known["start"], at), "__length": F.try_element_at(known["minutes"], at)})
-    offset = lambda m: F.when(m >= c("__start"), m - c("__start")).otherwise(m - c("__start") + DAY)
-    entry = lambda e: F.struct(offset(e["minute"]).cast("int").alias("o"), e["speed_mph"].alias("v"))
-    c = F.col
-    r = r.withColumn("__all", F.transform("samples", entry))
-    return r.select("time_period", *keys, F.filter("__all", lambda e: e["o"] < c("__length")).alias("samples"))
+    return rows.select("time_period", *keys, own_samples("samples", periods).column().alias("samples"))
 
 
 def sample_arrays(speeds: DataFrame, periods: list[Period], keys: list[str] = PAIR) -> DataFrame:
@@ -185,22 +188,9 @@ def sample_arrays(speeds: DataFrame, periods: list[Period], keys: list[str] = PA
     return period_samples(speeds, periods, keys) if "samples" in speeds.columns else link_arrays(speeds, periods, keys)
 
 
-def with_aligned(rows: DataFrame, fill: Column, name: str = "speeds") -> DataFrame:
+def with_aligned(rows: DataFrame, fill: Column, name: str = "speeds", samples: sa.Made | str = "samples") -> DataFrame:
     """Speeds on the grid: the sample, NULL where the link has none, ``fill`` where the period has none.
 
-    Gaps are filled with entries and the list is sorted once per row; every step is a column of its
-    own so that it is evaluated once.  Two samples of the same minute fail the job.
+    Two samples of the same minute fail the job.
     """
-    kind = "array<struct<o:int,v:double>>"
-    entry = lambda o, v: F.struct(o.cast("int").alias("o"), v.cast("double").alias("v"))
-    own = F.coalesce("samples", F.array().cast(kind))
-    r = rows.withColumn("__own", own)
-    r = r.withColumn("__all", F.concat("__own", F.transform("absent", lambda o: entry(o, fill))))
-    gaps = F.array_except("grid", F.transform("__all", lambda e: e["o"]))
-    nothing = F.lit(None).cast("double")
-    r = r.withColumn("__all", F.when(F.size("__all") == F.size("grid"), F.col("__all")).otherwise(
-        F.concat("__all", F.transform(gaps, lambda o: entry(o, nothing)))))
-    r = r.withColumn("__all", F.sort_array("__all"))
-    fits = F.transform("__all", lambda e: e["o"]) == F.col("grid")
-    double = F.raise_error("a link has two speeds for one minute").cast("array<double>")
-    return r.withColumn(name, F.when(fits, F.transform("__all", lambda e: e["v"])).otherwise(double)).drop("__own", "__all", "samples")
+    return rows.withColumn(name, sa.aligned(samples, F.col("step"), F.size("grid"), F.col("absent"), fill).column()).drop("samples")
