@@ -15,7 +15,8 @@ from roadlens.operators.performance import TAZ_SCOPE
 from roadlens.operators.quality import unique_by
 from roadlens.operators.summary import DISTRICTS, district_name
 from roadlens.sources.periods import period_map
-from roadlens.sources.speeds import owned_speeds
+from roadlens.functions.samples import merged_samples
+from roadlens.sources.speeds import Samples, owned_parts
 
 # The compared measures, the class report, and the marker of an unmatched row.
 DIFF_MEASURES = [
@@ -180,15 +181,16 @@ def daily_aggregate(perf: DataFrame, periods: list[Period], midnight: str = "wra
 
 
 def daily_with_speeds(perf: DataFrame, speeds: DataFrame, periods: list[Period], midnight: str = "wrap",
-                      order: str | None = None) -> DataFrame:
+                      order: str | None = None, samples: Samples | None = None) -> DataFrame:
     """The daily table with ``speeds``: the (minute, speed_mph) entries of the day, each from the period that owns its minute.
 
-    ``speeds`` is long (time_period, link, minute, speed_mph) or has a row per link and period with ``samples``, entries of both; links without any keep an empty list.  A minute
+    ``speeds`` is long (time_period, link, minute, speed_mph) or has a row per link and period with ``samples``, entries of both, or with what ``samples`` makes them of; links without any keep an empty list.  A minute
     that two periods claim fails the job, as does a link with two speeds for one minute.
     """
     day = daily_aggregate(perf, periods, midnight, order)
-    met = day.join(owned_speeds(speeds, periods), PAIR, "left")
-    return met.withColumn("speeds", F.coalesce("speeds", F.array().cast("array<struct<minute:int,speed_mph:double>>")))
+    # Merged where they have met: the narrow table is what the join hashes, and samples are neither broadcast nor moved again.
+    met = day.hint("shuffle_hash").join(owned_parts(speeds, periods, samples=samples), PAIR, "left")
+    return met.withColumn("speeds", merged_samples("parts")).drop("parts")
 
 
 def district_diff(bd_day: DataFrame, bd_links: DataFrame, nb_day: DataFrame, nb_links: DataFrame) -> DataFrame:
