@@ -269,9 +269,9 @@ def smooth_profiles(inputs: DataFrame, periods: list[Period], keys: list[str], l
     return exploded(enforced_arrays(inputs, periods, keys, limits, smooth_boundaries), periods, keys)
 
 
-def array_metrics(arrays: DataFrame, keys: list[str], limits: Limits = Limits()) -> DataFrame:
-    """Largest step, windowed mean and acceleration of array profiles, without a shuffle."""
-    m = arrays.withColumn("m", change_measures(F.col("speeds"), limits.window))
+def array_metrics(arrays: DataFrame, keys: list[str], limits: Limits = Limits(), decimals: int | None = None) -> DataFrame:
+    """Largest step, windowed mean and acceleration of array profiles, without a shuffle; of the speeds rounded to ``decimals``, if given."""
+    m = arrays.withColumn("m", change_measures(F.col("speeds"), limits.window, decimals))
     return m.select(*keys, "m.max_step", "m.max_rolling", "m.max_acceleration")
 
 
@@ -285,11 +285,6 @@ def violations(metrics: DataFrame, limits: Limits = Limits()) -> DataFrame:
 SLACK = {"max_step": 1e-8, "max_rolling": 1e-8, "max_acceleration": 1e-6}
 
 
-def rounded_profiles(arrays: DataFrame, decimals: int) -> DataFrame:
-    """Profiles as they will be written: speeds rounded to so many decimals."""
-    return arrays.withColumn("speeds", F.transform("speeds", lambda v: F.round(v, decimals)))
-
-
 def profile_limits(arrays: DataFrame, keys: list[str], limits: Limits = Limits(), decimals: int = 12) -> DataFrame:
     """The fold over all links: one row per limit and form of the profiles (exact, and rounded as written).
 
@@ -297,9 +292,9 @@ def profile_limits(arrays: DataFrame, keys: list[str], limits: Limits = Limits()
     One aggregate without groups over both forms: the profiles are made once, and no row per measure is made or sorted.
     """
     bound = {"max_step": limits.step, "max_rolling": limits.rolling, "max_acceleration": limits.acceleration}
-    named = lambda frame, form: frame.withColumnsRenamed({m: f"{form}_{m}" for m in bound})
-    exact = named(array_metrics(arrays.select(*keys, "speeds"), [*keys, "speeds"], limits), "exact")
-    both = named(array_metrics(rounded_profiles(exact, decimals), [*keys, *[f"exact_{m}" for m in bound]], limits), "rounded")
+    measures = {"exact": None, "rounded": decimals}
+    both = arrays.select(*keys, *[change_measures(F.col("speeds"), limits.window, d).alias(form) for form, d in measures.items()])
+    both = both.select(*keys, *[F.col(f"{form}.{m}").alias(f"{form}_{m}") for form in measures for m in bound])
     cells = [(form, m, float(allowed)) for form in ("exact", "rounded") for m, allowed in bound.items()]
     aggregates = []
     for i, (form, m, allowed) in enumerate(cells):

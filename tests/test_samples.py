@@ -71,3 +71,15 @@ def test_no_array_function_is_interpreted_per_sample(spark, name):
     plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     lines = [x for x in plan.split("\n") if "lambdafunction" in x and "offsets" not in x]  # those of the grid have a row per period
     assert "ArrowEvalPython" in plan and not lines
+
+
+def test_both_forms_of_the_limits_are_vectors(spark):
+    """Rounded speeds are measured in the same pass: no decimal is made per sample."""
+    from roadlens.operators.profiles import profile_limits
+
+    arrays = spark.createDataFrame([(1, [10.0, 10.44, 10.0, None]), (2, [5.0]), (3, [0.0, 0.06, 0.0, 0.0])], "k INT, speeds ARRAY<DOUBLE>")
+    folded = profile_limits(arrays, ["k"], decimals=1)
+    assert "lambdafunction" not in folded._jdf.queryExecution().executedPlan().toString()
+    got = {(r.form, r.measure): (round(r.largest, 9), r.k) for r in folded.collect()}
+    assert got["exact", "max_step"] == (0.44, 1) and got["rounded", "max_step"] == (0.4, 1)
+    assert got["exact", "max_rolling"] == (0.04, 3) and got["rounded", "max_rolling"] == (round(0.2 / 3, 9), 3)
