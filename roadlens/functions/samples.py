@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Sequence
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -445,13 +446,24 @@ def steps_of(values: np.ndarray, counts: np.ndarray, apart: int = 1) -> tuple[np
     return (values[1:] - values[:-1])[last[:-1]] if len(values) else values, n
 
 
+def rounded(values: np.ndarray, decimals: int) -> np.ndarray:
+    """Halves away from zero by the decimal text of a number, as Spark rounds; only what lies close to a half is decided by its text."""
+    size = np.abs(values) * 10.0**decimals
+    with np.errstate(invalid="ignore"):
+        out = np.where(size < 2.0**52, np.copysign(np.floor(size + 0.5) / 10.0**decimals, values), values)
+        close = np.flatnonzero((np.abs(size - np.floor(size) - 0.5) <= 4 * np.spacing(size)) & (size < 2.0**52))
+    last = Decimal(1).scaleb(-decimals)
+    out[close] = [float(Decimal(repr(v)).quantize(last, ROUND_HALF_UP)) for v in values[close].tolist()]
+    return out
+
+
 def change_measures(speeds: Column, window: int, decimals: int | None = None) -> Column:
     """Largest step, mean step over a window and acceleration of the profile of a row; NULL where it is too short."""
     def run(lists: pa.Array) -> pa.Array:
         counts, flat = unlist(lists)
         values = doubles(flat)
         if decimals is not None:
-            values = np.round(values, decimals)
+            values = rounded(values, decimals)
         d, n = steps_of(values, counts)
         second, n2 = steps_of(d, n)
         a, n3 = np.abs(d), np.maximum(n - (window - 1), 0)

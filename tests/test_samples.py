@@ -83,3 +83,14 @@ def test_both_forms_of_the_limits_are_vectors(spark):
     got = {(r.form, r.measure): (round(r.largest, 9), r.k) for r in folded.collect()}
     assert got["exact", "max_step"] == (0.44, 1) and got["rounded", "max_step"] == (0.4, 1)
     assert got["exact", "max_rolling"] == (0.04, 3) and got["rounded", "max_rolling"] == (round(0.2 / 3, 9), 3)
+
+
+def test_rounding_is_that_of_spark(spark):
+    import numpy as np
+
+    draw = random.Random(7)
+    values = [48.5, -48.5, 1.005, 2.675, 60.1234567890125, -0.0, 1e300, 0.5, None] + [draw.random() * 80 for _ in range(3000)] + [k / 8 for k in range(200)]
+    for decimals in (0, 2, 12):
+        want = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v DOUBLE").coalesce(1).select(F.round("v", decimals)).collect()]
+        got = sa.rounded(np.array([math.nan if v is None else v for v in values]), decimals).tolist()
+        assert [None if math.isnan(g) else g for g in got] == want
